@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from seqprep.functions.options import DEFAULTS, INT_TEXT
+from seqprep.functions.stages import PLAIN_ALPHABET, PLAIN_TEXT, SIMPLE_CLASS
 from seqprep.operators.clean import RESULT_TYPE, quoted
+from seqprep.operators.lookup import LookupLimits, fits_broadcast
 
 
 def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
@@ -46,7 +48,10 @@ def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
             'invalid', invalid)), IF(dna IS NULL, NULL, 0))
           FROM (SELECT *, coalesce(non_iupac > 0, FALSE) OR language AS invalid
           FROM (SELECT *,
-            IF(len > 0, regexp_count(final, concat('[^', iupacDna, ']')) / len, NULL) AS non_iupac,
+            IF(len > 0, CASE WHEN NOT rlike(iupacDna, r'{PLAIN_ALPHABET}')
+                             THEN regexp_count(final, concat('[^', iupacDna, ']'))
+                             WHEN rest = '' THEN 0
+                             ELSE regexp_count(rest, concat('[^', iupacDna, ']')) END / len, NULL) AS non_iupac,
             octet_length(final) - octet_length(rest) - n AS acgt
           FROM (SELECT *,
             octet_length(final) - octet_length(rest)
@@ -62,29 +67,49 @@ def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
           FROM (SELECT *, contains(trimmed, repeat('N', nrunCapFrom)) AS has_run
           FROM (SELECT *, regexp_extract(plain, concat('(?s)', run, '(?:.*', run, ')?'), 0) AS trimmed
           FROM (SELECT *,
-            replace(replace(regexp_replace(upper_text, gapRegex, ''), 'U', 'T'), '?', 'N') AS plain,
-            rlike(upper_text, gapRegex) AS has_gap,
-            rlike(upper_text, naturalLanguageRegex) AS language
+            replace(replace(ungapped, 'U', 'T'), '?', 'N') AS plain,
+            IF(rlike(gapRegex, r'{SIMPLE_CLASS}'),
+               octet_length(ungapped) < octet_length(upper_text),
+               rlike(upper_text, gapRegex)) AS has_gap,
+            IF(rlike(naturalLanguageRegex, r'{PLAIN_TEXT}'),
+               contains(upper_text, naturalLanguageRegex),
+               rlike(upper_text, naturalLanguageRegex)) AS language
+          FROM (SELECT *, regexp_replace(upper_text, gapRegex, '') AS ungapped
           FROM (SELECT *, upper(packed) AS upper_text
           FROM (SELECT *,
             regexp_replace(dna, r'\s+', '') AS packed,
             concat('[', anchorChars, ']{{', anchorMinrun, ',}}') AS run,
             concat('N{{', nrunCapFrom, ',}}') AS cap
-          FROM (SELECT {options})))))))))))
+          FROM (SELECT {options}))))))))))))
         )
         """
     )
 
 
 def register_lookup(
-    spark: SparkSession, name: str, keys: str, *, exact: bool = False
+    spark: SparkSession,
+    name: str,
+    keys: str,
+    *,
+    exact: bool = False,
+    limits: LookupLimits = LookupLimits(),
 ) -> None:
-    """Install ``name(term)``: the concept name in the key table or view ``keys``."""
-    _register_lookup(spark, name, keys, "STRING", "k.concept", exact)
+    """Install ``name(term)``: the concept name in the key table or view ``keys``.
+
+    A key table within the limits is broadcast. For a larger one Spark plans a
+    shuffled join and leaves hot terms to adaptive execution; the DataFrame
+    ``lookup`` cuts them itself.
+    """
+    _register_lookup(spark, name, keys, "STRING", "k.concept", ["concept"], exact, limits)
 
 
 def register_lookup_lineage(
-    spark: SparkSession, name: str, keys: str, *, exact: bool = False
+    spark: SparkSession,
+    name: str,
+    keys: str,
+    *,
+    exact: bool = False,
+    limits: LookupLimits = LookupLimits(),
 ) -> None:
     """Install ``name(term)``: a ``(concept, lineage)`` struct, null if unmatched."""
     _register_lookup(
@@ -93,22 +118,36 @@ def register_lookup_lineage(
         keys,
         "STRUCT<concept: STRING, lineage: ARRAY<STRING>>",
         "named_struct('concept', k.concept, 'lineage', k.lineage)",
+        ["concept", "lineage"],
         exact,
+        limits,
     )
 
 
 def _register_lookup(
-    spark: SparkSession, name: str, keys: str, returns: str, value: str, exact: bool
+    spark: SparkSession,
+    name: str,
+    keys: str,
+    returns: str,
+    value: str,
+    columns: list[str],
+    exact: bool,
+    limits: LookupLimits,
 ) -> None:
-    # The scalar subquery becomes a left join. Spark picks broadcast or shuffle
-    # from the table's size. first() sees one row: keys are unique.
+    # The scalar subquery becomes a join that keeps every term. Keys are unique:
+    # first() sees one row and is there for the shuffled form alone, which has
+    # no other way to promise one row.
+    if fits_broadcast(spark.table(keys), columns, limits):
+        select = f"SELECT /*+ BROADCAST(k) */ {value}"
+    else:
+        select = f"SELECT first({value})"
     key = "term" if exact else "lower(trim(term))"
     table = ".".join(quoted(part) for part in keys.split("."))
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {quoted(name)}(term STRING)
         RETURNS {returns}
-        RETURN (SELECT first({value}) FROM {table} k WHERE k.key = {key})
+        RETURN ({select} FROM {table} k WHERE k.key = {key})
         """
     )
 

@@ -21,10 +21,22 @@ Text = str | Column
 Number = int | Column
 
 # A pattern without regex syntax is a plain substring search.
-_PLAIN_TEXT = re.compile(r"[A-Za-z0-9 ]+")
+PLAIN_TEXT = r"\A[A-Za-z0-9 ]+\z"
 # A simple bracket class consumes a character whenever it matches.
-_SIMPLE_CLASS = re.compile(r"\[[^\[\]]+\]")
-_PLAIN_LETTERS = re.compile(r"[A-Za-z]+")
+SIMPLE_CLASS = r"\A\[[^\[\]]+\]\z"
+# An alphabet of plain letters with A, C, G, T and N among them.
+PLAIN_ALPHABET = r"\A(?=.*A)(?=.*C)(?=.*G)(?=.*T)(?=.*N)[A-Za-z]+\z"
+
+
+def _when_option(option: Text, form: str, then: Column, otherwise: Column) -> Column:
+    """Pick the plan by the option's form: now if it is fixed, else per row.
+
+    A regex that differs from row to row is compiled for each row, so the
+    shortcuts matter even more there.
+    """
+    if isinstance(option, str):
+        return then if re.search(form.replace(r"\z", r"\Z"), option) else otherwise
+    return F.when(F.rlike(option, F.lit(form)), then).otherwise(otherwise)
 
 
 def _col(value: str | int | Column) -> Column:
@@ -57,9 +69,12 @@ def uppercase(text: Column) -> Column:
 
 def natural_language(upper: Column, pattern: Text) -> Column:
     """Whether the pattern occurs. Looked for before gaps are removed."""
-    if isinstance(pattern, str) and _PLAIN_TEXT.fullmatch(pattern):
-        return F.contains(upper, F.lit(pattern))
-    return F.rlike(upper, _col(pattern))
+    return _when_option(
+        pattern,
+        PLAIN_TEXT,
+        F.contains(upper, _col(pattern)),
+        F.rlike(upper, _col(pattern)),
+    )
 
 
 def remove_gaps(upper: Column, pattern: Text) -> Column:
@@ -68,9 +83,12 @@ def remove_gaps(upper: Column, pattern: Text) -> Column:
 
 def gap_found(upper: Column, without_gaps: Column, pattern: Text) -> Column:
     """Whether the gap pattern matches, even where the match is empty."""
-    if isinstance(pattern, str) and _SIMPLE_CLASS.fullmatch(pattern):
-        return shortened(without_gaps, upper)
-    return F.rlike(upper, _col(pattern))
+    return _when_option(
+        pattern,
+        SIMPLE_CLASS,
+        shortened(without_gaps, upper),
+        F.rlike(upper, _col(pattern)),
+    )
 
 
 def rna_to_dna(text: Column) -> Column:
@@ -179,14 +197,13 @@ def count_non_acgtn(left: Column) -> Column:
 def count_non_iupac(text: Column, left: Column, iupac: Text) -> Column:
     """Characters outside the alphabet, which is spliced into a class.
 
-    An alphabet of plain letters that covers ACGTN needs only the leftover.
+    A plain alphabet that covers ACGTN needs only the leftover, mostly empty.
     """
-    covers = (
-        isinstance(iupac, str)
-        and _PLAIN_LETTERS.fullmatch(iupac)
-        and set("ACGTN") <= set(iupac)
+    foreign = _join("[^", iupac, "]")
+    in_leftover = F.when(F.octet_length(left) == 0, F.lit(0)).when(
+        F.octet_length(left) > 0, F.regexp_count(left, foreign)
     )
-    return F.regexp_count(left if covers else text, _join("[^", iupac, "]"))
+    return _when_option(iupac, PLAIN_ALPHABET, in_leftover, F.regexp_count(text, foreign))
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -71,12 +71,13 @@ def lookup(
         )
     else:
         wanted = ["concept"] + (["lineage"] if struct_as is not None else [])
+        small = fits_broadcast(keys, wanted, limits)
         right = keys.select(
             F.col("key").alias(_TMP + "match"),
             *[F.col(name).alias(_TMP + name) for name in wanted],
         )
         left = df.withColumn(_TMP + "key", match_key(F.col(column), exact))
-        if _fits_broadcast(right, limits):
+        if small:
             joined = left.join(
                 F.broadcast(right), F.col(_TMP + "key") == F.col(_TMP + "match"), "left"
             )
@@ -94,12 +95,12 @@ def lookup(
     return joined.select(*own, *results)
 
 
-def _fits_broadcast(right: DataFrame, limits: LookupLimits) -> bool:
-    """Count the rows and text bytes that a broadcast would ship."""
-    width = F.octet_length(_TMP + "match") + F.octet_length(_TMP + "concept")
-    if _TMP + "lineage" in right.columns:
-        width = width + F.octet_length(F.array_join(_TMP + "lineage", ","))
-    rows, size = right.select(
+def fits_broadcast(keys: DataFrame, columns: list[str], limits: LookupLimits) -> bool:
+    """Count the rows and text bytes of a key table that a broadcast would ship."""
+    width = F.octet_length("key") + F.octet_length("concept")
+    if "lineage" in columns:
+        width = width + F.octet_length(F.array_join("lineage", ","))
+    rows, size = keys.select(
         F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))
     ).first()
     return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes

@@ -1,0 +1,285 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from seqprep import (
+    LINEAGE_TYPE,
+    LookupLimits,
+    Vocabulary,
+    ambiguous_keys,
+    concept_lineage,
+    lookup,
+    lookup_terms,
+    read_vocabulary,
+    register_lookup,
+    register_lookup_lineage,
+    vocabulary_keys,
+)
+
+CONCEPTS = [
+    ("1", "Gene", None),
+    ("2", "Ribosomal", "1"),
+    ("3", "16S rRNA", "2"),
+    ("4", "18S rRNA", "2"),
+    ("5", "COI", "1"),
+    ("6", "Alone", None),
+    ("7", " Padded ", "6"),
+]
+LABELS = [
+    ("3", "SSU bacterial"),
+    ("3", "ssu BACTERIAL"),
+    ("3", "ssu"),
+    ("4", "ssu"),
+    ("5", "cox1"),
+    ("2", "COI"),
+    ("5", None),
+    ("4", ""),
+]
+SHUFFLED = LookupLimits(broadcast_rows=0, rows_per_slice=7)
+
+
+def frames(spark, concepts=CONCEPTS, labels=LABELS):
+    return Vocabulary(
+        spark.createDataFrame(concepts, "id STRING, name STRING, parent_id STRING"),
+        spark.createDataFrame(labels, "concept_id STRING, label STRING"),
+    )
+
+
+@pytest.fixture(scope="module")
+def keys(spark):
+    return vocabulary_keys(frames(spark))
+
+
+def terms(spark, values):
+    rows = list(enumerate(values))
+    return spark.createDataFrame(rows, "i INT, term STRING")
+
+
+EXPECTED = {
+    None: None,
+    "no such term": None,
+    "gene": ("Gene", []),
+    " GENE  ": ("Gene", []),
+    "ribosomal": ("Ribosomal", ["Gene"]),
+    "16s RRNA": ("16S rRNA", ["Gene", "Ribosomal"]),
+    "SSU Bacterial": ("16S rRNA", ["Gene", "Ribosomal"]),
+    "ssu": None,
+    "coi": ("COI", ["Gene"]),
+    "COX1": ("COI", ["Gene"]),
+    "padded": (" Padded ", ["Alone"]),
+    "": ("18S rRNA", ["Gene", "Ribosomal"]),
+    "\tgene": None,
+}
+
+
+@pytest.mark.parametrize("limits", [LookupLimits(), SHUFFLED], ids=["broadcast", "shuffled"])
+def test_lookup(spark, keys, limits):
+    found = lookup(
+        terms(spark, EXPECTED), "term", keys, concept_as="concept", struct_as="found", limits=limits
+    )
+    assert found.columns == ["i", "term", "concept", "found"]
+    rows = found.collect()
+    assert len(rows) == len(EXPECTED)
+    for row in rows:
+        want = EXPECTED[row["term"]]
+        if want is None:
+            assert row["concept"] is None and row["found"] is None, row
+        else:
+            assert row["concept"] == want[0]
+            assert (row["found"]["concept"], row["found"]["lineage"]) == want
+
+
+@pytest.mark.parametrize("limits", [LookupLimits(), LookupLimits(broadcast_rows=0)])
+def test_sql_functions(spark, keys, limits):
+    keys.createOrReplaceTempView("lookup_keys")
+    register_lookup(spark, "vocabLookup", "lookup_keys", limits=limits)
+    register_lookup_lineage(spark, "vocabLookupLineage", "lookup_keys", limits=limits)
+    terms(spark, EXPECTED).createOrReplaceTempView("lookup_terms")
+    rows = spark.sql(
+        """
+        SELECT term, vocabLookup(term) AS concept, vocabLookupLineage(term) AS found,
+               (vocabLookupLineage(term)).concept AS field,
+               get((vocabLookupLineage(term)).lineage, 0) AS top
+        FROM lookup_terms
+        """
+    ).collect()
+    assert len(rows) == len(EXPECTED)
+    for row in rows:
+        name, lineage = EXPECTED[row["term"]] or (None, None)
+        assert row["concept"] == row["field"] == name
+        assert (row["found"] and row["found"]["lineage"]) == lineage
+        assert row["top"] == (lineage[0] if lineage else None)
+
+
+def test_exact_match(spark):
+    keys = vocabulary_keys(frames(spark), exact=True)
+    found = lookup(
+        terms(spark, ["Gene", "gene", " Padded ", "Padded", "SSU bacterial"]),
+        "term",
+        keys,
+        concept_as="c",
+        exact=True,
+    )
+    got = {row["term"]: row["c"] for row in found.collect()}
+    assert got == {
+        "Gene": "Gene",
+        "gene": None,
+        " Padded ": " Padded ",
+        "Padded": None,
+        "SSU bacterial": "16S rRNA",
+    }
+
+
+def test_result_types(spark, keys):
+    df = lookup(terms(spark, ["x"]), "term", keys, concept_as="c", struct_as="s")
+    assert df.schema["c"].dataType.simpleString() == "string"
+    assert df.schema["s"].dataType.simpleString() == LINEAGE_TYPE.simpleString()
+    empty = lookup(terms(spark, ["x"]), "term", None, struct_as="s", on_missing="null")
+    assert empty.schema["s"].dataType.simpleString() == LINEAGE_TYPE.simpleString()
+
+
+def test_missing_vocabulary(spark):
+    with pytest.raises(ValueError, match="no vocabulary"):
+        lookup(terms(spark, ["Gene"]), "term", None, concept_as="c")
+    row = lookup(
+        terms(spark, ["Gene"]), "term", None, concept_as="c", struct_as="s", on_missing="null"
+    ).first()
+    assert row["c"] is None and row["s"] is None
+
+
+@pytest.mark.parametrize("limits", [LookupLimits(), SHUFFLED])
+def test_empty_vocabulary(spark, limits):
+    keys = vocabulary_keys(frames(spark, [], []))
+    row = lookup(
+        terms(spark, ["Gene"]), "term", keys, concept_as="c", struct_as="s", limits=limits
+    ).first()
+    assert row["c"] is None and row["s"] is None
+
+
+def test_needs_a_result_name(spark, keys):
+    with pytest.raises(ValueError, match="result column"):
+        lookup(terms(spark, ["x"]), "term", keys)
+    with pytest.raises(ValueError, match="on_missing"):
+        lookup(terms(spark, ["x"]), "term", keys, concept_as="c", on_missing="skip")
+
+
+def test_projection_follows_the_options(spark, keys):
+    df = spark.createDataFrame([("d", 1, "gene", "z")], "datasetkey STRING, gbifid LONG, v STRING, o STRING")
+    base = ["datasetkey", "gbifid", "raw_v"]
+    assert lookup_terms(df, keys, "v", "c").columns == base + ["c"]
+    assert lookup_terms(df, keys, "v", None, "s").columns == base + ["s"]
+    assert lookup_terms(df, keys, "v", "c", "s").columns == base + ["c", "s"]
+
+
+def test_keys_are_unique(keys):
+    assert keys.count() == keys.select("key").distinct().count()
+    assert "ssu" not in {row["key"] for row in keys.collect()}
+
+
+def test_ambiguous_keys(spark):
+    rows = ambiguous_keys(frames(spark)).collect()
+    assert [(row["key"], row["concepts"]) for row in rows] == [("ssu", 2)]
+    twins = frames(spark, CONCEPTS + [("8", "gene", None)])
+    got = {row["key"]: row["concepts"] for row in ambiguous_keys(twins).collect()}
+    assert got == {"ssu": 2, "gene": 2}
+    assert "gene" not in {row["key"] for row in vocabulary_keys(twins).collect()}
+
+
+def test_vocabulary_without_labels(spark):
+    keys = vocabulary_keys(Vocabulary(frames(spark).concepts))
+    assert keys.count() == len(CONCEPTS)
+
+
+def test_read_vocabulary(spark):
+    source = frames(spark)
+    source.concepts.createOrReplaceTempView("voc_concept")
+    source.labels.createOrReplaceTempView("voc_label")
+    assert read_vocabulary(spark, "voc_concept", "voc_label").labels.count() == len(LABELS)
+    assert read_vocabulary(spark, "voc_concept").labels is None
+    with pytest.raises(ValueError, match="not found"):
+        read_vocabulary(spark, "voc_absent")
+    with pytest.raises(ValueError, match="lacks"):
+        read_vocabulary(spark, "voc_label")
+
+
+def test_lineage(spark):
+    got = {r["id"]: r["lineage"] for r in concept_lineage(frames(spark).concepts).collect()}
+    assert got["3"] == ["Gene", "Ribosomal"]
+    assert got["1"] == [] and got["7"] == ["Alone"]
+    assert len(got) == len(CONCEPTS)
+
+
+def test_deep_lineage(spark):
+    """Deeper than Spark's default recursion limit, which is put back after."""
+    before = spark.conf.get("spark.sql.cteRecursionLevelLimit")
+    chain = [(str(i), f"c{i}", str(i - 1) if i else None) for i in range(int(before) + 20)]
+    tree = concept_lineage(frames(spark, chain).concepts)
+    last = tree.where(F.col("id") == chain[-1][0]).first()
+    assert last["lineage"] == [name for _, name, _ in chain[:-1]]
+    assert spark.conf.get("spark.sql.cteRecursionLevelLimit") == before
+
+
+@pytest.mark.parametrize(
+    "extra, message",
+    [
+        ([("8", "Loop", "9"), ("9", "Back", "8")], "2 concepts"),
+        ([("8", "Self", "8")], "1 concepts"),
+        ([("8", "Orphan", "nowhere")], "1 concepts"),
+        ([("1", "Again", None)], "unique"),
+        ([(None, "No id", None)], "present"),
+    ],
+    ids=["cycle", "self", "orphan", "repeated", "missing"],
+)
+def test_broken_trees_are_rejected(spark, extra, message):
+    with pytest.raises(ValueError, match=message):
+        concept_lineage(frames(spark, CONCEPTS + extra).concepts)
+
+
+def skewed_terms(spark):
+    rng = random.Random(7)
+    values = ["GENE"] * 400 + [None] * 300 + ["nothing here"] * 200
+    values += rng.choices(["coi", "cox1", "16S rRNA", "ssu", "x", "alone"], k=300)
+    rng.shuffle(values)
+    # Copies of the same row as well: one id for all hot rows.
+    rows = [(0 if v == "GENE" else i, v, {"a": "b"}) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "i INT, term STRING, extra MAP<STRING, STRING>").repartition(6)
+
+
+def test_shuffled_lookup_keeps_every_row_of_hot_terms(spark, keys):
+    df = skewed_terms(spark)
+    count = lambda found: {
+        tuple(map(str, row[:4])): row["n"]
+        for row in found.groupBy("i", "term", "c", "s").agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    small = lookup(df, "term", keys, concept_as="c", struct_as="s")
+    large = lookup(df, "term", keys, concept_as="c", struct_as="s", limits=SHUFFLED)
+    assert large.columns == small.columns == ["i", "term", "extra", "c", "s"]
+    assert count(large) == count(small)
+    assert large.count() == df.count()
+
+
+def test_hot_terms_are_spread(spark, keys):
+    """No task gets more than a small part of a hot or missing term."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(4000).select(
+            F.col("id"),
+            F.when(F.col("id") % 3 == 0, "gene").when(F.col("id") % 3 == 1, None).otherwise(
+                F.concat(F.lit("t"), F.col("id").cast("string"))
+            ).alias("term"),
+        )
+        limits = LookupLimits(broadcast_rows=0, rows_per_slice=10)
+        found = lookup(rows, "term", keys, concept_as="c", limits=limits)
+        sizes = [
+            r["n"]
+            for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+        ]
+        assert sum(sizes) == 4000
+        assert max(sizes) < 2 * 4000 / 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -127,9 +127,10 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stage(value: Column) -> Query:
+def stage(value: Callable[[], Column]) -> Query:
+    """``value`` is built when the query runs, since Columns need a session."""
     return lambda spark, sf_dir: staged(spark, sf_dir).select(
-        "datasetkey", "gbifid", value.alias("value")
+        "datasetkey", "gbifid", value().alias("value")
     )
 
 
@@ -143,36 +144,55 @@ def result_field(name: str) -> Query:
     )
 
 
-def stage_queries() -> dict[str, Query]:
-    raw, packed, upper, ungapped = map(F.col, ("raw", "packed", "upper", "ungapped"))
-    known, trimmed, final = map(F.col, ("known", "trimmed", "final"))
-    left, length = F.col("left"), F.col("length")
-    n = S.count_n(final)
-    return {
-        "ws_flag": stage(S.shortened(packed, raw)),
-        "strip_whitespace": stage(packed),
-        "uppercase": stage(upper),
-        "natural_language": stage(S.natural_language(upper, OPT.natural_language_regex)),
-        "gap_flag": stage(S.gap_found(upper, ungapped, OPT.gap_regex)),
-        "remove_gaps": stage(ungapped),
-        "gaps_or_ws_flag": result_field("gapsOrWhitespaceRemoved"),
-        "rna_to_dna": stage(F.col("dna")),
-        "question_to_n": stage(known),
-        "trim_front": stage(S.trim_front(known, OPT.anchor_chars, OPT.anchor_minrun)),
-        "trim_to_anchors": stage(trimmed),
-        "ends_trimmed": stage(S.shortened(trimmed, known)),
-        "n_runs_capped": stage(S.capped_runs(trimmed, OPT.nrun_cap_from)),
-        "cap_n_runs": stage(final),
-        "sequence_length": stage(length),
-        "n_fraction": stage(S.ratio(n, length)),
-        "non_acgtn_fraction": stage(S.ratio(S.count_non_acgtn(left), length)),
-        "non_iupac_fraction": stage(
-            S.ratio(S.count_non_iupac(final, left, OPT.iupac_dna), length)
-        ),
-        "gc_content": stage(S.ratio(S.count_gc(final), S.count_acgt(final, left, n))),
-        "sequence_id": stage(S.sequence_id(final)),
-        "invalid_flag": result_field("invalid"),
-    }
+def text(name: str) -> Query:
+    return stage(lambda: F.col(name))
+
+
+def n_fraction() -> Column:
+    return S.ratio(S.count_n(F.col("final")), F.col("length"))
+
+
+def non_acgtn_fraction() -> Column:
+    return S.ratio(S.count_non_acgtn(F.col("left")), F.col("length"))
+
+
+def non_iupac_fraction() -> Column:
+    foreign = S.count_non_iupac(F.col("final"), F.col("left"), OPT.iupac_dna)
+    return S.ratio(foreign, F.col("length"))
+
+
+def gc_content() -> Column:
+    final = F.col("final")
+    return S.ratio(S.count_gc(final), S.count_acgt(final, F.col("left"), S.count_n(final)))
+
+
+STAGE_QUERIES: dict[str, Query] = {
+    "ws_flag": stage(lambda: S.shortened(F.col("packed"), F.col("raw"))),
+    "strip_whitespace": text("packed"),
+    "uppercase": text("upper"),
+    "natural_language": stage(
+        lambda: S.natural_language(F.col("upper"), OPT.natural_language_regex)
+    ),
+    "gap_flag": stage(lambda: S.gap_found(F.col("upper"), F.col("ungapped"), OPT.gap_regex)),
+    "remove_gaps": text("ungapped"),
+    "gaps_or_ws_flag": result_field("gapsOrWhitespaceRemoved"),
+    "rna_to_dna": text("dna"),
+    "question_to_n": text("known"),
+    "trim_front": stage(
+        lambda: S.trim_front(F.col("known"), OPT.anchor_chars, OPT.anchor_minrun)
+    ),
+    "trim_to_anchors": text("trimmed"),
+    "ends_trimmed": stage(lambda: S.shortened(F.col("trimmed"), F.col("known"))),
+    "n_runs_capped": stage(lambda: S.capped_runs(F.col("trimmed"), OPT.nrun_cap_from)),
+    "cap_n_runs": text("final"),
+    "sequence_length": text("length"),
+    "n_fraction": stage(n_fraction),
+    "non_acgtn_fraction": stage(non_acgtn_fraction),
+    "non_iupac_fraction": stage(non_iupac_fraction),
+    "gc_content": stage(gc_content),
+    "sequence_id": stage(lambda: S.sequence_id(F.col("final"))),
+    "invalid_flag": result_field("invalid"),
+}
 
 
 # --- the pipeline and its options --------------------------------------------
@@ -342,7 +362,7 @@ def queries() -> dict[str, Query]:
         "vocab_scan": vocab_scan,
         "filter_non_null": filter_non_null,
         "null_propagation": null_propagation,
-        **stage_queries(),
+        **STAGE_QUERIES,
         "process_sequences": clean_with(lambda: None),
         "sql_process_sequence": sql_process_sequence,
         "clean_default_opts": clean_with(dict),
