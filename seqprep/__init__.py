@@ -3,7 +3,8 @@
 from seqprep.functions.options import CleanOptions
 from seqprep.functions.sql import register_lookup, register_lookup_lineage, register_sql
 from seqprep.operators.clean import RESULT_TYPE, clean_columns, clean_sequences
-from seqprep.operators.lookup import LINEAGE_TYPE, LookupLimits, lookup
+from seqprep.operators.limits import LookupLimits
+from seqprep.operators.lookup import LINEAGE_TYPE, lookup
 from seqprep.operators.vocabulary import ambiguous_keys, concept_lineage, vocabulary_keys
 from seqprep.plans.process_sequences import process_sequences, process_sequences_job
 from seqprep.plans.vocabulary_lookup import lookup_job, lookup_terms

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 from seqprep.functions.options import DEFAULTS, INT_TEXT
 from seqprep.functions.stages import PLAIN_ALPHABET, PLAIN_TEXT, SIMPLE_CLASS
 from seqprep.operators.clean import RESULT_TYPE, quoted
-from seqprep.operators.lookup import LookupLimits, fits_broadcast
+from seqprep.operators.limits import LookupLimits, fits_broadcast
 
 
 def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
@@ -77,7 +77,7 @@ def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
           FROM (SELECT *, regexp_replace(upper_text, gapRegex, '') AS ungapped
           FROM (SELECT *, upper(packed) AS upper_text
           FROM (SELECT *,
-            regexp_replace(dna, r'\s+', '') AS packed,
+            regexp_replace(dna, r'\s', '') AS packed,
             concat('[', anchorChars, ']{{', anchorMinrun, ',}}') AS run,
             concat('N{{', nrunCapFrom, ',}}') AS cap
           FROM (SELECT {options}))))))))))))

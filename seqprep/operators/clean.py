@@ -139,7 +139,8 @@ def _stages(
         runs=S.capped_runs(tmp("trimmed"), opt.nrun_cap_from),
         final=S.cap_runs(tmp("trimmed"), opt.nrun_cap_from, opt.nrun_cap_to),
     )
-    out = step(out, left=S.leftover(tmp("final")), n=S.count_n(tmp("final")))
+    out = step(out, no_gc=S.without_gc(tmp("final")))
+    out = step(out, left=S.leftover(tmp("no_gc")), n=S.count_n(tmp("no_gc")))
     out = step(out, length=S.sequence_length(tmp("final"), tmp("left")))
     out = step(
         out,
@@ -160,7 +161,7 @@ def _stages(
         "nonACGTNFraction": S.ratio(S.count_non_acgtn(tmp("left")), tmp("length")),
         "nFraction": S.ratio(tmp("n"), tmp("length")),
         "nNrunsCapped": tmp("runs"),
-        "gcContent": S.ratio(S.count_gc(tmp("final")), tmp("acgt")),
+        "gcContent": S.ratio(S.count_gc(tmp("final"), tmp("no_gc")), tmp("acgt")),
         "naturalLanguageDetected": tmp("language"),
         "endsTrimmed": tmp("cut"),
         "gapsOrWhitespaceRemoved": tmp("removed"),

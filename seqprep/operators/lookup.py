@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqprep.operators.clean import quoted
+from seqprep.operators.limits import LookupLimits, fits_broadcast
 from seqprep.operators.vocabulary import match_key
 
 # Fields of the lineage result.
@@ -24,20 +23,6 @@ _TMP = "__seqprep_"
 _NULL_SLICES = 1 << 20
 
 
-@dataclass(frozen=True)
-class LookupLimits:
-    """When to broadcast the key table, and how finely to cut a hot term.
-
-    Key tables within both broadcast limits (counted, not estimated) are
-    broadcast. Larger ones are joined by shuffle, where a term with more than
-    ``rows_per_slice`` rows is spread over several tasks.
-    """
-
-    broadcast_rows: int = 1_000_000
-    broadcast_bytes: int = 64 << 20
-    rows_per_slice: int = 2_000_000
-
-
 def lookup(
     df: DataFrame,
     column: str,
@@ -95,17 +80,6 @@ def lookup(
     return joined.select(*own, *results)
 
 
-def fits_broadcast(keys: DataFrame, columns: list[str], limits: LookupLimits) -> bool:
-    """Count the rows and text bytes of a key table that a broadcast would ship."""
-    width = F.octet_length("key") + F.octet_length("concept")
-    if "lineage" in columns:
-        width = width + F.octet_length(F.array_join("lineage", ","))
-    rows, size = keys.select(
-        F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))
-    ).first()
-    return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes
-
-
 def _shuffled(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFrame:
     """Left join by shuffle on ``(key, slice)``.
 

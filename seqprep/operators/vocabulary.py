@@ -11,12 +11,10 @@ Matching rules, which are this package's own choice:
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqprep.operators.limits import LookupLimits, text_bytes
 from seqprep.sources.tables import materialise
 from seqprep.sources.vocabulary import Vocabulary
 
@@ -25,43 +23,86 @@ def match_key(text: Column, exact: bool = False) -> Column:
     return text if exact else F.lower(F.trim(text))
 
 
-def concept_lineage(concepts: DataFrame) -> DataFrame:
+def concept_lineage(
+    concepts: DataFrame, limits: LookupLimits = LookupLimits()
+) -> DataFrame:
     """``(id, name, lineage)``: each concept with the names above it.
 
-    Walks down from the roots, one level of children per step. A concept has
-    one parent, so the walk ends; what it cannot reach hangs off a cycle or an
-    unknown parent and raises ``ValueError``, as do missing or repeated ids.
+    Every round doubles how far up all concepts have looked, by a join of the
+    table with itself, so a tree of depth d takes about log2(d) rounds. Only
+    counts reach the driver. Raises ``ValueError`` for missing or repeated ids,
+    unknown parents and cycles.
     """
-    spark = concepts.sparkSession
-    with _unlimited_recursion(spark):
-        reached = materialise(
-            spark.sql(
-                """
-                WITH RECURSIVE tree(id, name, lineage) AS (
-                  SELECT id, name, CAST(array() AS ARRAY<STRING>)
-                  FROM {concepts} WHERE parent_id IS NULL
-                  UNION ALL
-                  SELECT c.id, c.name, t.lineage || array(t.name)
-                  FROM {concepts} c JOIN tree t ON c.parent_id = t.id
-                )
-                SELECT id, name, lineage FROM tree
-                """,
-                concepts=concepts.select("id", "name", "parent_id"),
-            )
-        )
-    _check_tree(concepts, reached)
-    return reached
+    # up: the next ancestor to ask; lineage: the names between it and the concept.
+    walk = concepts.select(
+        "id",
+        "name",
+        F.col("parent_id").alias("up"),
+        F.array().cast("array<string>").alias("lineage"),
+    )
+    rows, ids, distinct, climbing, size = walk.select(
+        F.count(F.lit(1)), F.count("id"), F.count_distinct("id"), *_progress()[1:]
+    ).first()
+    if ids < rows or distinct < ids:
+        raise ValueError("concept ids must be present and unique")
+    seen = 1
+    while climbing:
+        if seen > rows:
+            raise ValueError(f"{climbing} concepts hang off a cycle of parents")
+        walk = materialise(_climb(walk, limits.allow(rows, size)))
+        lost, climbing, size = walk.select(*_progress()).first()
+        if lost:
+            raise ValueError(f"{lost} concepts hang off an unknown parent")
+        seen *= 2
+    return walk.select("id", "name", "lineage")
+
+
+def _progress() -> list[Column]:
+    """Concepts that lost their way, those still climbing, and the table's size."""
+    return [
+        F.count_if(F.col("lineage").isNull()),
+        F.count_if(F.col("up").isNotNull()),
+        text_bytes(["id", "name", "up"], ["lineage"]),
+    ]
+
+
+def _climb(walk: DataFrame, small: bool) -> DataFrame:
+    """Put what the ancestor in ``up`` knows in front of each lineage."""
+    above = walk.select(
+        F.col("id").alias("above_id"),
+        F.col("up").alias("above_up"),
+        F.concat("lineage", F.array("name")).alias("above_lineage"),
+    )
+    up = F.col("up")
+    # A concept at the top joins on its own id, which spreads such rows over
+    # the tasks, and the second condition keeps it from matching itself.
+    joined = walk.join(
+        F.broadcast(above) if small else above,
+        (F.coalesce(up, F.col("id")) == F.col("above_id")) & up.isNotNull(),
+        "left",
+    )
+    longer = F.concat("above_lineage", "lineage")
+    return joined.select(
+        "id",
+        "name",
+        F.col("above_up").alias("up"),
+        F.when(up.isNull(), F.col("lineage")).otherwise(longer).alias("lineage"),
+    )
 
 
-def vocabulary_keys(vocabulary: Vocabulary, exact: bool = False) -> DataFrame:
+def vocabulary_keys(
+    vocabulary: Vocabulary, exact: bool = False, limits: LookupLimits = LookupLimits()
+) -> DataFrame:
     """``(key, concept, lineage)``, unique by key, computed once.
 
     The table to look terms up in. Save it to share it between jobs.
     """
     owner = _key_owners(vocabulary, exact).where(F.col("concept_id").isNotNull())
-    tree = concept_lineage(vocabulary.concepts)
+    tree = concept_lineage(vocabulary.concepts, limits)
+    rows, size = tree.select(F.count(F.lit(1)), text_bytes(["id", "name"], ["lineage"])).first()
+    known = F.broadcast(tree) if limits.allow(rows, size) else tree
     return materialise(
-        owner.join(tree, F.col("concept_id") == F.col("id")).select(
+        owner.join(known, F.col("concept_id") == F.col("id")).select(
             "key", F.col("name").alias("concept"), "lineage"
         )
     )
@@ -119,29 +160,3 @@ def _key_owners(vocabulary: Vocabulary, exact: bool) -> DataFrame:
         F.when(F.col("first_name") == F.col("last_name"), F.col("first_name")),
     ).when(F.col("first_label") == F.col("last_label"), F.col("first_label"))
     return bounds.select("key", owner.alias("concept_id"))
-
-
-def _check_tree(concepts: DataFrame, reached: DataFrame) -> None:
-    """Three counts over the vocabulary; nothing else reaches the driver."""
-    rows, ids, distinct = concepts.select(
-        F.count(F.lit(1)), F.count("id"), F.count_distinct("id")
-    ).first()
-    if ids < rows or distinct < ids:
-        raise ValueError("concept ids must be present and unique")
-    lost = rows - reached.count()
-    if lost:
-        raise ValueError(f"{lost} concepts hang off a cycle or an unknown parent")
-
-
-@contextmanager
-def _unlimited_recursion(spark: SparkSession) -> Iterator[None]:
-    """Lift the recursion limits: the depth and size of the tree bound it."""
-    names = ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit")
-    before = {name: spark.conf.get(name) for name in names}
-    try:
-        for name in names:
-            spark.conf.set(name, "-1")
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)

@@ -1,6 +1,5 @@
 """Job: clean the sequences of a table into a new table.
 
-    spark-submit run_job.py process-sequences --source-table s --target-table t
 """
 
 from __future__ import annotations

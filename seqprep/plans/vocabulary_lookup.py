@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.operators.lookup import LookupLimits, lookup
+from seqprep.operators.limits import LookupLimits
+from seqprep.operators.lookup import lookup
 from seqprep.operators.vocabulary import vocabulary_keys
 from seqprep.plans.process_sequences import KEYS
 from seqprep.sources.tables import read_table, write_table

@@ -151,3 +151,18 @@ def test_read_table_accepts_views(spark):
 def test_shared_folder_is_the_configured_one(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert configured in shared_folder(spark)
+
+
+def test_command_line(spark, source, vocabulary, capsys):
+    import run_job
+
+    vocabulary.concepts.createOrReplaceTempView("cli_concept")
+    assert run_job.main(["process-sequences", "-s", source, "-t", "cli_cleaned"]) == len(DEFAULT_CASES)
+    assert spark.table("cli_cleaned").columns == JOB_COLUMNS
+    options = ["lookup", "-s", source, "-t", "cli_found", "--concept-table", "cli_concept"]
+    options += ["-c", "v_targetgene"]
+    with pytest.raises(SystemExit, match="result-column"):
+        run_job.main(options)
+    run_job.main(options + ["-r", "gene", "--result-concept-column", "s"])
+    assert spark.table("cli_found").columns[2:] == ["raw_v_targetgene", "gene", "s"]
+    assert f"{len(DEFAULT_CASES)} rows" in capsys.readouterr().out

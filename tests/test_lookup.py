@@ -212,22 +212,43 @@ def test_lineage(spark):
     assert len(got) == len(CONCEPTS)
 
 
-def test_deep_lineage(spark):
-    """Deeper than Spark's default recursion limit, which is put back after."""
-    before = spark.conf.get("spark.sql.cteRecursionLevelLimit")
-    chain = [(str(i), f"c{i}", str(i - 1) if i else None) for i in range(int(before) + 20)]
-    tree = concept_lineage(frames(spark, chain).concepts)
-    last = tree.where(F.col("id") == chain[-1][0]).first()
-    assert last["lineage"] == [name for _, name, _ in chain[:-1]]
-    assert spark.conf.get("spark.sql.cteRecursionLevelLimit") == before
+SHUFFLED_TREE = LookupLimits(broadcast_rows=0)
+
+
+@pytest.mark.parametrize("limits", [LookupLimits(), SHUFFLED_TREE], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5, 33])
+def test_lineage_of_a_chain(spark, depth, limits):
+    chain = [(str(i), f"c{i}", str(i - 1) if i else None) for i in range(depth)]
+    tree = concept_lineage(frames(spark, chain).concepts, limits)
+    got = {row["id"]: row["lineage"] for row in tree.collect()}
+    assert got == {str(i): [f"c{j}" for j in range(i)] for i in range(depth)}
+
+
+def test_lineage_of_a_random_forest(spark):
+    """Most concepts share one parent; compared with a walk in Python."""
+    rng = random.Random(3)
+    nodes = [("0", "n0", None)]
+    for i in range(1, 600):
+        parent = None if i % 50 == 0 else "0" if i % 3 else str(rng.randrange(i))
+        nodes.append((str(i), f"n{i}", parent))
+    parents = {i: parent for i, _, parent in nodes}
+    names = {i: name for i, name, _ in nodes}
+
+    def walk(i):
+        above = parents[i]
+        return [] if above is None else walk(above) + [names[above]]
+
+    tree = concept_lineage(frames(spark, nodes).concepts, SHUFFLED_TREE)
+    got = {row["id"]: row["lineage"] for row in tree.collect()}
+    assert got == {i: walk(i) for i in parents}
 
 
 @pytest.mark.parametrize(
     "extra, message",
     [
-        ([("8", "Loop", "9"), ("9", "Back", "8")], "2 concepts"),
-        ([("8", "Self", "8")], "1 concepts"),
-        ([("8", "Orphan", "nowhere")], "1 concepts"),
+        ([("8", "Loop", "9"), ("9", "Back", "8")], "2 concepts hang off a cycle"),
+        ([("8", "Self", "8"), ("9", "Below", "8")], "2 concepts hang off a cycle"),
+        ([("8", "Orphan", "nowhere"), ("9", "Below", "8")], "unknown parent"),
         ([("1", "Again", None)], "unique"),
         ([(None, "No id", None)], "present"),
     ],

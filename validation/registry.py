@@ -122,7 +122,8 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("known", S.unknown_to_n(c("dna")))
         .withColumn("trimmed", S.trim_to_anchors(c("known"), OPT.anchor_chars, OPT.anchor_minrun))
         .withColumn("final", S.cap_runs(c("trimmed"), OPT.nrun_cap_from, OPT.nrun_cap_to))
-        .withColumn("left", S.leftover(c("final")))
+        .withColumn("no_gc", S.without_gc(c("final")))
+        .withColumn("left", S.leftover(c("no_gc")))
         .withColumn("length", S.sequence_length(c("final"), c("left")))
     )
 
@@ -149,7 +150,7 @@ def text(name: str) -> Query:
 
 
 def n_fraction() -> Column:
-    return S.ratio(S.count_n(F.col("final")), F.col("length"))
+    return S.ratio(S.count_n(F.col("no_gc")), F.col("length"))
 
 
 def non_acgtn_fraction() -> Column:
@@ -162,8 +163,9 @@ def non_iupac_fraction() -> Column:
 
 
 def gc_content() -> Column:
-    final = F.col("final")
-    return S.ratio(S.count_gc(final), S.count_acgt(final, F.col("left"), S.count_n(final)))
+    final, no_gc = F.col("final"), F.col("no_gc")
+    acgt = S.count_acgt(final, F.col("left"), S.count_n(no_gc))
+    return S.ratio(S.count_gc(final, no_gc), acgt)
 
 
 STAGE_QUERIES: dict[str, Query] = {
