@@ -115,7 +115,7 @@ def _shuffled(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFra
     own = [
         F.col(quoted(field.name))
         for field in left.schema.fields
-        if "map<" not in field.dataType.simpleString()
+        if not any(t in field.dataType.simpleString() for t in ("map<", "variant"))
     ]
     row_hash = F.xxhash64(F.spark_partition_id(), *own)
     sliced_left = with_slices(left, "key").withColumn(

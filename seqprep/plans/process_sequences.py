@@ -1,6 +1,4 @@
-"""Job: clean the sequences of a table into a new table.
-
-"""
+"""Job: clean the sequences of a table into a new table."""
 
 from __future__ import annotations
 

@@ -71,18 +71,21 @@ def stage(value: str) -> str:
     return over_sequences(f"{KEYS}, {value} AS value")
 
 
-# Keys: names beat labels, and several claimants leave a key without owner.
-VOCABULARY = f"""
-    concept AS ({duckdb_text(CONCEPTS)}),
-    label AS ({duckdb_text(LABELS)}),
+TABLES = f"concept AS ({duckdb_text(CONCEPTS)}), label AS ({duckdb_text(LABELS)})"
+
+
+def vocabulary(exact: bool = False) -> str:
+    """Keys: names beat labels, and several claimants leave a key without owner."""
+    key = (lambda text: text) if exact else (lambda text: f"lower(trim({text}))")
+    return f"""{TABLES},
     tree AS (
       SELECT id, name, CAST([] AS VARCHAR[]) AS lineage FROM concept WHERE parent_id IS NULL
       UNION ALL
       SELECT c.id, c.name, list_append(t.lineage, t.name)
       FROM concept c JOIN tree t ON c.parent_id = t.id),
     claim AS (
-      SELECT lower(trim(name)) AS key, id AS concept_id, 0 AS rank FROM concept
-      UNION SELECT lower(trim(label)), concept_id, 1 FROM label),
+      SELECT {key('name')} AS key, id AS concept_id, 0 AS rank FROM concept
+      UNION SELECT {key('label')}, concept_id, 1 FROM label),
     best AS (SELECT *, min(rank) OVER (PARTITION BY key) AS top FROM claim),
     contest AS (SELECT key, count(DISTINCT concept_id) AS concepts, any_value(concept_id) AS concept_id
                 FROM best WHERE rank = top AND key IS NOT NULL GROUP BY key),
@@ -91,12 +94,12 @@ VOCABULARY = f"""
 
 
 def with_vocabulary(select: str) -> str:
-    return f"WITH RECURSIVE {VOCABULARY} {select}"
+    return f"WITH RECURSIVE {vocabulary()} {select}"
 
 
 def over_terms(values: str, terms: str = TERMS, exact: bool = False) -> str:
     key = "v_targetgene" if exact else "lower(trim(v_targetgene))"
-    return f"""WITH RECURSIVE {VOCABULARY}, terms AS ({duckdb_text(terms)})
+    return f"""WITH RECURSIVE {vocabulary(exact)}, terms AS ({duckdb_text(terms)})
     SELECT datasetkey, gbifid, v_targetgene AS raw_v_targetgene, {values}
     FROM terms LEFT JOIN keys ON key = {key}"""
 
@@ -124,7 +127,7 @@ ORACLE_SQL: dict[str, str] = {
         f"""{KEYS}, cleaned_sequence, "sequenceLength", "gcContent", "nucleotideSequenceID", invalid""",
         "FROM clean WHERE v_dnasequence IS NOT NULL",
     ),
-    "vocab_scan": f"""WITH {VOCABULARY.split(', tree AS')[0].split('    tree AS')[0].rstrip().rstrip(',')}
+    "vocab_scan": f"""WITH {TABLES}
     SELECT 'concept' AS kind, id, name AS text, parent_id FROM concept
     UNION ALL SELECT 'label', concept_id, label, NULL FROM label""",
     # projections and predicates
@@ -178,9 +181,7 @@ ORACLE_SQL: dict[str, str] = {
     "lookup_concept": over_terms(CONCEPT),
     "lookup_lineage": over_terms(LINEAGE),
     "lookup_both": over_terms(f"{CONCEPT}, {LINEAGE}"),
-    "lookup_exact": over_terms(CONCEPT, exact=True).replace("lower(trim(name))", "name").replace(
-        "lower(trim(label))", "label"
-    ),
+    "lookup_exact": over_terms(CONCEPT, exact=True),
     "lookup_empty_vocab": f"""WITH terms AS ({duckdb_text(TERMS)})
     SELECT datasetkey, gbifid, v_targetgene AS raw_v_targetgene, CAST(NULL AS VARCHAR) AS target_gene,
     CAST(NULL AS VARCHAR) AS lineage_concept, CAST(NULL AS VARCHAR) AS lineage, TRUE AS unmatched FROM terms""",

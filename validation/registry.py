@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from seqprep import (
     CleanOptions,
     LookupLimits,
-    Vocabulary,
     ambiguous_keys,
     clean_columns,
     clean_sequences,
