@@ -97,10 +97,9 @@ def natural_language(upper: Column, pattern: Text) -> Column:
 
 def remove_gaps(upper: Column, pattern: Text) -> Column:
     removed = F.regexp_replace(upper, pattern, "")
-    usual = F.when(_contains_any(upper, GAP_CHARACTERS), removed).otherwise(upper)
-    if isinstance(pattern, str):
-        return usual if pattern == DEFAULTS["gapRegex"] else removed
-    return F.when(pattern == F.lit(DEFAULTS["gapRegex"]), usual).otherwise(removed)
+    if isinstance(pattern, str) and pattern == DEFAULTS["gapRegex"]:
+        return F.when(_contains_any(upper, GAP_CHARACTERS), removed).otherwise(upper)
+    return removed
 
 
 def gap_found(upper: Column, without_gaps: Column, pattern: Text) -> Column:
@@ -151,22 +150,22 @@ def trim_to_anchors(text: Column, chars: Text, minrun: Number) -> Column:
     )
 
 
-def _holds_run(text: Column, cap_from: Number) -> Column:
+def holds_run(text: Column, cap_from: Number) -> Column:
     """Cheap byte search that spares most rows the N-run regex."""
     if isinstance(cap_from, int):
         return F.contains(text, F.lit("N" * cap_from))
     return F.contains(text, F.repeat(F.lit("N"), cap_from))
 
 
-def capped_runs(text: Column, cap_from: Number) -> Column:
+def capped_runs(text: Column, found: Column, cap_from: Number) -> Column:
     """Number of N runs of at least ``cap_from``; none in an empty text."""
-    found = _holds_run(text, cap_from) & (F.octet_length(text) > 0)
-    return F.when(
-        found, F.regexp_count(text, _join("N{", cap_from, ",}"))
-    ).when(~found, F.lit(0))
+    if not isinstance(cap_from, int) or cap_from == 0:
+        found = found & (F.octet_length(text) > 0)
+    count = F.regexp_count(text, _join("N{", cap_from, ",}"))
+    return F.when(found, count).when(~found, F.lit(0))
 
 
-def cap_runs(text: Column, cap_from: Number, cap_to: Number) -> Column:
+def cap_runs(text: Column, found: Column, cap_from: Number, cap_to: Number) -> Column:
     """Set every N run of at least ``cap_from`` to exactly ``cap_to``."""
     if isinstance(cap_to, int):
         fill = F.lit("N" * cap_to)
@@ -175,10 +174,8 @@ def cap_runs(text: Column, cap_from: Number, cap_to: Number) -> Column:
         fill = F.when(cap_to < 0, negative.cast("string")).otherwise(
             F.repeat(F.lit("N"), cap_to)
         )
-    return F.when(
-        _holds_run(text, cap_from),
-        F.regexp_replace(text, _join("N{", cap_from, ",}"), fill),
-    ).otherwise(text)
+    capped = F.regexp_replace(text, _join("N{", cap_from, ",}"), fill)
+    return F.when(found, capped).otherwise(text)
 
 
 # --- metrics on the final text ----------------------------------------------
@@ -228,15 +225,13 @@ def count_non_iupac(text: Column, left: Column, iupac: Text) -> Column:
     A plain alphabet that covers ACGTN needs only the leftover, mostly empty.
     """
     foreign = _join("[^", iupac, "]")
-    in_leftover = F.when(F.octet_length(left) == 0, F.lit(0)).when(
-        F.octet_length(left) > 0, F.regexp_count(left, foreign)
-    )
+    in_leftover = F.regexp_count(left, foreign)
     return _when_option(iupac, PLAIN_ALPHABET, in_leftover, F.regexp_count(text, foreign))
 
 
 def ratio(part: Column, whole: Column) -> Column:
     """``part / whole``; null for an empty whole."""
-    return F.when(whole > 0, part / whole)
+    return F.try_divide(part, whole)
 
 
 def sequence_id(text: Column) -> Column:

@@ -97,14 +97,9 @@ def _stages(
     """Lay the stages over ``df``.
 
     Each step is its own projection, so a text that several later expressions
-    read is computed once per row.
+    read is computed once per row. All steps share one generated method, which
+    the JVM stops compiling beyond 8,000 bytes; keep the expressions small.
     """
-    if isinstance(options, Column):
-        opt: CleanOptions | RowOptions = RowOptions.from_column(options)
-    elif isinstance(options, CleanOptions):
-        opt = options
-    else:
-        opt = CleanOptions.from_map(options)
 
     def tmp(name: str) -> Column:
         return F.col(_TMP + name)
@@ -113,11 +108,14 @@ def _stages(
         return frame.withColumns({_TMP + name: col for name, col in columns.items()})
 
     raw = F.col(column) if isinstance(column, str) else column
-    out = step(df, raw=raw)
-    if isinstance(opt, RowOptions):
-        row_options = {f"opt_{name}": getattr(opt, name) for name in opt.__dataclass_fields__}
-        out = step(out, **row_options)
-        opt = RowOptions(**{name: tmp(f"opt_{name}") for name in opt.__dataclass_fields__})
+    if isinstance(options, Column):
+        row = RowOptions.from_column(tmp("options"))
+        columns = {f"opt_{name}": getattr(row, name) for name in row.__dataclass_fields__}
+        out = step(step(df, raw=raw, options=options), **columns)
+        opt = RowOptions(**{name: tmp(f"opt_{name}") for name in row.__dataclass_fields__})
+    else:
+        out = step(df, raw=raw)
+        opt = options if isinstance(options, CleanOptions) else CleanOptions.from_map(options)
 
     out = step(out, packed=S.strip_whitespace(tmp("raw")))
     out = step(out, upper=S.uppercase(tmp("packed")))
@@ -136,8 +134,12 @@ def _stages(
     out = step(
         out,
         cut=S.shortened(tmp("trimmed"), tmp("dna")),
-        runs=S.capped_runs(tmp("trimmed"), opt.nrun_cap_from),
-        final=S.cap_runs(tmp("trimmed"), opt.nrun_cap_from, opt.nrun_cap_to),
+        has_run=S.holds_run(tmp("trimmed"), opt.nrun_cap_from),
+    )
+    out = step(
+        out,
+        runs=S.capped_runs(tmp("trimmed"), tmp("has_run"), opt.nrun_cap_from),
+        final=S.cap_runs(tmp("trimmed"), tmp("has_run"), opt.nrun_cap_from, opt.nrun_cap_to),
     )
     out = step(out, no_gc=S.without_gc(tmp("final")))
     out = step(out, left=S.leftover(tmp("no_gc")), n=S.count_n(tmp("no_gc")))

@@ -120,7 +120,10 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("dna", S.rna_to_dna(c("ungapped")))
         .withColumn("known", S.unknown_to_n(c("dna")))
         .withColumn("trimmed", S.trim_to_anchors(c("known"), OPT.anchor_chars, OPT.anchor_minrun))
-        .withColumn("final", S.cap_runs(c("trimmed"), OPT.nrun_cap_from, OPT.nrun_cap_to))
+        .withColumn("has_run", S.holds_run(c("trimmed"), OPT.nrun_cap_from))
+        .withColumn(
+            "final", S.cap_runs(c("trimmed"), c("has_run"), OPT.nrun_cap_from, OPT.nrun_cap_to)
+        )
         .withColumn("no_gc", S.without_gc(c("final")))
         .withColumn("left", S.leftover(c("no_gc")))
         .withColumn("length", S.sequence_length(c("final"), c("left")))
@@ -184,7 +187,9 @@ STAGE_QUERIES: dict[str, Query] = {
     ),
     "trim_to_anchors": text("trimmed"),
     "ends_trimmed": stage(lambda: S.shortened(F.col("trimmed"), F.col("known"))),
-    "n_runs_capped": stage(lambda: S.capped_runs(F.col("trimmed"), OPT.nrun_cap_from)),
+    "n_runs_capped": stage(
+        lambda: S.capped_runs(F.col("trimmed"), F.col("has_run"), OPT.nrun_cap_from)
+    ),
     "cap_n_runs": text("final"),
     "sequence_length": text("length"),
     "n_fraction": stage(n_fraction),
