@@ -109,7 +109,7 @@ DEFAULT_CASES = [
     ),
     (
         "trimboth",
-        "THISISMYGBIFSEQUENCEACGTACGTACGTNNNNNENDOFSEQUENCE",
+        "THISISMYFIELDSEQUENCEACGTACGTACGTNNNNNENDOFSEQUENCE",
         None,
         seq("ACGTACGTACGT", endsTrimmed=True),
     ),
