@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqprep.llm import secrets
+from seqprep.llm import bpe, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_byte_bpe": bpe.op7_byte_bpe,
     "op6_secret_scan": secrets.op6_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {}
