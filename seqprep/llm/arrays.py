@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 21
 U64 = np.uint64
@@ -54,7 +55,7 @@ def chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterato
     column = batch.column(text)
     if not len(column):
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     parts = np.cumsum(sizes.astype(np.int64) + 16) // most
     cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(column)]
     for a, b in zip(cuts, cuts[1:]):
