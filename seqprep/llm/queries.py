@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqprep.llm import bpe, secrets
+from seqprep.llm import bpe, jaccard_join, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op6_secret_scan": secrets.op6_secret_scan,
 }
