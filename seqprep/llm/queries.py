@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqprep.llm import bpe, jaccard_join, secrets
+from seqprep.llm import bpe, jaccard_join, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": warc.op2_warc,
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op6_secret_scan": secrets.op6_secret_scan,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": warc.OP2_SQL,
+}
