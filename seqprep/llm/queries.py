@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqprep.llm import bpe, jaccard_join, language, secrets, warc
+from seqprep.llm import bpe, html_text, jaccard_join, language, secrets, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_html_text": html_text.op10_html_text,
     "op5_language_id": language.op5_language_id,
     "op2_warc": warc.op2_warc,
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
