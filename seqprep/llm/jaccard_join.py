@@ -1,11 +1,11 @@
 """N-gram Jaccard self-join with filters under several global token orders.
 
 A text's set holds the hashes of its word shingles. Two sets of similarity t or more
-share a token among the first n - ceil(t n) + 1 tokens of each, whatever the global
-order of tokens. So a pair is a candidate only if it shares such a prefix token under
-each of several orders. Every order puts tokens that are frequent in the corpus last
-and shuffles the rest by its own hash; how frequent a token is comes from a sketch of
-fixed size over all texts, which affects speed, never the result.
+share k tokens among the first n - ceil(t n) + k tokens of each, whatever the global
+order of tokens. So a pair is a candidate only if it shares that many prefix tokens
+under each of several orders. Every order puts tokens that are frequent in the corpus
+last, by its own scale, and orders equal ones by its own hash; how frequent a token is
+comes from a sketch of fixed size over all texts, which affects speed, never the result.
 
 Exact copies are one node from the start. A prefix token held by few nodes gives its
 pairs, and the pairs of all orders are intersected. One held by many nodes, as in a
@@ -41,10 +41,13 @@ from seqprep.llm.shared import materialise, quoted, table
 
 U64 = np.uint64
 #: Slots of the frequency sketch (one byte each) and slots in one of its blocks.
-SKETCH = 1 << 24
+SKETCH = 1 << 25
 BLOCK = 1 << 19
-#: Number of token orders.
-ORDERS = 3
+#: Token orders: the rank of each count (0 to 255) in the sketch. A hash of the order's
+#: own decides between tokens of the same rank.
+RANKS = [np.arange(256), np.floor(np.log2(np.maximum(np.arange(256), 1)))]
+#: Prefix tokens that a candidate pair shares under each order.
+SHARED = 4
 #: A prefix token held by more nodes than this is linked as a star.
 LIGHT = 12
 #: Tokens in one verification block (8 bytes each).
@@ -71,32 +74,43 @@ def slots(tokens: np.ndarray) -> np.ndarray:
     return (mix(tokens, 31) & U64(SKETCH - 1)).astype(np.int64)
 
 
-def _sketching(width: int) -> Callable[[Batches], Batches]:
+def _describing(width: int) -> Callable[[Batches], Batches]:
+    """A row for each text, and at a task's end rows for the blocks of its sketch."""
+
+    def rows(key: pa.Array, n: list, nodes: list) -> pa.RecordBatch:
+        blank = [pa.nulls(len(n), t) for t in (pa.int32(), pa.int32(), pa.binary())]
+        return pa.RecordBatch.from_arrays([key, pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), *blank], NAMES)
+
     def run(batches: Batches) -> Batches:
         counts = np.zeros(SKETCH, np.uint8)
-        seen = False
-        for _, sets in _sets(batches, width):
-            tokens = np.concatenate(sets) if sets else np.zeros(0, U64)
-            hit, n = np.unique(slots(tokens), return_counts=True)
+        kind = None
+        for part, sets in _sets(batches, width):
+            hit, n = np.unique(slots(np.concatenate(sets)), return_counts=True)
             counts[hit] = np.minimum(counts[hit] + n, 255)
-            seen |= len(hit) > 0
-        if not seen:
-            return
+            kind = part.column("key").type
+            yield rows(part.column("key"), [len(s) for s in sets], [node_of(s) if len(s) else None for s in sets])
         task = TaskContext.get().partitionId() % 64
-        ids, packed = [], []
-        for i in range(SKETCH // BLOCK):
+        for i in range(SKETCH // BLOCK if kind is not None else 0):
             block = counts[i * BLOCK : (i + 1) * BLOCK]
             if block.any():
-                ids.append(i)
-                packed.append(zlib.compress(block.tobytes(), 1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int32()), pa.array([task] * len(ids), pa.int32()), pa.array(packed, pa.binary())],
-            ["block", "part", "packed"],
-        )
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.nulls(1, kind),
+                        pa.nulls(1, pa.int64()),
+                        pa.nulls(1, pa.int64()),
+                        pa.array([i], pa.int32()),
+                        pa.array([task], pa.int32()),
+                        pa.array([zlib.compress(block.tobytes(), 1)], pa.binary()),
+                    ],
+                    NAMES,
+                )
 
     return run
 
 
+NAMES = ["key", "n_shingles", "node", "block", "part", "packed"]
+
+
 def _add_blocks(frame: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(BLOCK, np.uint16)
     for packed in frame["packed"]:
@@ -105,10 +119,9 @@ def _add_blocks(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": frame["block"].iloc[:1], "part": 0, "packed": [done]})
 
 
-def token_sketch(texts: DataFrame, width: int) -> np.ndarray:
-    """How many texts hold the tokens of each slot, at most 255; 16 MB at any input size."""
+def merged_sketch(parts: DataFrame) -> np.ndarray:
+    """How many texts hold the tokens of each slot, at most 255; 32 MB at any input size."""
     kind = "block int, part int, packed binary"
-    parts = texts.mapInArrow(_sketching(width), kind)
     half = parts.groupBy("block", "part").applyInPandas(_add_blocks, kind)
     whole = half.groupBy("block").applyInPandas(_add_blocks, kind)
     counts = np.zeros(SKETCH, np.uint8)
@@ -118,15 +131,18 @@ def token_sketch(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def _prefixes(width: int, percent: int, sketch) -> Callable[[Batches], Batches]:
-    """(order and token, node) of the prefixes, each node once a task."""
+    """(token, order, node, need) of the prefixes, each node once a task.
+
+    ``need`` is how many prefix tokens a similar set shares at least. A set of n has
+    t = ceil(percent n) tokens in common with such a set, and the first ``SHARED`` of
+    them are among its first n - t + ``SHARED``.
+    """
 
     def run(batches: Batches) -> Batches:
         counts = sketch.value
-        # a class is a doubling of the typical slot's count
-        usual = max(1.0, float(np.median(counts[counts > 0]))) if counts.any() else 1.0
-        classes = np.floor(np.log2(np.maximum(np.arange(256) / usual, 1))).astype(U64) << U64(56)
         seen: set[int] = set()
-        for part, sets in _sets(batches, width):
+        ranks = [r.astype(U64) << U64(56) for r in RANKS]
+        for _, sets in _sets(batches, width):
             tokens, nodes = [], []
             for s in sets:
                 if not len(s) or (node := node_of(s)) in seen:
@@ -134,38 +150,26 @@ def _prefixes(width: int, percent: int, sketch) -> Callable[[Batches], Batches]:
                 if len(seen) < 1 << 20:
                     seen.add(node)
                 n = len(s)
-                keep = n - -(-percent * n // 100) + 1
-                rank = classes[counts[slots(s)]]
-                for order in range(ORDERS):
+                common = -(-percent * n // 100)
+                keep, need = min(n, n - common + SHARED), min(SHARED, common)
+                held = counts[slots(s)]
+                for order, rank in enumerate(ranks):
                     key = mix(s, 41 + order)
                     if keep < n:
-                        key = key[np.argpartition(rank | (key >> U64(8)), keep - 1)[:keep]]
+                        key = key[np.argpartition(rank[held] | (key >> U64(8)), keep - 1)[:keep]]
                     tokens.append(key)
-                    nodes.append((node, keep))
+                    nodes.append((node, keep, order, need))
             if tokens:
-                token = np.concatenate(tokens).view(np.int64)
-                sizes = np.array([k for _, k in nodes])
-                node = np.repeat(np.array([x for x, _ in nodes], np.int64), sizes)
-                order = np.repeat(np.tile(np.arange(ORDERS, dtype=np.int8), len(nodes) // ORDERS), sizes)
+                sizes = np.array([x[1] for x in nodes])
+                columns = [np.array([x[i] for x in nodes], t) for i, t in ((2, np.int8), (0, np.int64), (3, np.int8))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token), pa.array(node), pa.array(order)], ["token", "node", "ord"]
+                    [pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.repeat(c, sizes)) for c in columns)],
+                    ["token", "ord", "node", "need"],
                 )
 
     return run
 
 
-def _describing(width: int) -> Callable[[Batches], Batches]:
-    def run(batches: Batches) -> Batches:
-        for part, sets in _sets(batches, width):
-            nodes = [node_of(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64())],
-                ["key", "n_shingles", "node"],
-            )
-
-    return run
-
-
 def _set_rows(width: int, bits) -> Callable[[Batches], Batches]:
     """(node, n, tokens) of the texts whose node passes the filter, each node once a task."""
 
@@ -265,34 +269,42 @@ def _linking(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return run
 
 
-def candidates(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(u, v): pairs of nodes that pass every order, and stars of the heavy tokens."""
-    spark = texts.sparkSession
-    sketch = spark.sparkContext.broadcast(token_sketch(texts, width))
-    rows = texts.mapInArrow(_prefixes(width, percent, sketch), "token long, node long, ord byte")
-    one = Window.partitionBy("ord", "token")
+def candidates(texts: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(u, v): pairs of nodes that pass every order, and stars of the heavy tokens.
+
+    A pair passes an order if the light tokens it shares, and the heavy ones that it may
+    share, are as many as it needs. One that shares heavy tokens only is in a star.
+    """
+    shared_sketch = texts.sparkSession.sparkContext.broadcast(sketch)
+    kind = "token long, ord byte, node long, need byte"
+    one = Window.partitionBy("token")
     shared = materialise(
-        rows.repartition("ord", "token")
-        .dropDuplicates(["ord", "token", "node"])
+        texts.mapInArrow(_prefixes(width, percent, shared_sketch), kind)
+        .repartition("token")
+        .dropDuplicates(["token", "node"])
         .withColumn("held", F.count(F.lit(1)).over(one))
         .where("held > 1")
         .withColumn("least", F.min("node").over(one))
     )
-    lists = shared.where(F.col("held") <= LIGHT).groupBy("ord", "token").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    orders = range(len(RANKS))
+    heavy = shared.where(F.col("held") > LIGHT)
+    hot = heavy.groupBy("node").agg(*[F.count_if(F.col("ord") == o).alias(f"hot{o}") for o in orders])
+    side = F.struct("node", "need", *[F.coalesce(f"hot{o}", F.lit(0)).alias(f"hot{o}") for o in orders])
+    lists = (
+        shared.where(F.col("held") <= LIGHT)
+        .join(hot, "node", "left")
+        .groupBy("token", "ord")
+        .agg(F.sort_array(F.collect_list(side)).alias("nodes"))
+    )
     pairs = lists.select("ord", "nodes", F.posexplode("nodes").alias("i", "u")).select(
         "ord", "u", F.explode(F.slice("nodes", F.col("i") + 2, LIGHT)).alias("v")
     )
-    pairs = pairs.groupBy("u", "v").agg(F.expr("bit_or(1 << ord)").alias("orders"))
-    heavy = shared.where(F.col("held") > LIGHT)
-    # under an order where both nodes hold heavy tokens, the pair is let pass
-    hot = heavy.groupBy("node").agg(F.expr("bit_or(1 << ord)").alias("hot"))
-    every = (1 << ORDERS) - 1
-    kept = (
-        pairs.join(hot.toDF("u", "hot_u"), "u", "left")
-        .join(hot.toDF("v", "hot_v"), "v", "left")
-        .where(F.col("orders").bitwiseOR(F.coalesce(F.expr("hot_u & hot_v"), F.lit(0))) == every)
-        .select("u", "v")
-    )
+    counted = pairs.groupBy("u", "v").agg(*[F.count_if(F.col("ord") == o).alias(f"n{o}") for o in orders])
+    for o in orders:
+        counted = counted.where(
+            F.col(f"n{o}") + F.least(f"u.hot{o}", f"v.hot{o}") >= F.greatest("u.need", "v.need")
+        )
+    kept = counted.select(F.col("u.node").alias("u"), F.col("v.node").alias("v"))
     stars = heavy.where("ord = 0 AND node <> least").select(F.col("least").alias("u"), F.col("node").alias("v"))
     return kept.union(stars).distinct()
 
@@ -311,11 +323,16 @@ def jaccard_components(
     texts = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
     only_text = texts.select("text")
-    groups = materialise(components(candidates(only_text, width, percent)))
+    schema = f"key {kind}, n_shingles long, node long, block int, part int, packed binary"
+    described = materialise(texts.mapInArrow(_describing(width), schema))
+    rows = described.where("n_shingles IS NOT NULL").select("key", "n_shingles", "node")
+    sketch = merged_sketch(described.where("packed IS NOT NULL").select("block", "part", "packed"))
+    groups = materialise(components(candidates(only_text, sketch, width, percent)))
     bits = df.sparkSession.sparkContext.broadcast(_node_filter(groups))
-    sets = only_text.mapInArrow(_set_rows(width, bits), "node long, n long, tokens binary")
-    sets = materialise(sets.dropDuplicates(["node"]))  # a hot copy comes once a task
-    volume = sets.drop("tokens").join(groups, "node").groupBy("component").agg(F.sum("n").alias("volume"))
+    # a hot copy comes once a task
+    sets = only_text.mapInArrow(_set_rows(width, bits), "node long, n long, tokens binary").dropDuplicates(["node"])
+    sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("n"))
+    volume = groups.join(sizes, "node").groupBy("component").agg(F.sum("n").alias("volume"))
     parts = groups.join(volume, "component").withColumn(
         "blocks", F.ceil(F.col("volume") / VERIFY_TOKENS).cast("int")
     ).withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
@@ -330,7 +347,6 @@ def jaccard_components(
     )
     classes = components(found, "node", "least")
     linked = found.groupBy("node").agg(F.sum("links").alias("n_links"))
-    rows = materialise(texts.mapInArrow(_describing(width), f"key {kind}, n_shingles long, node long"))
     # a name for every class of nodes: the least key of its rows
     keys = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("key"))
     named = keys.join(classes, "node", "left").select("node", "key", F.coalesce("component", "node").alias("class"))
