@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqprep.llm import ann, bpe, html_text, jaccard_join, language, secrets, warc
+from seqprep.llm import ann, bpe, html_text, jaccard_join, language, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": toxicity.op4_toxicity,
     "op9_nearest": ann.op9_nearest,
     "op10_html_text": html_text.op10_html_text,
     "op5_language_id": language.op5_language_id,
