@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from seqprep.llm.arrays import chunks, flat, mix, shingles, word_hashes
 from seqprep.llm.bpe import binary, gather
 from seqprep.llm.graph import components
-from seqprep.llm.shared import materialise, quoted, table
+from seqprep.llm.shared import bit_filter, materialise, quoted, table
 
 U64 = np.uint64
 #: Slots of the frequency sketch (one byte each) and slots in one of its blocks.
@@ -197,21 +197,6 @@ def _set_rows(width: int, bits) -> Callable[[Batches], Batches]:
     return run
 
 
-def _node_filter(nodes: DataFrame) -> np.ndarray:
-    """A bit for every node, 1 MB at any input size."""
-    place = F.expr(f"node & {FILTER_BITS - 1}")
-    maps = (
-        nodes.select(place.alias("at"))
-        .groupBy(F.expr("bitmap_bucket_number(at + 1)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at + 1))").alias("bits"))
-    )
-    table = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in maps.toLocalIterator():
-        at = (row.bucket - 1) * len(row.bits)
-        table[at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
-    return table
-
-
 def _linking(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Links within a block, or between the two blocks of a pair, as (node, least, links).
 
@@ -328,7 +313,7 @@ def jaccard_components(
     rows = described.where("n_shingles IS NOT NULL").select("key", "n_shingles", "node")
     sketch = merged_sketch(described.where("packed IS NOT NULL").select("block", "part", "packed"))
     groups = materialise(components(candidates(only_text, sketch, width, percent)))
-    bits = df.sparkSession.sparkContext.broadcast(_node_filter(groups))
+    bits = df.sparkSession.sparkContext.broadcast(bit_filter(groups, "node", FILTER_BITS))
     # a hot copy comes once a task
     sets = only_text.mapInArrow(_set_rows(width, bits), "node long, n long, tokens binary").dropDuplicates(["node"])
     sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("n"))

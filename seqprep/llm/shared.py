@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,16 +42,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def free_name(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` does not have, whatever the letter case."""
-    taken = {c.lower() for c in df.columns}
-    name, i = stem, 0
-    while name.lower() in taken:
-        i += 1
-        name = f"{stem}_{i}"
-    return name
-
-
 def quoted(name: str) -> str:
     """A column name as Spark reads it, also with dots in it."""
     return "`" + name.replace("`", "``") + "`"
+
+
+def bit_filter(values: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bit for each value modulo ``bits`` (a power of two): ``bits`` / 8 bytes at any size."""
+    maps = (
+        values.select(F.expr(f"({quoted(column)} & {bits - 1}) + 1").alias("at"))
+        .groupBy(F.expr("bitmap_bucket_number(at)").alias("bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"))
+    )
+    table = np.zeros(max(bits // 8, 4096), np.uint8)
+    for row in maps.toLocalIterator():
+        at = (row.bucket - 1) * len(row.bits)
+        table[at : at + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    return table
+
+
+def passes(table: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """Which values a ``bit_filter`` lets through: all that it was made from, and some more."""
+    at = (values.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
