@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqprep.llm import ann, bpe, decontaminate, html_text, jaccard_join, language, secrets, toxicity, warc
+from seqprep.llm import ann, bpe, decontaminate, html_text, jaccard_join, language, secrets, substring_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_substring_dedup": substring_dedup.op8_substring_dedup,
     "op3_decontaminate": decontaminate.op3_decontaminate,
     "op4_toxicity": toxicity.op4_toxicity,
     "op9_nearest": ann.op9_nearest,
