@@ -1,26 +1,80 @@
 """Pipeline over ``documents``: each stage reads what the one before it kept.
 
 A stage is a function (spark, docs, sf_dir) -> DataFrame. Its result is written as
-Parquet and read again as the next one's ``docs``.
+Parquet and read again as the next one's ``docs``. All stages but the last return the
+columns of ``docs``, whatever they are.
+
+Cases: rows with null texts have no language and go with the first stage. Rows without
+an id are documents like others. An empty table stays empty through all stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seqprep.llm import secrets
-from seqprep.llm.shared import new_folder, table
+from seqprep.llm import bpe, decontaminate, jaccard_join, language, secrets
+from seqprep.llm.shared import materialise, new_folder, small, table
 
 #: No SQL: language ID, the similarity join and the tokenizer are not expressible.
 ORACLE_SQL = None
+#: A document is rejected if its language holds less than this share of its n-grams.
+LEAST_FIT = 0.3
+#: Near duplicates: words of a shingle, and per cent of two documents' shingles.
+WIDTH, PERCENT = 5, 80
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without letters or in no learnt language."""
+    found = language.predict(docs, language.learn(docs), docs.columns)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("fit") >= LEAST_FIT)
+    return found.where(known).drop("lang_pred", "score", "fit")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates: the one with the least id.
 
+    Of rows that repeat the kept id within a group one stays.
+    """
+    classes = jaccard_join.jaccard_components(docs, width=WIDTH, percent=PERCENT)
+    groups = materialise(classes.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows")))
+    gone = small(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")))
+    again = small(groups.where((F.col("rows") > 1) & F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("again")))
+    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    once = kept.join(again, kept["doc_id"].eqNullSafe(again["again"]), "left_anti")
+    repeated = kept.join(again, kept["doc_id"].eqNullSafe(again["again"]), "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id"]))
 
-def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold an item of ``benchmark``."""
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    gone = small(materialise(found.select(F.col("doc_id").alias("gone")).distinct()))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask live-looking credentials; every document stays."""
     return secrets.redact_live(docs)
 
 
-STAGES = [("secret_scans", redact_secrets)]
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and whether they decode to its text."""
+    path = bpe.default_ranks()
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = bpe.encode(texts.withColumn("sha256", F.sha2("text", 256)), path, ["doc_id", "sha256"])
+    return bpe.decode(coded, path).select(
+        "doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("sha256")).alias("round_trip")
+    )
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("secret_scans", secret_scans),
+    ("byte_level_bpe", byte_bpe),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import SliceHash, chunks, flat
-from seqprep.llm.shared import quoted, table
+from seqprep.llm.shared import beside_text, fields, quoted, table
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: What may follow an apostrophe as one piece.
@@ -221,9 +221,8 @@ def encode(df: DataFrame, path: str, keep: list[str], text: str = "text") -> Dat
     ``path`` is a rank file that every worker can read. Each match of the pattern is
     encoded apart, without special tokens.
     """
-    rows = df.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text)).alias("text"))
-    fields = [f"{quoted(c)} {t}" for c, t in rows.dtypes[:-1]]
-    return rows.mapInArrow(_encoding(path), ", ".join([*fields, "n_tokens long", "ids binary"]))
+    rows = beside_text(df, keep, text)
+    return rows.mapInArrow(_encoding(path), fields(rows, "n_tokens long", "ids binary")).toDF(*keep, "n_tokens", "ids")
 
 
 def _decoding(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -249,10 +248,12 @@ def _decoding(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def decode(df: DataFrame, path: str) -> DataFrame:
-    """``df`` of ``encode`` with the bytes that its ``ids`` stand for, as ``decoded``."""
-    fields = [f"{quoted(c)} {t}" for c, t in df.dtypes]
-    return df.mapInArrow(_decoding(path), ", ".join([*fields, "decoded binary"]))
+def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
+    """``df`` with the bytes that its packed ``ids`` stand for, as ``decoded``."""
+    kept = [c for c in df.columns if c != ids]
+    rows = df.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(kept)], F.col(quoted(ids)).alias("ids"))
+    kind = fields(rows, "decoded binary")
+    return rows.mapInArrow(_decoding(path), kind).toDF(*kept, ids, "decoded")
 
 
 def default_ranks() -> str:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import BASE, BASE_INVERSE, U64, chunks, edges, flat, mix, powers
 from seqprep.llm.bpe import LETTER, classes
-from seqprep.llm.shared import materialise, quoted, table
+from seqprep.llm.shared import beside_text, fields, materialise, quoted, table
 
 #: Slots of the filter and slots of an n-gram.
 SLOTS = 1 << 20
@@ -234,11 +234,11 @@ def _predicting(model) -> Callable[[Batches], Batches]:
 def predict(df: DataFrame, model: Filter, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep``, ``lang_pred``, ``score`` (best against next language, 0 to 1)
     and ``fit`` (share of the text's n-grams that the language holds)."""
-    rows = df.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text)).alias("text"))
-    fields = [f"{quoted(c)} {t}" for c, t in rows.dtypes[:-1]]
+    rows = beside_text(df, keep, text)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kind = ", ".join([*fields, "lang_pred string", "score double", "fit double"])
-    return rows.mapInArrow(_predicting(shared), kind)
+    more = ["lang_pred", "score", "fit"]
+    kind = fields(rows, "lang_pred string", "score double", "fit double")
+    return rows.mapInArrow(_predicting(shared), kind).toDF(*keep, *more)
 
 
 def fold(key: str = "doc_id") -> Column:

@@ -65,3 +65,19 @@ def passes(table: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
     """Which values a ``bit_filter`` lets through: all that it was made from, and some more."""
     at = (values.view(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def beside_text(df: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """The columns ``keep`` as k0, k1, ... and the text as ``text``, so that no names clash."""
+    kept = [F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)]
+    return df.select(*kept, F.col(quoted(text)).alias("text"))
+
+
+def fields(rows: DataFrame, *more: str) -> str:
+    """The schema text of the columns of ``beside_text`` but the text, and of ``more``."""
+    return ", ".join([*(f"{c} {t}" for c, t in rows.dtypes if c != "text"), *more])
+
+
+def small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
+    """``df``, of a few short columns, to be broadcast if it has at most ``most_rows`` rows."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from seqprep.llm.arrays import BASE, BASE_INVERSE, U64, chunks, edges, flat, mix, powers
 from seqprep.llm.bpe import LETTER, classes
 from seqprep.llm.language import fold, lower_case
-from seqprep.llm.shared import materialise, quoted, table
+from seqprep.llm.shared import beside_text, fields, materialise, quoted, table
 
 #: Labelled texts that are learnt from, about.
 EXAMPLES = 8_000
@@ -274,11 +274,10 @@ def _scoring(shared) -> Callable[[Batches], Batches]:
 
 def score_toxicity(df: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep``, ``score`` and ``evidence``: the three nearest examples."""
-    rows = df.select(*[F.col(quoted(c)) for c in keep], F.col(quoted(text)).alias("text"))
-    fields = [f"{quoted(c)} {t}" for c, t in rows.dtypes[:-1]]
+    rows = beside_text(df, keep, text)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kind = [*fields, "score double", "evidence array<struct<doc_id:long,cosine:double,label:int>>"]
-    return rows.mapInArrow(_scoring(shared), ", ".join(kind))
+    kind = fields(rows, "score double", "evidence array<struct<doc_id:long,cosine:double,label:int>>")
+    return rows.mapInArrow(_scoring(shared), kind).toDF(*keep, "score", "evidence")
 
 
 # --- query ---------------------------------------------------------------------------
