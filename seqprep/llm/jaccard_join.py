@@ -19,7 +19,7 @@ text with fewer words than the width has its whole sequence as its one shingle.
 Repeated rows are copies of each other. Rows with a null key are grouped like others;
 a component of only such rows has no name (null). Extra columns are ignored.
 
-Sets and nodes are told apart by 64-bit hashes.
+Sets are told apart by 64-bit hashes, and tokens, where sets are verified, by 48 bits.
 """
 
 from __future__ import annotations
@@ -31,13 +31,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import chunks, flat, mix, shingles, word_hashes
 from seqprep.llm.bpe import binary, gather
 from seqprep.llm.graph import components
-from seqprep.llm.shared import bit_filter, materialise, quoted, table
+from seqprep.llm.shared import bit_filter, materialise, quoted, small, table
 
 U64 = np.uint64
 #: Slots of the frequency sketch (one byte each) and slots in one of its blocks.
@@ -47,10 +47,12 @@ BLOCK = 1 << 19
 #: own decides between tokens of the same rank.
 RANKS = [np.arange(256), np.floor(np.log2(np.maximum(np.arange(256), 1)))]
 #: Prefix tokens that a candidate pair shares under each order.
-SHARED = 4
+SHARED = 5
 #: A prefix token held by more nodes than this is linked as a star.
 LIGHT = 12
-#: Tokens in one verification block (8 bytes each).
+#: Bytes of a token where sets are verified: its upper 48 bits.
+TOKEN_BYTES = 6
+#: Tokens in one verification block.
 VERIFY_TOKENS = 2_000_000
 #: Bits of the filter that spares texts outside the candidate graph a third pass.
 FILTER_BITS = 1 << 23
@@ -189,7 +191,8 @@ def _set_rows(width: int, bits) -> Callable[[Batches], Batches]:
                         kept.append(s)
             if nodes:
                 sizes = np.array([len(s) for s in kept], np.int64)
-                packed = binary(np.concatenate(kept).view(np.uint8), np.append(0, np.cumsum(sizes)) * 8)
+                high = np.concatenate(kept).view(np.uint8).reshape(-1, 8)[:, 2:]
+                packed = binary(np.ascontiguousarray(high).ravel(), np.append(0, np.cumsum(sizes)) * TOKEN_BYTES)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nodes, pa.int64()), pa.array(sizes), packed], ["node", "n", "tokens"]
                 )
@@ -209,9 +212,11 @@ def _linking(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
         nodes = frame["node"].to_numpy()
         side = frame["block"].to_numpy()
         cross = side.min() != side.max()
-        sets = [np.frombuffer(t, U64) for t in frame["tokens"]]
-        sizes = np.array([len(s) for s in sets])
-        tokens = np.concatenate(sets)
+        sets = frame["tokens"].to_numpy()
+        sizes = np.array([len(s) // TOKEN_BYTES for s in sets])
+        wide = np.zeros((sizes.sum(), 8), np.uint8)
+        wide[:, 2:] = np.frombuffer(b"".join(sets), np.uint8).reshape(-1, TOKEN_BYTES)
+        tokens = wide.view(U64).ravel()
         owner = np.repeat(np.arange(len(sets)), sizes)
         order = np.argsort(tokens, kind="stable")
         ranked = tokens[order]
@@ -274,10 +279,14 @@ def candidates(texts: DataFrame, sketch: np.ndarray, width: int, percent: int) -
     orders = range(len(RANKS))
     heavy = shared.where(F.col("held") > LIGHT)
     hot = heavy.groupBy("node").agg(*[F.count_if(F.col("ord") == o).alias(f"hot{o}") for o in orders])
-    side = F.struct("node", "need", *[F.coalesce(f"hot{o}", F.lit(0)).alias(f"hot{o}") for o in orders])
+    # needs and heavy tokens in one number, four bits each: more than SHARED make no difference
+    packed = F.col("need").cast("int")
+    for o in orders:
+        packed += F.least(F.coalesce(f"hot{o}", F.lit(0)), F.lit(15)).cast("int") * 16 ** (o + 1)
+    side = F.struct("node", packed.alias("facts"))
     lists = (
         shared.where(F.col("held") <= LIGHT)
-        .join(hot, "node", "left")
+        .join(small(hot), "node", "left")
         .groupBy("token", "ord")
         .agg(F.sort_array(F.collect_list(side)).alias("nodes"))
     )
@@ -285,10 +294,14 @@ def candidates(texts: DataFrame, sketch: np.ndarray, width: int, percent: int) -
         "ord", "u", F.explode(F.slice("nodes", F.col("i") + 2, LIGHT)).alias("v")
     )
     counted = pairs.groupBy("u", "v").agg(*[F.count_if(F.col("ord") == o).alias(f"n{o}") for o in orders])
+
+
+    def fact(which: str, place: int) -> Column:
+        return F.shiftright(f"{which}.facts", 4 * place).bitwiseAND(15)
+
+    need = F.greatest(fact("u", 0), fact("v", 0))
     for o in orders:
-        counted = counted.where(
-            F.col(f"n{o}") + F.least(f"u.hot{o}", f"v.hot{o}") >= F.greatest("u.need", "v.need")
-        )
+        counted = counted.where(F.col(f"n{o}") + F.least(fact("u", o + 1), fact("v", o + 1)) >= need)
     kept = counted.select(F.col("u.node").alias("u"), F.col("v.node").alias("v"))
     stars = heavy.where("ord = 0 AND node <> least").select(F.col("least").alias("u"), F.col("node").alias("v"))
     return kept.union(stars).distinct()
