@@ -1,4 +1,4 @@
-"""Cleaning options: fixed defaults, overrides from a map, per-row overrides."""
+"""Cleaning options: fixed defaults and overrides from a map."""
 
 from __future__ import annotations
 
@@ -6,9 +6,6 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The option names and the default of each.
 DEFAULTS: dict[str, str | int] = {
     "anchorChars": "ACGTU",
@@ -69,36 +66,6 @@ class CleanOptions:
         return cls(**values)
 
 
-@dataclass(frozen=True)
-class RowOptions:
-    """Options as Columns, read from a ``map<string,string>`` on each row."""
-
-    anchor_chars: Column
-    anchor_minrun: Column
-    gap_regex: Column
-    natural_language_regex: Column
-    iupac_dna: Column
-    nrun_cap_from: Column
-    nrun_cap_to: Column
-
-    @classmethod
-    def from_column(cls, overrides: Column) -> RowOptions:
-        """The same rules as :meth:`CleanOptions.from_map`, row by row."""
-        values = {}
-        for field in cls.__dataclass_fields__:
-            key = _camel(field)
-            default = DEFAULTS[key]
-            text = overrides[F.lit(key)]
-            if isinstance(default, int):
-                number = F.when(
-                    F.rlike(text, F.lit(INT_TEXT)), text.try_cast("int")
-                )
-                values[field] = F.coalesce(number, F.lit(default))
-            else:
-                values[field] = F.coalesce(text, F.lit(default))
-        return cls(**values)
-
-
 def _int_or(text: str | None, default: int) -> int:
     if text is None or not re.fullmatch(r"[+-]?[0-9]+", text):
         return default
@@ -108,8 +75,3 @@ def _int_or(text: str | None, default: int) -> int:
 
 def _snake(key: str) -> str:
     return re.sub(r"[A-Z]", lambda m: "_" + m.group().lower(), key)
-
-
-def _camel(field: str) -> str:
-    head, *rest = field.split("_")
-    return head + "".join(word.capitalize() for word in rest)

@@ -6,12 +6,15 @@ expressions and joins, no opaque call.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 from seqprep.functions.options import DEFAULTS, INT_TEXT
 from seqprep.functions.stages import PLAIN_ALPHABET, PLAIN_TEXT, SIMPLE_CLASS
 from seqprep.operators.clean import RESULT_TYPE, quoted
 from seqprep.operators.limits import LookupLimits, fits_broadcast
+from seqprep.sources.tables import materialise
 
 
 def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
@@ -61,9 +64,7 @@ def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
               - octet_length(replace(replace(final, 'G', ''), 'C', '')) AS gc
           FROM (SELECT *, regexp_replace(final, '[ACGTN]+', '') AS rest
           FROM (SELECT *,
-            IF(has_run, regexp_replace(trimmed, cap,
-              IF(nrunCapTo < 0, raise_error('nrunCapTo must not be negative'),
-                 repeat('N', nrunCapTo))), trimmed) AS final
+            IF(has_run, regexp_replace(trimmed, cap, repeat('N', nrunCapTo)), trimmed) AS final
           FROM (SELECT *, contains(trimmed, repeat('N', nrunCapFrom)) AS has_run
           FROM (SELECT *, regexp_extract(plain, concat('(?s)', run, '(?:.*', run, ')?'), 0) AS trimmed
           FROM (SELECT *,
@@ -96,9 +97,9 @@ def register_lookup(
 ) -> None:
     """Install ``name(term)``: the concept name in the key table or view ``keys``.
 
-    A key table within the limits is broadcast. For a larger one Spark plans a
-    shuffled join and leaves hot terms to adaptive execution; the DataFrame
-    ``lookup`` cuts them itself.
+    The function is bound to the key table as it is now: a copy is made, measured
+    and broadcast. A table beyond the limits or with a repeated key raises
+    ``ValueError``; ``lookup`` joins larger tables and cuts hot terms.
     """
     _register_lookup(spark, name, keys, "STRING", "k.concept", ["concept"], exact, limits)
 
@@ -134,20 +135,19 @@ def _register_lookup(
     exact: bool,
     limits: LookupLimits,
 ) -> None:
-    # The scalar subquery becomes a join that keeps every term. Keys are unique:
-    # first() sees one row and is there for the shuffled form alone, which has
-    # no other way to promise one row.
-    if fits_broadcast(spark.table(keys), columns, limits):
-        select = f"SELECT /*+ BROADCAST(k) */ {value}"
-    else:
-        select = f"SELECT first({value})"
+    # The scalar subquery becomes a join that keeps every term. It reads a copy that
+    # a later change of the table or view cannot outgrow.
+    copy = materialise(spark.table(keys).select("key", *columns))
+    if not fits_broadcast(copy, columns, limits):
+        raise ValueError(f"{keys} is beyond the broadcast limits: use lookup() instead")
+    table = f"seqprep_keys_{uuid.uuid4().hex}"
+    copy.createOrReplaceTempView(table)
     key = "term" if exact else "lower(trim(term))"
-    table = ".".join(quoted(part) for part in keys.split("."))
     spark.sql(
         f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {quoted(name)}(term STRING)
         RETURNS {returns}
-        RETURN ({select} FROM {table} k WHERE k.key = {key})
+        RETURN (SELECT /*+ BROADCAST(k) */ {value} FROM {table} k WHERE k.key = {key})
         """
     )
 
@@ -156,5 +156,5 @@ def _option(key: str) -> str:
     default = DEFAULTS[key]
     if isinstance(default, int):
         number = f"IF(rlike(opts['{key}'], r'{INT_TEXT}'), try_cast(opts['{key}'] AS INT), NULL)"
-        return f"coalesce({number}, {default})"
+        return f"coalesce(IF({number} < 0, raise_error('{key} must not be negative'), {number}), {default})"
     return f"coalesce(opts['{key}'], r'{default}')"

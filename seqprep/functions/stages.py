@@ -170,10 +170,7 @@ def cap_runs(text: Column, found: Column, cap_from: Number, cap_to: Number) -> C
     if isinstance(cap_to, int):
         fill = F.lit("N" * cap_to)
     else:
-        negative = F.raise_error(F.lit("nrunCapTo must not be negative"))
-        fill = F.when(cap_to < 0, negative.cast("string")).otherwise(
-            F.repeat(F.lit("N"), cap_to)
-        )
+        fill = F.repeat(F.lit("N"), cap_to)
     capped = F.regexp_replace(text, _join("N{", cap_from, ",}"), fill)
     return F.when(found, capped).otherwise(text)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqprep.functions import stages as S
-from seqprep.functions.options import CleanOptions, RowOptions
+from seqprep.functions.options import CleanOptions
 
 Options = CleanOptions | Mapping[str, str] | Column | None
 
@@ -82,6 +82,22 @@ def clean_columns(
     )
 
 
+def _row_stages(
+    df: DataFrame, raw: Column, options: Column, seq_id: Column | None
+) -> tuple[DataFrame, dict[str, Column]]:
+    """Options by row: the SQL function, whose generated code stays small enough to compile."""
+    from seqprep.functions.sql import register_sql
+
+    register_sql(df.sparkSession, "seqprep_by_row")
+    given = df.withColumns({_TMP + "raw": raw, _TMP + "options": options})
+    call = F.expr(f"seqprep_by_row({_TMP}raw, {_TMP}options)")
+    out = given.withColumn(_TMP + "row", call)
+    fields = {name: F.col(_TMP + "row")[name] for name in RESULT_TYPE.names}
+    if seq_id is not None:
+        fields["seqId"] = seq_id
+    return out, fields
+
+
 def _own_columns(df: DataFrame) -> list[Column]:
     return [F.col(quoted(name)) for name in df.columns]
 
@@ -107,15 +123,11 @@ def _stages(
     def step(frame: DataFrame, **columns: Column) -> DataFrame:
         return frame.withColumns({_TMP + name: col for name, col in columns.items()})
 
-    raw = F.col(column) if isinstance(column, str) else column
+    raw = F.col(quoted(column)) if isinstance(column, str) else column
     if isinstance(options, Column):
-        row = RowOptions.from_column(tmp("options"))
-        columns = {f"opt_{name}": getattr(row, name) for name in row.__dataclass_fields__}
-        out = step(step(df, raw=raw, options=options), **columns)
-        opt = RowOptions(**{name: tmp(f"opt_{name}") for name in row.__dataclass_fields__})
-    else:
-        out = step(df, raw=raw)
-        opt = options if isinstance(options, CleanOptions) else CleanOptions.from_map(options)
+        return _row_stages(df, raw, options, seq_id)
+    out = step(df, raw=raw)
+    opt = options if isinstance(options, CleanOptions) else CleanOptions.from_map(options)
 
     out = step(out, packed=S.strip_whitespace(tmp("raw")))
     out = step(out, upper=S.uppercase(tmp("packed")))

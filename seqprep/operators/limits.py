@@ -14,12 +14,14 @@ class LookupLimits:
 
     Tables within both broadcast limits are broadcast. Larger ones are joined
     by shuffle, where a term with more than ``rows_per_slice`` rows is spread
-    over several tasks.
+    over several tasks. At most ``hot_terms`` such terms are broadcast; beyond,
+    slices grow.
     """
 
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 << 20
     rows_per_slice: int = 2_000_000
+    hot_terms: int = 1_000_000
 
     def allow(self, rows: int, size: int) -> bool:
         return rows <= self.broadcast_rows and size <= self.broadcast_bytes
@@ -36,7 +38,18 @@ def text_bytes(texts: list[str], lists: list[str]) -> Column:
 
 
 def fits_broadcast(keys: DataFrame, columns: list[str], limits: LookupLimits) -> bool:
-    """Whether a key table, cut to ``columns``, is small enough to broadcast."""
+    """Whether a key table, cut to ``columns``, is small enough to broadcast.
+
+    The same scan checks that keys are unique; a repeated one raises ``ValueError``
+    at any size. Rows without a key match nothing and may repeat.
+    """
     lists = [name for name in columns if name == "lineage"]
-    rows, size = keys.select(F.count(F.lit(1)), text_bytes(["key", "concept"], lists)).first()
+    each = keys.groupBy("key").agg(
+        F.count("key").alias("rows"), text_bytes(["key", "concept"], lists).alias("size")
+    )
+    rows, size, most = each.select(
+        F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0)), F.max("rows")
+    ).first()
+    if most is not None and most > 1:
+        raise ValueError("a key of the vocabulary is held by several rows")
     return limits.allow(rows, size)

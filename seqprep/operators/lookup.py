@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from seqprep.operators.clean import quoted
 from seqprep.operators.limits import LookupLimits, fits_broadcast
 from seqprep.operators.vocabulary import match_key
+from seqprep.sources.tables import materialise
 
 # Fields of the lineage result.
 LINEAGE_TYPE = T.StructType(
@@ -61,13 +62,13 @@ def lookup(
             F.col("key").alias(_TMP + "match"),
             *[F.col(name).alias(_TMP + name) for name in wanted],
         )
-        left = df.withColumn(_TMP + "key", match_key(F.col(column), exact))
+        left = df.withColumn(_TMP + "key", match_key(F.col(quoted(column)), exact))
         if small:
             joined = left.join(
                 F.broadcast(right), F.col(_TMP + "key") == F.col(_TMP + "match"), "left"
             )
         else:
-            joined = _shuffled(left, right, limits.rows_per_slice)
+            joined = _shuffled(left, right, limits)
 
     results = []
     concept = F.col(_TMP + "concept")
@@ -80,7 +81,7 @@ def lookup(
     return joined.select(*own, *results)
 
 
-def _shuffled(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFrame:
+def _shuffled(left: DataFrame, right: DataFrame, limits: LookupLimits) -> DataFrame:
     """Left join by shuffle on ``(key, slice)``.
 
     One term may hold a large share of the rows, and so may the missing term.
@@ -88,20 +89,24 @@ def _shuffled(left: DataFrame, right: DataFrame, rows_per_slice: int) -> DataFra
     key row is repeated once per slice of its term only. Null terms match
     nothing, so their slice is free and just spreads them.
 
-    The table of hot terms is broadcast. It holds two numbers per term and at
-    most ``rows / rows_per_slice`` terms: for 10^12 rows 500,000, about 8 MB.
-    Terms meet there by 64-bit hash; a collision merely cuts a cold term too.
+    The table of hot terms is broadcast: two numbers for each term with more than
+    ``rows_per_slice`` rows. Where they are more than ``hot_terms``, slices are made
+    larger until they fit. The counting pass reads the term column only. Terms meet
+    by 64-bit hash; a collision merely cuts a cold term too.
     """
     key, match = F.col(_TMP + "key"), F.col(_TMP + "match")
-    hot = (
+    counts = materialise(
         left.where(key.isNotNull())
         .groupBy(F.xxhash64(key).alias(_TMP + "hash"))
         .count()
-        .where(F.col("count") > rows_per_slice)
-        .select(
-            _TMP + "hash",
-            F.ceil(F.col("count") / F.lit(rows_per_slice)).cast("int").alias(_TMP + "slices"),
-        )
+        .where(F.col("count") > limits.rows_per_slice)
+    )
+    rows_per_slice = limits.rows_per_slice
+    while counts.where(F.col("count") > rows_per_slice).count() > limits.hot_terms:
+        rows_per_slice *= 2
+    hot = counts.where(F.col("count") > rows_per_slice).select(
+        _TMP + "hash",
+        F.ceil(F.col("count") / F.lit(rows_per_slice)).cast("int").alias(_TMP + "slices"),
     )
 
     def with_slices(frame: DataFrame, text: str) -> DataFrame:

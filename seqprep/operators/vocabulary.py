@@ -28,10 +28,17 @@ def concept_lineage(
 ) -> DataFrame:
     """``(id, name, lineage)``: each concept with the names above it.
 
+    Raises ``ValueError`` for missing or repeated ids, unknown parents and cycles.
+    """
+    return _lineage(concepts, limits)[0]
+
+
+def _lineage(concepts: DataFrame, limits: LookupLimits) -> tuple[DataFrame, int, int]:
+    """The lineage table, its rows and its text bytes.
+
     Every round doubles how far up all concepts have looked, by a join of the
     table with itself, so a tree of depth d takes about log2(d) rounds. Only
-    counts reach the driver. Raises ``ValueError`` for missing or repeated ids,
-    unknown parents and cycles.
+    counts reach the driver.
     """
     # up: the next ancestor to ask; lineage: the names between it and the concept.
     walk = concepts.select(
@@ -45,16 +52,16 @@ def concept_lineage(
     ).first()
     if ids < rows or distinct < ids:
         raise ValueError("concept ids must be present and unique")
-    seen = 1
     while climbing:
-        if seen > rows:
-            raise ValueError(f"{climbing} concepts hang off a cycle of parents")
+        before = climbing
         walk = materialise(_climb(walk, limits.allow(rows, size)))
         lost, climbing, size = walk.select(*_progress()).first()
         if lost:
             raise ValueError(f"{lost} concepts hang off an unknown parent")
-        seen *= 2
-    return walk.select("id", "name", "lineage")
+        if climbing == before:
+            # in a forest some concept reaches its root in every round
+            raise ValueError(f"{climbing} concepts hang off a cycle of parents")
+    return walk.select("id", "name", "lineage"), rows, size
 
 
 def _progress() -> list[Column]:
@@ -98,8 +105,7 @@ def vocabulary_keys(
     The table to look terms up in. Save it to share it between jobs.
     """
     owner = _key_owners(vocabulary, exact).where(F.col("concept_id").isNotNull())
-    tree = concept_lineage(vocabulary.concepts, limits)
-    rows, size = tree.select(F.count(F.lit(1)), text_bytes(["id", "name"], ["lineage"])).first()
+    tree, rows, size = _lineage(vocabulary.concepts, limits)
     known = F.broadcast(tree) if limits.allow(rows, size) else tree
     return materialise(
         owner.join(known, F.col("concept_id") == F.col("id")).select(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seqprep.operators.clean import RESULT_TYPE, Options, clean_columns
+from seqprep.operators.clean import RESULT_TYPE, Options, clean_columns, quoted
 from seqprep.sources.tables import read_table, write_table
 
 KEYS = ("datasetkey", "gbifid")
@@ -21,11 +22,12 @@ def process_sequences(
 ) -> DataFrame:
     """Key columns, the cleaned sequence and its metrics, one row per input row."""
     fields = [name for name in RESULT_TYPE.names if name not in ("seqId", "rawSequence")]
+    kept = [F.col(quoted(name)) for name in keys]
     return clean_columns(
-        df.select(*keys, seq_col),
+        df.select(*kept, F.col(quoted(seq_col))),
         seq_col,
         options,
-        keep=list(keys),
+        keep=kept,
         fields=fields,
         rename={"sequence": "cleaned_sequence"},
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqprep.operators.clean import quoted
 from seqprep.operators.limits import LookupLimits
 from seqprep.operators.lookup import lookup
 from seqprep.operators.vocabulary import vocabulary_keys
@@ -30,7 +31,7 @@ def lookup_terms(
     """Key columns, ``raw_<column>`` and the result columns that are named."""
     raw = f"raw_{source_column}"
     return lookup(
-        df.select(*keys, F.col(source_column).alias(raw)),
+        df.select(*[F.col(quoted(k)) for k in keys], F.col(quoted(source_column)).alias(raw)),
         raw,
         keys_table,
         concept_as=result_column,
@@ -64,7 +65,7 @@ def lookup_job(
     if result_column is None and result_concept_column is None:
         raise ValueError("name result_column, result_concept_column or both")
     rows = read_table(spark, source)
-    keys_table = None if vocabulary is None else vocabulary_keys(vocabulary, exact)
+    keys_table = None if vocabulary is None else vocabulary_keys(vocabulary, exact, limits)
     found = lookup_terms(
         rows,
         keys_table,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -42,15 +41,15 @@ def write_table(
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which all executors share.
 
-    Only a session that names none, such as a test, gets a temporary one.
+    ``ValueError`` if the session names none: a folder of one machine would not do.
     """
     context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder is None:
+    if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="seqprep-"))
-        folder = context.getCheckpointDir()
-    return folder
+        if not folder:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -62,14 +62,14 @@ DEFAULT_CASES = [
     ),
     (
         "ncap",
-        "ACGTACGTNNNNNNNNNNACGTACGT",
+        "TTGACCATNNNNNNNNGGATCCAA",
         None,
-        seq("ACGTACGTNNNNNACGTACGT", nNrunsCapped=1),
+        seq("TTGACCATNNNNNGGATCCAA", nNrunsCapped=1),
     ),
     ("gc", "GCGCGCATATAT", None, seq("GCGCGCATATAT", gcContent=0.5)),
     (
         "noniupac",
-        "ACGTACGTACGTXACGTACGTACGT",
+        "TTGACCATGGATZCATGCATGTTGA",
         None,
         dict(
             nonIupacFraction=0.04,
@@ -97,27 +97,27 @@ DEFAULT_CASES = [
     ),
     (
         "question",
-        "ACGTACGTACGT?ACGTACGTACGT",
+        "TTGACCATGGAT?CATGCATGTTGA",
         None,
-        seq("ACGTACGTACGTNACGTACGTACGT", nFraction=0.04),
+        seq("TTGACCATGGATNCATGCATGTTGA", nFraction=0.04),
     ),
     (
         "wiped",
-        "THISISNOTDNASEQ",
+        "LOREMIPSUMDOLOR",
         None,
         seq("", endsTrimmed=True, nucleotideSequenceID=None),
     ),
     (
         "trimboth",
-        "THISISMYFIELDSEQUENCEACGTACGTACGTNNNNNENDOFSEQUENCE",
+        "FORWARDPRIMERXTTGACCATGACATQQNNNNREVERSE",
         None,
-        seq("ACGTACGTACGT", endsTrimmed=True),
+        seq("TTGACCATGACAT", endsTrimmed=True),
     ),
     (
         "ncap2",
-        "ACGTACGTNNNNNNNNNNNNNNACGTACGTNNNNNNNNNACGTACGT",
+        "CATGCATGNNNNNNNTTGACCATNNNNNNNNNNNNGGATCCAA",
         None,
-        seq("ACGTACGTNNNNNACGTACGTNNNNNACGTACGT", nNrunsCapped=2),
+        seq("CATGCATGNNNNNTTGACCATNNNNNGGATCCAA", nNrunsCapped=2),
     ),
     ("nl_space", "ACGTACGTUN MERGED", None, dict(naturalLanguageDetected=True, invalid=True)),
     (
@@ -189,22 +189,22 @@ OPTION_CASES = [
         {"gapRegex": r"[-\._]"},
         seq("ACGTACGTACGT", gapsOrWhitespaceRemoved=True),
     ),
-    ("all_nine", "acgt-acgt", DEFAULT_NINE, seq("ACGTACGT")),
-    ("relaxed_ws", "acgt acgt\tacgt\nacgt", RELAXED, seq("ACGTACGTACGTACGT")),
+    ("all_nine", "ttga.ccat", DEFAULT_NINE, seq("TTGACCAT")),
+    ("relaxed_ws", "tt\tga ccat\ngg", RELAXED, seq("TTGACCATGG")),
     (
         "relaxed_gaps",
-        "ACGT-ACGT..ACGT",
+        "TTG-A.-CCAT",
         RELAXED,
-        seq("ACGTACGTACGT", gapsOrWhitespaceRemoved=True),
+        seq("TTGACCAT", gapsOrWhitespaceRemoved=True),
     ),
-    ("relaxed_rna", "ACGTU?ACGTU", RELAXED, seq("ACGTTNACGTT")),
-    ("relaxed_cap", "ACGTNNNNNNNNNNACGT", RELAXED, seq("ACGTNNNNNACGT", nNrunsCapped=1)),
+    ("relaxed_rna", "UUGAC?CAU", RELAXED, seq("TTGACNCAT")),
+    ("relaxed_cap", "TTGANNNNNNNNCCAT", RELAXED, seq("TTGANNNNNCCAT", nNrunsCapped=1)),
     (
         "relaxed_id",
-        "ACGTACGTACGTACGT",
+        "TTGACCATGGATCCAA",
         RELAXED,
         # MD5 of the cleaned text, from the md5sum tool.
-        seq("ACGTACGTACGTACGT", nucleotideSequenceID="56b74a652b3ed2f610263b8bb423167c"),
+        seq("TTGACCATGGATCCAA", nucleotideSequenceID="dd0929804086b0546ee7baaee6e3bc57"),
     ),
     (
         "bad_ints",

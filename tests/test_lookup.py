@@ -92,11 +92,10 @@ def test_lookup(spark, keys, limits):
             assert (row["found"]["concept"], row["found"]["lineage"]) == want
 
 
-@pytest.mark.parametrize("limits", [LookupLimits(), LookupLimits(broadcast_rows=0)])
-def test_sql_functions(spark, keys, limits):
+def test_sql_functions(spark, keys):
     keys.createOrReplaceTempView("lookup_keys")
-    register_lookup(spark, "vocabLookup", "lookup_keys", limits=limits)
-    register_lookup_lineage(spark, "vocabLookupLineage", "lookup_keys", limits=limits)
+    register_lookup(spark, "vocabLookup", "lookup_keys")
+    register_lookup_lineage(spark, "vocabLookupLineage", "lookup_keys")
     terms(spark, EXPECTED).createOrReplaceTempView("lookup_terms")
     rows = spark.sql(
         """
@@ -114,6 +113,31 @@ def test_sql_functions(spark, keys, limits):
         assert row["top"] == (lineage[0] if lineage else None)
 
 
+@pytest.mark.parametrize("register", [register_lookup, register_lookup_lineage])
+def test_sql_functions_refuse_large_tables(spark, keys, register):
+    keys.createOrReplaceTempView("large_keys")
+    with pytest.raises(ValueError, match=r"lookup\(\)"):
+        register(spark, "tooLarge", "large_keys", limits=LookupLimits(broadcast_rows=2))
+
+
+def test_sql_function_keeps_the_table_it_measured(spark, keys):
+    keys.createOrReplaceTempView("changing_keys")
+    register_lookup(spark, "boundLookup", "changing_keys")
+    spark.range(5).selectExpr("'gene' AS key", "'Other' AS concept").createOrReplaceTempView("changing_keys")
+    assert spark.sql("SELECT boundLookup('gene') AS c").first()["c"] == "Gene"
+
+
+@pytest.mark.parametrize("limits", [LookupLimits(), SHUFFLED], ids=["broadcast", "shuffled"])
+def test_repeated_keys_raise_everywhere(spark, keys, limits):
+    twice = keys.union(keys.where("key = 'gene'"))
+    twice.createOrReplaceTempView("twice_keys")
+    with pytest.raises(ValueError, match="several rows"):
+        lookup(terms(spark, ["Gene"]), "term", twice, concept_as="c", limits=limits)
+    for register in (register_lookup, register_lookup_lineage):
+        with pytest.raises(ValueError, match="several rows"):
+            register(spark, "twiceLookup", "twice_keys", limits=limits)
+
+
 def test_exact_match(spark):
     keys = vocabulary_keys(frames(spark), exact=True)
     found = lookup(
@@ -259,6 +283,29 @@ def test_broken_trees_are_rejected(spark, extra, message):
         concept_lineage(frames(spark, CONCEPTS + extra).concepts)
 
 
+def test_a_cycle_in_a_large_vocabulary_is_found_early(spark, monkeypatch):
+    from seqprep.operators import vocabulary as v
+
+    rounds = []
+    real = v._climb
+    monkeypatch.setattr(v, "_climb", lambda *a: rounds.append(1) or real(*a))
+    rows = spark.range(100_000).selectExpr(
+        "CAST(id AS STRING) AS id",
+        "concat('c', id) AS name",
+        "CASE WHEN id = 0 THEN '1' WHEN id = 1 THEN '0' ELSE CAST(id % 2 AS STRING) END AS parent_id",
+    )
+    with pytest.raises(ValueError, match="cycle"):
+        concept_lineage(rows)
+    assert len(rounds) == 1
+
+
+def test_many_hot_terms_make_larger_slices(spark, keys):
+    rows = spark.range(600).selectExpr("id", "concat('t', id % 60) AS term")
+    limits = LookupLimits(broadcast_rows=0, rows_per_slice=2, hot_terms=10)
+    found = lookup(rows, "term", keys, concept_as="c", limits=limits)
+    assert found.count() == 600
+
+
 def skewed_terms(spark):
     rng = random.Random(7)
     values = ["GENE"] * 400 + [None] * 300 + ["nothing here"] * 200

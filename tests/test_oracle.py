@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from validation import oracle, registry
 
 SF_DIR = "/root/testdata/sf0.001"
 SPARK_TYPES = {
@@ -17,8 +18,9 @@ SPARK_TYPES = {
     "double": "DOUBLE",
     "boolean": "BOOLEAN",
 }
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+#: The optional subpackage tests its own queries.
+QUERIES = registry.queries()
+ORACLES = oracle.ORACLE_SQL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
 
@@ -34,6 +36,10 @@ def duck():
     connection.close()
 
 
+def test_contract_has_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 

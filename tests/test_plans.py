@@ -123,8 +123,3 @@ def test_sql_lookup_is_a_join(spark, source, keys, register):
     plan = executed_plan(spark.sql("SELECT gbifid, planLookup(v_targetgene) AS c FROM plan_source"))
     assert_native(plan)
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
-
-    register(spark, "planLookup", "plan_keys", limits=LookupLimits(broadcast_bytes=0))
-    plan = executed_plan(spark.sql("SELECT gbifid, planLookup(v_targetgene) AS c FROM plan_source"))
-    assert_native(plan)
-    assert "Join" in plan and "LeftOuter" in plan

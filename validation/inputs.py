@@ -47,7 +47,7 @@ SELECT concat('n', CAST(n_nationkey AS VARCHAR(20))) AS concept_id, concat('Nati
 UNION ALL
 SELECT concat('r', CAST(r_regionkey AS VARCHAR(20))), 'Shared label' FROM {region}
 UNION ALL
-SELECT concat('r', CAST(n_regionkey AS VARCHAR(20))), n_name FROM {nation} WHERE n_nationkey < 5
+SELECT concat('r', CAST(n_regionkey AS VARCHAR(20))), n_name FROM {nation}
 """
 
 TERMS = """
@@ -55,8 +55,9 @@ SELECT concat('ds-', CAST(c_nationkey AS VARCHAR(20))) AS datasetkey, c_custkey
   CASE c_custkey % 8 WHEN 0 THEN NULL WHEN 1 THEN lower(n_name) WHEN 2 THEN concat('  ', n_name, ' ')
        WHEN 3 THEN 'no such term' WHEN 4 THEN s_name WHEN 5 THEN 'shared label'
        WHEN 6 THEN concat('nation NO. ', CAST(n_nationkey AS VARCHAR(20))) ELSE n_name END AS v_targetgene
-FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
-JOIN {supplier} ON s_suppkey = c_custkey % 10 + 1
+FROM (SELECT *, c_custkey % (SELECT count(*) FROM {supplier}) + 1 AS pick FROM {customer}) c
+JOIN {nation} ON c_nationkey = n_nationkey
+JOIN {supplier} ON s_suppkey = pick
 """
 
 # One term per line item: a third of the rows hold one term, a fifth hold none.

@@ -124,7 +124,7 @@ ORACLE_SQL: dict[str, str] = {
     "scan_sequences": f"WITH {SEQS} SELECT {KEYS}, v_dnasequence FROM seqs",
     "sink_roundtrip": over_sequences(f"{KEYS}, {RESULT}"),
     "ctas_shape": over_sequences(
-        f"""{KEYS}, cleaned_sequence, "sequenceLength", "gcContent", "nucleotideSequenceID", invalid""",
+        f"""{KEYS}, "nFraction", "sequenceLength", "endsTrimmed", cleaned_sequence AS sequence""",
         "FROM clean WHERE v_dnasequence IS NOT NULL",
     ),
     "vocab_scan": f"""WITH {TABLES}
