@@ -1,0 +1,51 @@
+from __future__ import annotations
+
+import sys
+
+sys.path.insert(0, __file__.rsplit("/", 1)[0])
+from helpers import with_clashes
+
+from seqprep.llm.decontaminate import contaminated
+
+ITEM = "A farmer named Tom has 12 sheep and 5 goats. How many animals does the farmer Tom own after buying 12 sheep more at the market?"
+ITEMS = [(1, ITEM), (2, "the quick brown"), (3, None), (4, ""), (2, "the quick brown"), (5, "It weighs 40 kg or 88 pounds in total today"),
+    (6, "Take 3 cups and 3 spoons then add 3 more")]
+DOCS = [
+    (10, "bla. " + ITEM.replace("Tom", "Anna").replace("12", "30").replace("5", "7") + " ok"),
+    (11, ITEM.replace("Tom", "Anna", 1).replace("12", "30", 1)),
+    (12, ITEM.upper()),
+    (12, ITEM.upper()),
+    (13, "we saw The Quick, brown fox"),
+    (14, None),
+    (15, "nothing here to see at all today 5 km"),
+    (None, ITEM),
+    (16, "Long. " * 3000 + ITEM),
+    (17, "So: it weighs 55 kg or 121 pounds in total today, they said"),
+    (18, ITEM[: len(ITEM) // 4]),
+    (19, "take 4 cups and 5 spoons then add 6 more"),
+    (20, "take 4 cups and 4 spoons then add 4 more"),
+]
+
+
+def test_literal_and_template(spark):
+    docs = with_clashes(spark.createDataFrame(DOCS, "doc_id long, text string")).repartition(3)
+    items = with_clashes(spark.createDataFrame(ITEMS, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r.kind for r in contaminated(docs, items).collect()}
+    assert got == {
+        (10, 1): "template",
+        (11, 1): "literal",
+        (12, 1): "literal",
+        (13, 2): "literal",
+        (16, 1): "literal",
+        (17, 5): "template",
+        (20, 6): "template",
+        (None, 1): "literal",
+    }
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert contaminated(none, items).collect() == []
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    assert contaminated(docs, items.limit(0)).collect() == []
