@@ -364,3 +364,24 @@ def jaccard_components(
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of ``documents`` under four-word shingles and 85 per cent."""
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)])) END AS g FROM d),
+c AS (SELECT g, min(doc_id) AS node, len(g) AS n FROM s WHERE len(g) > 0 GROUP BY g),
+e AS (SELECT node, n, unnest(g) AS t FROM c),
+p AS (
+  SELECT a.node AS u, b.node AS v FROM e a JOIN e b ON a.t = b.t AND a.node <> b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r AS (SELECT node, node AS m FROM c UNION SELECT p.v, r.m FROM r JOIN p ON p.u = r.node),
+k AS (SELECT node, min(m) AS component FROM r GROUP BY node),
+l AS (SELECT u, count(*) AS n FROM p GROUP BY u)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, coalesce(k.component, s.doc_id) AS component_id,
+  coalesce(l.n, 0)::BIGINT AS n_links
+FROM s LEFT JOIN c ON s.g = c.g LEFT JOIN k ON k.node = c.node LEFT JOIN l ON l.u = c.node
+"""

@@ -21,5 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": secrets.op6_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard_join": jaccard_join.OP1_SQL,
     "op2_warc": warc.OP2_SQL,
+    "op6_secret_scan": secrets.OP6_SQL,
 }

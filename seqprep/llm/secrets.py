@@ -258,3 +258,47 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("live").cast("long").alias("n_live"),
         F.coalesce(F.array_max(F.transform("base", lambda x: x["owners"])), F.lit(0)).alias("max_owners"),
     )
+
+
+def _sql() -> str:
+    """DuckDB's text for the query."""
+
+    def quote(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    found = " UNION ALL ".join(
+        f"""SELECT row_no, {no} AS kind_no, '{kind}' AS kind, string_split_regex(t, {quote(p)}) AS b,
+        regexp_extract_all(t, {quote(p)}, 0) AS m, regexp_extract_all(t, {quote(p)}, {group}) AS v, {least} AS least FROM d"""
+        for no, (kind, p, group, least) in enumerate(KINDS)
+    )
+    size = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(source, chr(1)) AS owner, coalesce(text, '') AS t FROM documents),
+    f AS ({found}),
+    i AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM f),
+    x AS (
+      SELECT row_no, kind_no, kind, m[i] AS whole, v[i] AS value,
+        ({size.format("b[1:i]")} + {size.format("m[1:i - 1]")})::BIGINT AS begin_at FROM i WHERE length(v[i]) >= least),
+    h AS (SELECT value, count(DISTINCT owner) AS owners FROM x JOIN d USING (row_no) GROUP BY value),
+    y AS (
+      SELECT row_no, kind_no, kind, begin_at, begin_at + length(whole) AS stop, owners, begin_at + length(whole) - length(value) AS value_at,
+        owners <= 1 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+        AND NOT regexp_matches(value, {quote(PLACEHOLDER)}) AND len(list_distinct(string_split(value, ''))) >= 5 AS live
+      FROM x JOIN h USING (value)),
+    spans AS (
+      SELECT row_no, begin_at, kind_no, kind, stop FROM y
+      UNION ALL SELECT DISTINCT row_no, value_at, {len(KINDS)}, '{LIVE}', stop FROM y WHERE live),
+    s AS (
+      SELECT row_no, string_agg(kind || ':' || begin_at || ':' || stop, ',' ORDER BY begin_at, kind_no) FILTER (kind <> '{LIVE}') AS base,
+        string_agg(kind || ':' || begin_at || ':' || stop, ',' ORDER BY begin_at, kind_no) AS spans,
+        count(*) FILTER (kind = '{LIVE}') AS n_live, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k, *_ in KINDS)}
+      FROM spans GROUP BY row_no),
+    o AS (SELECT row_no, max(owners) AS most FROM y GROUP BY row_no)
+    SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k, *_ in KINDS)},
+      sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+      coalesce(most, 0) AS max_owners
+    FROM d LEFT JOIN s USING (row_no) LEFT JOIN o USING (row_no)
+    """
+
+
+OP6_SQL = _sql()
