@@ -27,8 +27,11 @@ WIDTH, PERCENT = 5, 80
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters or in no learnt language."""
     found = language.predict(docs, language.learn(docs), docs.columns)
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("fit") >= LEAST_FIT)
-    return found.where(known).drop("lang_pred", "score", "fit")
+    # by place, as a column of the documents may have any name
+    n = len(docs.columns)
+    placed = found.toDF(*[f"c{i}" for i in range(n + 3)])
+    known = (F.col(f"c{n}") != language.UNKNOWN) & (F.col(f"c{n + 2}") >= LEAST_FIT)
+    return placed.where(known).select(*[f"c{i}" for i in range(n)]).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 U64 = np.uint64
 #: Odd multiplier of the polynomial hashes and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15

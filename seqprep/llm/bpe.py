@@ -31,7 +31,7 @@ LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: What may follow an apostrophe as one piece.
 SUFFIXES = ["s", "t", "re", "ve", "m", "ll", "d"]
 #: Merged pieces that a worker keeps.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 100_000
 #: From this length on a piece is merged with a heap.
 LONG_PIECE = 48
 
@@ -41,13 +41,13 @@ def classes() -> np.ndarray:
     """The class of every code point."""
     import regex
 
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    every = "".join(map(chr, points))
+    # all code points but the surrogates, which are no text
+    every = np.delete(np.arange(0x110000, dtype="<u4"), np.s_[0xD800:0xE000]).tobytes().decode("utf-32-le")
     out = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
         for found in regex.finditer(pattern, every):
-            a, b = found.span()
-            out[points[a:b]] = kind
+            a, b = (x + 0x800 * (x >= 0xD800) for x in found.span())
+            out[a:b] = kind
     return out
 
 
