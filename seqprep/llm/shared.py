@@ -37,9 +37,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage with a reliable checkpoint."""
+    """Compute once and cut the lineage with a reliable checkpoint.
+
+    It is written in a few files for each core of the cluster, however many shuffle
+    partitions there are: every file made costs a process on each executor's machine.
+    """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return few_files(df).checkpoint(eager=True)
+
+
+def few_files(df: DataFrame) -> DataFrame:
+    """``df`` in at most four partitions for each core of the cluster, without a shuffle."""
+    return df.coalesce(4 * max(2, df.sparkSession.sparkContext.defaultParallelism))
 
 
 def quoted(name: str) -> str:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.llm.shared import new_folder, quoted, table
+from seqprep.llm.shared import few_files, new_folder, quoted, table
 
 #: An archive is closed, and the next one begun, from this size on.
 ROLL_BYTES = 1 << 30
@@ -135,7 +135,7 @@ def write_archives(
     assert made is not None
     stamp = date.strftime("%Y-%m-%dT%H:%M:%SZ")
     # equal pages may be a third of all: adaptive execution splits that join
-    joined = rows.join(keepers, "same", "left").select("page_id", "url", "html", "keeper")
+    joined = few_files(rows.join(keepers, "same", "left").select("page_id", "url", "html", "keeper"))
     joined.mapInArrow(_writing(f"{folder}/archives", stamp), INDEX).write.parquet(f"{folder}/index")
     return rows.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
 
