@@ -120,6 +120,24 @@ DOCUMENTS = f"""WITH {cleaning('documents', 'text', minrun=2)}
 SELECT doc_id, {RESULT} FROM clean"""
 
 ORACLE_SQL: dict[str, str] = {
+    # reports and streaming
+    "distinct_sequences": over_sequences(
+        """"nucleotideSequenceID", min(cleaned_sequence) AS cleaned_sequence, count(*) AS occurrences,
+        count(DISTINCT datasetkey) AS datasets""",
+        """FROM clean WHERE "nucleotideSequenceID" IS NOT NULL GROUP BY "nucleotideSequenceID\"""",
+    ),
+    "dataset_quality": over_sequences(
+        """datasetkey, count(*) AS rows, count("sequenceLength") AS with_sequence,
+        count(*) FILTER (invalid) AS invalid, count(*) FILTER ("endsTrimmed") AS trimmed,
+        count(*) FILTER ("naturalLanguageDetected") AS with_language,
+        CAST(sum("sequenceLength") AS BIGINT) AS total_length, max("gcContent") AS max_gc_content""",
+        "FROM clean GROUP BY datasetkey",
+    ),
+    "unmatched_terms": f"""WITH RECURSIVE {vocabulary()}, terms AS ({duckdb_text(SKEWED_TERMS)})
+    SELECT lower(trim(v_targetgene)) AS term, count(*) AS rows FROM terms
+    LEFT JOIN keys ON key = lower(trim(v_targetgene))
+    WHERE v_targetgene IS NOT NULL AND concept IS NULL GROUP BY 1""",
+    "stream_documents": DOCUMENTS,
     # scans and sinks
     "scan_sequences": f"WITH {SEQS} SELECT {KEYS}, v_dnasequence FROM seqs",
     "sink_roundtrip": over_sequences(f"{KEYS}, {RESULT}"),

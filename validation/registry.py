@@ -25,7 +25,9 @@ from seqprep import (
 )
 from seqprep.functions import stages as S
 from seqprep.operators.clean import RESULT_TYPE
-from seqprep.sources.tables import materialise, read_table, write_table
+from seqprep.plans.reports import dataset_quality, distinct_sequences, unmatched_terms
+from seqprep.sources.tables import materialise, read_table, shared_folder, write_table
+from seqprep.streaming.clean import process_new_sequences
 from validation.inputs import CONCEPTS, LABELS, SEQUENCES, SKEWED_TERMS, TERMS, derive, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -370,8 +372,40 @@ def lineage_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- reports and streaming ---------------------------------------------------
+
+
+def distinct_sequences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_sequences(process_sequences(sequences(spark, sf_dir)))
+
+
+def dataset_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_quality(process_sequences(sequences(spark, sf_dir)))
+
+
+def unmatched_terms_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = vocabulary_keys(vocabulary(spark, sf_dir))
+    return unmatched_terms(derive(spark, sf_dir, SKEWED_TERMS), "v_targetgene", keys)
+
+
+def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of ``documents`` cleaned by a stream that ends with the files there are."""
+    path = f"{sf_dir}/documents.parquet"
+    schema = spark.read.parquet(path).schema
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    # a pattern, as the table may be one file or a folder of files
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
+    options = CleanOptions(anchor_minrun=2)
+    process_new_sequences(stream, f"{base}/out", f"{base}/progress", "parquet", "text", ["doc_id"], options)
+    return spark.read.parquet(f"{base}/out")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "distinct_sequences": distinct_sequences_query,
+        "dataset_quality": dataset_quality_query,
+        "unmatched_terms": unmatched_terms_query,
+        "stream_documents": stream_documents,
         "scan_sequences": scan_sequences,
         "sink_roundtrip": sink_roundtrip,
         "ctas_shape": ctas_shape,
