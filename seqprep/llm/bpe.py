@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import SliceHash, chunks, flat
-from seqprep.llm.shared import beside_text, fields, quoted, table
+from seqprep.llm.shared import beside_text, fields, kept, quoted, table
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: What may follow an apostrophe as one piece.
@@ -200,17 +200,19 @@ def binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(kind, len(offsets) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _encoding(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encoding(path: str, hold_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for batch in batches:
             for part in chunks(batch, "text"):
                 ids, ends = encoder.encode(*flat(part.column("text")))
                 packed = binary(ids.astype("<u4").view(np.uint8), ends * 4)
+                held = kept(part, hold_text)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.drop_columns(["text"]).columns, pa.array(np.diff(ends)), packed],
-                    [*part.drop_columns(["text"]).schema.names, "n_tokens", "ids"],
+                    [*held.columns, pa.array(np.diff(ends)), packed], [*held.schema.names, "n_tokens", "ids"]
                 )
+                del part, held, packed  # a batch goes before the next one comes
+            del batch
 
     return run
 
@@ -222,7 +224,8 @@ def encode(df: DataFrame, path: str, keep: list[str], text: str = "text") -> Dat
     encoded apart, without special tokens.
     """
     rows = beside_text(df, keep, text)
-    return rows.mapInArrow(_encoding(path), fields(rows, "n_tokens long", "ids binary")).toDF(*keep, "n_tokens", "ids")
+    kind = fields(rows, text in keep, "n_tokens long", "ids binary")
+    return rows.mapInArrow(_encoding(path, text in keep), kind).toDF(*keep, "n_tokens", "ids")
 
 
 def _decoding(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -250,10 +253,10 @@ def _decoding(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``df`` with the bytes that its packed ``ids`` stand for, as ``decoded``."""
-    kept = [c for c in df.columns if c != ids]
-    rows = df.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(kept)], F.col(quoted(ids)).alias("ids"))
-    kind = fields(rows, "decoded binary")
-    return rows.mapInArrow(_decoding(path), kind).toDF(*kept, ids, "decoded")
+    others = [c for c in df.columns if c != ids]
+    rows = df.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(others)], F.col(quoted(ids)).alias("ids"))
+    kind = fields(rows, True, "decoded binary")
+    return rows.mapInArrow(_decoding(path), kind).toDF(*others, ids, "decoded")
 
 
 def default_ranks() -> str:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import BASE, BASE_INVERSE, U64, chunks, edges, flat, mix, powers
 from seqprep.llm.bpe import LETTER, classes
-from seqprep.llm.shared import beside_text, fields, materialise, quoted, table
+from seqprep.llm.shared import beside_text, fields, kept, materialise, quoted, table
 
 #: Slots of the filter and slots of an n-gram.
 SLOTS = 1 << 20
@@ -201,7 +201,7 @@ def _placing(languages: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _predicting(model) -> Callable[[Batches], Batches]:
+def _predicting(model, hold_text: bool) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         learnt: Filter = model.value
         names = np.array([*learnt.languages, UNKNOWN], dtype=object)
@@ -218,15 +218,13 @@ def _predicting(model) -> Callable[[Batches], Batches]:
                     # the best share against the next one: even shares give a half
                     rest = np.sort(share, axis=1)[:, -2] if share.shape[1] > 1 else np.zeros(n)
                     score[some] = ((fit + 1e-3) / (fit + rest + 2e-3))[some]
+                held = kept(part, hold_text)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *part.drop_columns(["text"]).columns,
-                        pa.array(names[best], pa.string()),
-                        pa.array(score),
-                        pa.array(fit),
-                    ],
-                    [*part.drop_columns(["text"]).schema.names, "lang_pred", "score", "fit"],
+                    [*held.columns, pa.array(names[best], pa.string()), pa.array(score), pa.array(fit)],
+                    [*held.schema.names, "lang_pred", "score", "fit"],
                 )
+                del part, held  # a batch goes before the next one comes
+            del batch
 
     return run
 
@@ -237,8 +235,8 @@ def predict(df: DataFrame, model: Filter, keep: list[str], text: str = "text") -
     rows = beside_text(df, keep, text)
     shared = df.sparkSession.sparkContext.broadcast(model)
     more = ["lang_pred", "score", "fit"]
-    kind = fields(rows, "lang_pred string", "score double", "fit double")
-    return rows.mapInArrow(_predicting(shared), kind).toDF(*keep, *more)
+    kind = fields(rows, text in keep, "lang_pred string", "score double", "fit double")
+    return rows.mapInArrow(_predicting(shared, text in keep), kind).toDF(*keep, *more)
 
 
 def fold(key: str = "doc_id") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,14 +78,22 @@ def passes(table: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
 
 
 def beside_text(df: DataFrame, keep: list[str], text: str) -> DataFrame:
-    """The columns ``keep`` as k0, k1, ... and the text as ``text``, so that no names clash."""
-    kept = [F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)]
-    return df.select(*kept, F.col(quoted(text)).alias("text"))
+    """The columns ``keep`` as k0, k1, ... and the text as ``text``, so that no names clash.
+
+    A text that is kept is sent to Python once, not twice.
+    """
+    kept = [F.col(quoted(c)).alias("text" if c == text else f"k{i}") for i, c in enumerate(keep)]
+    return df.select(*kept, *([] if text in keep else [F.col(quoted(text)).alias("text")]))
+
+
+def fields(rows: DataFrame, hold_text: bool, *more: str) -> str:
+    """The schema text of the kept columns of ``beside_text`` and of ``more``."""
+    return ", ".join([*(f"{c} {t}" for c, t in rows.dtypes if c != "text" or hold_text), *more])
 
 
-def fields(rows: DataFrame, *more: str) -> str:
-    """The schema text of the columns of ``beside_text`` but the text, and of ``more``."""
-    return ", ".join([*(f"{c} {t}" for c, t in rows.dtypes if c != "text"), *more])
+def kept(part: pa.RecordBatch, hold_text: bool) -> pa.RecordBatch:
+    """The kept columns of a batch of ``beside_text``."""
+    return part if hold_text else part.drop_columns(["text"])
 
 
 def small(df: DataFrame, most_rows: int = 1_000_000) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from seqprep.llm.arrays import BASE, BASE_INVERSE, U64, chunks, edges, flat, mix, powers
 from seqprep.llm.bpe import LETTER, classes
 from seqprep.llm.language import fold, lower_case
-from seqprep.llm.shared import beside_text, fields, materialise, quoted, table
+from seqprep.llm.shared import beside_text, fields, kept, materialise, quoted, table
 
 #: Labelled texts that are learnt from, about.
 EXAMPLES = 8_000
@@ -246,7 +246,7 @@ def _vectorising(shared) -> Callable[[Batches], Batches]:
 EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
 
-def _scoring(shared) -> Callable[[Batches], Batches]:
+def _scoring(shared, hold_text: bool) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         model: Model = shared.value
         index = model.index
@@ -263,10 +263,10 @@ def _scoring(shared) -> Callable[[Batches], Batches]:
                             for r, c in zip(rows[:3], cosines[:3])
                         ]
                     )
-                kept = part.drop_columns(["text"])
+                held = kept(part, hold_text)
                 yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(scores, pa.float64()), pa.array(evidence, EVIDENCE)],
-                    [*kept.schema.names, "score", "evidence"],
+                    [*held.columns, pa.array(scores, pa.float64()), pa.array(evidence, EVIDENCE)],
+                    [*held.schema.names, "score", "evidence"],
                 )
 
     return run
@@ -276,8 +276,9 @@ def score_toxicity(df: DataFrame, model: Model, keep: list[str], text: str = "te
     """The columns ``keep``, ``score`` and ``evidence``: the three nearest examples."""
     rows = beside_text(df, keep, text)
     shared = df.sparkSession.sparkContext.broadcast(model)
-    kind = fields(rows, "score double", "evidence array<struct<doc_id:long,cosine:double,label:int>>")
-    return rows.mapInArrow(_scoring(shared), kind).toDF(*keep, "score", "evidence")
+    evidence = "evidence array<struct<doc_id:long,cosine:double,label:int>>"
+    kind = fields(rows, text in keep, "score double", evidence)
+    return rows.mapInArrow(_scoring(shared, text in keep), kind).toDF(*keep, "score", "evidence")
 
 
 # --- query ---------------------------------------------------------------------------
