@@ -79,7 +79,9 @@ def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
           FROM (SELECT *, upper(packed) AS upper_text
           FROM (SELECT *,
             regexp_replace(dna, r'\s', '') AS packed,
-            concat('[', anchorChars, ']{{', anchorMinrun, ',}}') AS run,
+            concat('[', anchorChars, ']{{', IF(least(anchorMinrun, nrunCapFrom, nrunCapTo) < 0,
+              raise_error('anchorMinrun, nrunCapFrom and nrunCapTo must not be negative'),
+              anchorMinrun), ',}}') AS run,
             concat('N{{', nrunCapFrom, ',}}') AS cap
           FROM (SELECT {options}))))))))))))
         )
@@ -156,5 +158,5 @@ def _option(key: str) -> str:
     default = DEFAULTS[key]
     if isinstance(default, int):
         number = f"IF(rlike(opts['{key}'], r'{INT_TEXT}'), try_cast(opts['{key}'] AS INT), NULL)"
-        return f"coalesce(IF({number} < 0, raise_error('{key} must not be negative'), {number}), {default})"
+        return f"coalesce({number}, {default})"
     return f"coalesce(opts['{key}'], r'{default}')"

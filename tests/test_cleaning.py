@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +164,21 @@ def test_runs_on_a_stream(spark, tmp_path):
     query.awaitTermination(120)
     batch = clean_sequences(spark.read.parquet(source), "raw")
     assert collected(spark.read.parquet(sink)) == collected(batch)
+
+
+@pytest.mark.parametrize("option", ["nrunCapTo", "nrunCapFrom", "anchorMinrun"])
+def test_negative_numbers_fail_on_every_row(spark, option):
+    row = spark.createDataFrame([("ACGTACGT", {option: "-1"})], "dna STRING, opts MAP<STRING, STRING>")
+    with pytest.raises(ValueError, match="negative"):
+        CleanOptions.from_map({option: "-1"})
+    with pytest.raises(Exception, match="must not be negative"):
+        clean_sequences(row, "dna", F.col("opts")).collect()
+
+
+def test_generated_code_stays_small_enough_to_compile(spark):
+    """The JVM leaves methods beyond 8,000 bytes uncompiled."""
+    rows = spark.createDataFrame([("ACGT", {"nrunCapTo": "3"}, 1)], "dna STRING, opts MAP<STRING, STRING>, id INT")
+    cleaned = clean_sequences(rows, "dna", F.col("opts"))
+    text = cleaned._jdf.queryExecution().debug().codegenToSeq().toString()
+    sizes = [int(x) for x in re.findall(r"ByteCodeStats\((\d+)", text)]
+    assert sizes and max(sizes) < 8000

@@ -205,4 +205,14 @@ def test_command_line(spark, source, vocabulary, capsys):
         run_job.main(options)
     run_job.main(options + ["-r", "gene", "--result-concept-column", "s"])
     assert spark.table("cli_found").columns[2:] == ["raw_v_targetgene", "gene", "s"]
+    missing = ["lookup", "-s", source, "-t", "cli_missing", "-c", "v_targetgene", "-r", "gene", "-k", "gbifid"]
+    with pytest.raises(ValueError, match="no vocabulary"):
+        run_job.main(missing)
+    for table in ([], ["--concept-table", "no_such_table"]):
+        run_job.main([*missing, *table, "--on-missing", "null"])
+        assert spark.table("cli_missing").columns == ["gbifid", "raw_v_targetgene", "gene"]
+    run_job.main([*missing, "--concept-table", "cli_concept", "--exact"])
+    assert spark.table("cli_missing").where("raw_v_targetgene = 'coi' AND gene IS NOT NULL").isEmpty()
+    run_job.main(["process-sequences", "-s", source, "-t", "cli_options", "-o", "anchorMinrun=2"])
+    assert spark.table("cli_options").count() == len(DEFAULT_CASES)
     assert f"{len(DEFAULT_CASES)} rows" in capsys.readouterr().out
