@@ -30,7 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -259,17 +259,16 @@ def _linking(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return run
 
 
-def candidates(texts: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
+def candidates(texts: DataFrame, sketch: Broadcast, width: int, percent: int) -> DataFrame:
     """(u, v): pairs of nodes that pass every order, and stars of the heavy tokens.
 
     A pair passes an order if the light tokens it shares, and the heavy ones that it may
     share, are as many as it needs. One that shares heavy tokens only is in a star.
     """
-    shared_sketch = texts.sparkSession.sparkContext.broadcast(sketch)
     kind = "token long, ord byte, node long, need byte"
     one = Window.partitionBy("token")
     shared = materialise(
-        texts.mapInArrow(_prefixes(width, percent, shared_sketch), kind)
+        texts.mapInArrow(_prefixes(width, percent, sketch), kind)
         .repartition("token")
         .dropDuplicates(["token", "node"])
         .withColumn("held", F.count(F.lit(1)).over(one))
@@ -324,7 +323,8 @@ def jaccard_components(
     schema = f"key {kind}, n_shingles long, node long, block int, part int, packed binary"
     described = materialise(texts.mapInArrow(_describing(width), schema))
     rows = described.where("n_shingles IS NOT NULL").select("key", "n_shingles", "node")
-    sketch = merged_sketch(described.where("packed IS NOT NULL").select("block", "part", "packed"))
+    blocks = described.where("packed IS NOT NULL").select("block", "part", "packed")
+    sketch = df.sparkSession.sparkContext.broadcast(merged_sketch(blocks))
     groups = materialise(components(candidates(only_text, sketch, width, percent)))
     bits = df.sparkSession.sparkContext.broadcast(bit_filter(groups, "node", FILTER_BITS))
     # a hot copy comes once a task
