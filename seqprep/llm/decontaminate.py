@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import U64, SliceHash, chunks, edges, flat, mix
-from seqprep.llm.shared import bit_filter, materialise, passes, quoted, table
+from seqprep.llm.shared import bit_filter, materialise, passes, quoted, small_batches, table
 
 #: Tokens of a window, and the share of an item's windows that makes a contamination.
 WIDTH = 5
@@ -198,7 +198,7 @@ def contaminated(
     # only items shorter than a window have other widths; there are at most WIDTH of them
     short = asked.mapInArrow(_lengths, "n int").distinct().collect()
     widths = sorted({WIDTH, *(r.n for r in short)})
-    texts = docs.select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text"))
+    texts = small_batches(docs).select(F.col(quoted(doc_id)).alias("id"), F.col(quoted(text)).alias("text"))
     doc_type = texts.schema["id"].dataType.simpleString()
     ours = texts.mapInArrow(_windowing(widths, known), f"id {doc_type}, {FIELDS}")
     left = ours.select(F.col("id").alias("doc"), "kind", "hash", F.col("pos").alias("at"), F.col("slots").alias("own"))

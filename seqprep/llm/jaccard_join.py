@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from seqprep.llm.arrays import chunks, flat, mix, shingles, word_hashes
 from seqprep.llm.bpe import binary, gather
 from seqprep.llm.graph import components
-from seqprep.llm.shared import bit_filter, materialise, quoted, small, table
+from seqprep.llm.shared import bit_filter, materialise, quoted, small, small_batches, table
 
 U64 = np.uint64
 #: Slots of the frequency sketch (one byte each) and slots in one of its blocks.
@@ -317,7 +317,7 @@ def jaccard_components(
     """
     if not 1 <= percent <= 100:
         raise ValueError("percent is from 1 to 100")
-    texts = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
+    texts = small_batches(df).select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
     only_text = texts.select("text")
     schema = f"key {kind}, n_shingles long, node long, block int, part int, packed binary"

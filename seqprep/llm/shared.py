@@ -32,6 +32,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Most rows of an Arrow batch that goes to Python.
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; from now on its session sends texts to Python in batches of some megabytes.
+
+    Executors hold a batch several times, in the JVM and in Python. Spark's limit counts
+    rows and is made for narrow ones; it is only ever lowered here.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -83,7 +99,7 @@ def beside_text(df: DataFrame, keep: list[str], text: str) -> DataFrame:
     A text that is kept is sent to Python once, not twice.
     """
     kept = [F.col(quoted(c)).alias("text" if c == text else f"k{i}") for i, c in enumerate(keep)]
-    return df.select(*kept, *([] if text in keep else [F.col(quoted(text)).alias("text")]))
+    return small_batches(df).select(*kept, *([] if text in keep else [F.col(quoted(text)).alias("text")]))
 
 
 def fields(rows: DataFrame, hold_text: bool, *more: str) -> str:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import U64, chunks, flat, mix, word_hashes
 from seqprep.llm.bpe import binary
-from seqprep.llm.shared import bit_filter, materialise, passes, quoted, table
+from seqprep.llm.shared import bit_filter, materialise, passes, quoted, small_batches, table
 
 SHINGLE = 5
 LEAST_WORDS = 50
@@ -233,7 +233,7 @@ def repeated_passages(
 
     ``other`` is the least key of a row with the passage that is not this one.
     """
-    rows = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
+    rows = small_batches(df).select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     texts = rows.select("text")
     described = materialise(rows.mapInArrow(_describing(least), f"key {kind}, node long, n_words long"))

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.llm.shared import few_files, new_folder, quoted, table
+from seqprep.llm.shared import few_files, new_folder, quoted, small_batches, table
 
 #: An archive is closed, and the next one begun, from this size on.
 ROLL_BYTES = 1 << 30
@@ -124,7 +124,7 @@ def write_archives(
 
     ``folder`` is a URI or path that all executors share.
     """
-    rows = pages.select(
+    rows = small_batches(pages).select(
         F.col(quoted(page_id)).cast("long").alias("page_id"),
         F.col(quoted(url)).alias("url"),
         F.col(quoted(html)).alias("html"),
