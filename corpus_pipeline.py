@@ -5,12 +5,12 @@ Parquet and read again as the next one's ``docs``. All stages but the last retur
 columns of ``docs``, whatever they are.
 
 Cases: rows with null texts have no language and go with the first stage. Rows without
-an id are documents like others. An empty table stays empty through all stages.
+an id are documents like others, and so are rows with one id and different texts. An empty table stays empty through all stages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.llm import bpe, decontaminate, jaccard_join, language, secrets
@@ -34,26 +34,53 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return placed.where(known).select(*[f"c{i}" for i in range(n)]).toDF(*docs.columns)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """What a row is told apart by: its id and its text, in the order of the ids.
+
+    Ids can be missing or repeated. Rows with the same id and text are copies of each
+    other; rows without an id come after all others. The text stands in by 128 bits.
+    """
+    none, one, text = docs["doc_id"].isNull(), docs["doc_id"], docs["text"]
+    return F.struct(
+        none.alias("none"), one.alias("id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("g")
+    )
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_key, text) of every row."""
+    return docs.select(row_key(docs).alias("doc_key"), docs["text"].alias("text"))
+
+
+def without(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
+    """The rows whose key is not in ``gone`` (doc_key) or, ``left_semi``, is in it."""
+    gone = small(gone.select(F.col("doc_key").alias("gone")))
+    return docs.join(gone, row_key(docs).eqNullSafe(gone["gone"]), how)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one with the least id.
 
-    Of rows that repeat the kept id within a group one stays.
+    Of rows that repeat the kept id and text one stays. Rows that share no more than
+    an id, or have none, are documents of their own.
     """
-    classes = jaccard_join.jaccard_components(docs, width=WIDTH, percent=PERCENT)
-    groups = materialise(classes.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows")))
-    gone = small(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")))
-    again = small(groups.where((F.col("rows") > 1) & F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("again")))
-    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
-    once = kept.join(again, kept["doc_id"].eqNullSafe(again["again"]), "left_anti")
-    repeated = kept.join(again, kept["doc_id"].eqNullSafe(again["again"]), "left_semi")
-    return once.unionByName(repeated.dropDuplicates(["doc_id"]))
+    classes = jaccard_join.jaccard_components(keyed(docs), key="doc_key", width=WIDTH, percent=PERCENT)
+    groups = materialise(
+        classes.groupBy("doc_key", "component_id").agg(
+            F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n_shingles")
+        )
+    )
+    first = F.col("doc_key").eqNullSafe(F.col("component_id"))
+    # texts without words are copies of each other only under an id
+    copies = (F.col("rows") > 1) & ((F.col("n_shingles") > 0) | ~F.col("doc_key.none"))
+    again = groups.where(copies & first)
+    kept = without(docs, groups.where(~first))
+    return without(kept, again).unionByName(without(kept, again, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold an item of ``benchmark``."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = small(materialise(found.select(F.col("doc_id").alias("gone")).distinct()))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone"]), "left_anti")
+    found = decontaminate.contaminated(keyed(docs), table(spark, sf_dir, "benchmark"), doc_id="doc_key")
+    return without(docs, materialise(found.select("doc_key").distinct()))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,25 @@ def test_each_stage_on_what_the_one_before_kept(spark, folder, tmp_path):
         assert r.round_trip and len(struct.unpack(f"<{r.n_tokens}I", r.ids)) == r.n_tokens
 
 
+def test_missing_and_repeated_ids_cost_no_document(spark, tmp_path):
+    rng = random.Random(3)
+    texts = [text(rng) for _ in range(7)]
+    rows = [(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (8, texts[5]), (9, texts[6])]
+    rows += [(None, ""), (None, ""), (None, None)]
+    # a null id and a repeated one on copies of other documents, and a null id twice on one text
+    rows += [(None, texts[5]), (9, changed(rng, texts[3], 1)), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    kept = pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    want = [(None, t) for t in [*texts[:3], "", "", None]] + [(7, texts[3]), (7, texts[4]), (8, texts[5]), (9, texts[6])]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = [(None, f"{texts[0]} {ITEM}"), (7, f"{texts[1]} {ITEM}")]
+    docs = spark.createDataFrame([*want, *more], "doc_id long, text string").repartition(3)
+    kept = pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 def test_run_and_empty_tables(spark, folder, tmp_path):
     assert pipeline.run(spark, folder).count() == 63
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
