@@ -208,10 +208,13 @@ def _linking(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        cross = bool(frame["i"].iloc[0] != frame["j"].iloc[0])
         frame = frame.drop_duplicates("node").sort_values("node")
         nodes = frame["node"].to_numpy()
         side = frame["block"].to_numpy()
-        cross = side.min() != side.max()
+        if cross and side.min() == side.max():
+            # the other block is empty, and this one's own links are another task's
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("node", "least", "links")})
         sets = frame["tokens"].to_numpy()
         sizes = np.array([len(s) // TOKEN_BYTES for s in sets])
         wide = np.zeros((sizes.sum(), 8), np.uint8)

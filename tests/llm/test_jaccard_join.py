@@ -5,6 +5,8 @@ import re
 import sys
 from collections import defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
@@ -66,6 +68,23 @@ def test_against_all_pairs(spark, monkeypatch, width, percent, block):
     assert found == sorted(map(str, brute(rows, width, percent)))
 
 
+def test_links_are_counted_once_where_blocks_are_empty(spark, monkeypatch):
+    tokens = np.arange(20, dtype=np.uint64) << np.uint64(16)
+    packed = tokens.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+    frame = pd.DataFrame({"node": [1, 2], "component": 1, "block": 0, "i": 0, "n": 20, "tokens": [packed, packed]})
+    link = jaccard_join._linking(85)
+    assert link(frame.assign(j=0))["links"].tolist() == [1, 1]
+    assert link(frame.assign(j=1)).empty
+    monkeypatch.setattr(jaccard_join, "VERIFY_TOKENS", 40)
+    rng = random.Random(4)
+    base = prose(rng, 90).split()
+    # four different near copies, two of them also as exact copies: each set links with three
+    texts = [" ".join([*base, *more]) for more in ([], ["one"], ["two"], ["three"])]
+    rows = list(enumerate([*texts, texts[1], texts[2], prose(rng, 90)]))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.component_id, r.n_links) for r in got} == {**{i: (0, 3) for i in range(6)}, 6: (6, 0)}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.jaccard_components(df).collect() == []
