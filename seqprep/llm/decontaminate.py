@@ -10,6 +10,8 @@ contaminated by an item if consistent windows cover enough of the item.
 
 A number is a token with a digit. A unit is a listed word after a number. A name is a
 word with a capital first letter and a small second one that does not open a sentence.
+A word that opens one may be a name or not, so a text has a second template in which
+such words, but for the listed ones, are names as well.
 
 Documents' windows meet a filter of fixed size over the benchmark's windows before
 anything is shuffled; what passes by chance finds no partner in the join.
@@ -46,7 +48,14 @@ UNITS = (
     "inch inches gram grams kilogram kilograms liter liters litre litres mph kmh kph hz khz mhz ghz v w kw "
     "kwh j kj pa kpa c f k"
 ).split()
-NUMBER, UNIT, NAME = 1, 2, 3
+#: Words that open a sentence and are no names.
+OPENERS = (
+    "a an the this that these those it its he she they we you i his her their our your my there here what which "
+    "who whom whose when where why how if in on at by for from to of with without and or but so as is are was "
+    "were do does did can could should would has have had not no each every all some any both after before "
+    "during while then since until because although however given let find suppose"
+).split()
+NUMBER, UNIT, NAME, OPENER = 1, 2, 3, 4
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -93,7 +102,9 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     capital |= (data[start] == 0xC3) & (low[accented] != data[accented])
     second = np.minimum(start + 1 + (data[start] >= 128), len(data) - 1)
     small = (end - start > 1) & (low[second] == data[second])
-    kind[same & capital & small & (kind == 0)] = NAME
+    named = capital & small & (kind == 0)
+    kind[same & named] = NAME
+    kind[~same & named & ~np.isin(word, word_list(OPENERS))] = OPENER
     return word, kind, first
 
 
@@ -113,6 +124,19 @@ def _template(word: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.where(slot == 0, word[at], slot.astype(U64)), np.where(slot == 0, U64(0), filling | U64(1))
 
 
+def _templates(word: np.ndarray, kind: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(form, *template): 1 with names inside sentences only, 2 with those that open one."""
+    opens = kind == OPENER
+    plain = np.where(opens, 0, kind)
+    if plain.any():
+        yield (1, *_template(word, plain))
+    if opens.any():
+        token, filling = _template(word, np.where(opens, NAME, kind))
+        # in less than a window, hardly a word is left beside the name
+        if len(token) >= WIDTH:
+            yield 2, token, filling
+
+
 def windows(token: np.ndarray, width: int, seed: int) -> np.ndarray:
     n = max(0, len(token) - width + 1)
     weights = mix(np.arange(1, width + 1, dtype=U64), 13) | U64(1)
@@ -126,7 +150,9 @@ FIELDS = "kind byte, hash long, pos int, total int, slots array<long>"
 
 
 def _windowing(widths: list[int] | None, known) -> Callable[[Batches], Batches]:
-    """Rows for the windows of each text: literal (kind 0) and of the template (kind 1).
+    """Rows for the windows of each text: literal (kind 0) and of the templates (1 and 2).
+
+    ``total`` counts the text's windows of the kind, of a template those with enough words.
 
     Without ``widths`` a text has windows of ``WIDTH``, or one of its own length if it
     is shorter. ``known`` is the filter that windows pass.
@@ -134,20 +160,19 @@ def _windowing(widths: list[int] | None, known) -> Callable[[Batches], Batches]:
 
     def of_text(word: np.ndarray, kind: np.ndarray) -> Iterator[tuple]:
         blank = np.zeros(len(word), U64)
-        forms = [(0, word, blank)]
-        if kind.any():
-            forms.append((1, *_template(word, kind)))
-        for form, token, filling in forms:
-            for width in widths or [min(WIDTH, len(token))]:
+        for form, token, filling in [(0, word, blank), *_templates(word, kind)]:
+            for width in (widths if form < 2 else [WIDTH]) if widths else [min(WIDTH, len(token))]:
                 hashes = windows(token, width, 0)
-                keep = passes(known.value, hashes, FILTER_BITS) if known is not None else np.ones(len(hashes), bool)
+                usable = np.ones(len(hashes), bool)
                 if form and len(hashes):
                     held = np.append(0, np.cumsum(filling != 0))
                     slots = held[width:] - held[:-width]
-                    keep &= width - slots >= min(LEAST_WORDS, width)
+                    usable = width - slots >= min(LEAST_WORDS, width)
+                total = int(usable.sum())
+                keep = usable & passes(known.value, hashes, FILTER_BITS) if known is not None else usable
                 for p in np.flatnonzero(keep).tolist():
                     inner = filling[p : p + width]
-                    yield form, hashes[p], p, len(hashes), inner[inner != 0].view(np.int64).tolist()
+                    yield form, hashes[p], p, total, inner[inner != 0].view(np.int64).tolist()
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -240,7 +265,7 @@ def _lengths(batches: Batches) -> Batches:
             n = set()
             for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
                 if b > a:
-                    n |= {b - a, len(_template(word[a:b], kind[a:b])[0])}
+                    n |= {b - a, *(len(token) for _, token, _ in _templates(word[a:b], kind[a:b]))}
             yield pa.RecordBatch.from_arrays([pa.array([x for x in n if x < WIDTH], pa.int32())], ["n"])
 
 

@@ -49,3 +49,21 @@ def test_empty_tables(spark):
     assert contaminated(none, items).collect() == []
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     assert contaminated(docs, items.limit(0)).collect() == []
+
+
+def test_opening_names_and_items_of_numbers(spark):
+    apples = "Tom has 12 apples. Tom buys 5 apples. Tom eats 3 apples. How many apples does Tom have?"
+    other = "Sam has 40 apples. Sam buys 8 apples. Sam eats 9 apples. How many apples does Sam have?"
+    mix = "Mix 2 kg 3 l 40 g 5 min and stir well"
+    items = spark.createDataFrame([(1, apples), (2, mix), (3, "Define gravity")], "item_id long, text string")
+    rows = [
+        (1, other),
+        (2, f"It is said: {other} Nobody knows."),
+        (3, other.replace("Sam eats", "Ann eats").replace("does Sam", "does Eve")),
+        (4, "Mix 7 kg 8 l 90 g 6 min and stir well"),
+        (5, "Paint gravity"),
+        (6, "Sam has 40 pears. Sam sells 8 pears. How old is Sam?"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in contaminated(docs, items).collect()}
+    assert got == {(1, 1): ("template", 1.0), (2, 1): ("template", 1.0), (4, 2): ("template", 1.0)}
