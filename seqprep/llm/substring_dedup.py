@@ -4,14 +4,18 @@ A text is a sequence of five-word shingles. Under a hash function, the subsequen
 ``least`` shingles that have the same minimum form compact windows: the nodes of the
 sequence's Cartesian tree that are wide enough. Their minima are the sliding minima of
 the sequence, which block-wise prefix and suffix minima give for all positions at
-once. Windows of two hash functions are joined where they overlap: a signature is the
-pair of minima that a run of subsequences shares. A passage repeated word for word has
-the same signatures wherever it occurs, and one with few changes keeps most of them.
-
-Texts are grouped by signature. A group is not expanded into pairs: every text is
-compared with the group's first text and with its neighbour, in an order that changes
-from round to round; texts without a verified passage in a group take part in the next
-round. Pairs are compared on the stretches their windows cover: a passage counts where
+once. A signature is the minimum of one hash function that a run of subsequences
+shares. So a passage is met if one of the functions agrees on it: all that a join of
+overlapping windows of two functions meets, and more. One repeated word for word has the
+same signatures wherever it occurs; of passages of ``least`` words at a similarity of
+0.8, one function misses a fifth, and all four 0.2 per cent.
+
+Texts are grouped by signature. In each round, some open windows of a group are its
+heads: all others are compared with them. A window is closed once it was a head, or once
+a verified passage of its text covers the minimum that put it into the group. Rounds go
+on, with more heads each time, until no window is open: so a group whose texts repeat a
+passage takes one round, and one of texts that are in it by chance is compared in full,
+at a cost of its square. Pairs are compared on the stretches their windows cover: a passage counts where
 every ``least`` shingles in a row share enough with the other text for a similarity
 of 0.8, on both sides.
 
@@ -38,10 +42,10 @@ from seqprep.llm.shared import bit_filter, materialise, passes, quoted, small_ba
 SHINGLE = 5
 LEAST_WORDS = 50
 SIMILARITY = 0.8
-#: Hash functions; each two make a signature.
+#: Hash functions; each makes signatures of its own.
 HASHES = 4
-#: Rounds of comparison.
-ROUNDS = 2
+#: Heads of a group in the first round, and how many times more there are in each next one.
+HEADS, GROWTH = 2, 4
 FILTER_BITS = 1 << 23
 
 Batches = Iterator[pa.RecordBatch]
@@ -75,14 +79,16 @@ def sliding_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(from_on[: n - width + 1], up_to[width - 1 : n])
 
 
-def signatures(shingles: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, first, end) of the runs of subsequences with equal pairs of minima."""
+def signatures(shingles: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(signature, first, end, place of the minimum) of the runs of subsequences with equal minima."""
     out = []
-    for pair in range(HASHES // 2):
-        a, b = (sliding_minima(mix(shingles, 101 + 2 * pair + k), width) for k in range(2))
-        start = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        last = np.append(start[1:], len(a)) - 1
-        out.append((mix(a[start] ^ mix(b[start], 7), 200 + pair), start, last + width))
+    for k in range(HASHES):
+        values = mix(shingles, 101 + k)
+        low = sliding_minima(values, width)
+        start = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        inner = np.lib.stride_tricks.sliding_window_view(values, width)[start]
+        at = start + np.argmax(inner == low[start, None], axis=1)
+        out.append((mix(low[start], 200 + k), start, np.append(start[1:], len(low)) - 1 + width, at))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
@@ -106,7 +112,7 @@ def _describing(least: int) -> Callable[[Batches], Batches]:
 
 
 def _windowing(least: int) -> Callable[[Batches], Batches]:
-    """(sig, node, lo, hi): the stretches of shingles, each text once a task."""
+    """(sig, node, lo, hi, at): the stretches of shingles and their minima, each text once a task."""
     width = least - SHINGLE + 1
 
     def run(batches: Batches) -> Batches:
@@ -118,11 +124,11 @@ def _windowing(least: int) -> Callable[[Batches], Batches]:
                     continue
                 if len(seen) < 1 << 20:
                     seen.add(node)
-                sig, lo, hi = signatures(sequence(words), width)
-                rows.append((sig.view(np.int64), np.full(len(sig), node), lo.astype(np.int32), hi.astype(np.int32)))
+                sig, *at = signatures(sequence(words), width)
+                rows.append((sig.view(np.int64), np.full(len(sig), node), *(x.astype(np.int32) for x in at)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in zip(*rows)], ["sig", "node", "lo", "hi"]
+                    [pa.array(np.concatenate(c)) for c in zip(*rows)], ["sig", "node", "lo", "hi", "at"]
                 )
 
     return run
@@ -189,28 +195,33 @@ def _verifying(least: int, similarity: float) -> Callable[[Batches], Batches]:
     return run
 
 
-def _compare(texts: DataFrame, active: DataFrame, round_no: int, least: int, similarity: float) -> DataFrame:
-    """The verified passages of the texts in ``active`` with their groups' first and neighbour."""
-    order = F.xxhash64("node", F.lit(round_no))
-    group = Window.partitionBy("sig").orderBy("turn", "node", "lo")
-    here = F.struct("node", "lo", "hi")
-    placed = (
-        active.withColumn("turn", order)
-        .withColumn("head", F.first(here).over(group))
-        .withColumn("next_to", F.lag(here).over(group))
-        .where("open")
-    )
-    sides = [placed.select("node", "lo", "hi", F.col(c).alias("y")) for c in ("head", "next_to")]
-    pairs = materialise(
-        sides[0]
-        .union(sides[1])
-        .where("y.node <> node")
+def _sequences_of(texts: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
+    """(node, seq) of the given nodes' texts and, by chance, of some more."""
+    bits = texts.sparkSession.sparkContext.broadcast(bit_filter(nodes, "node", FILTER_BITS))
+    return texts.mapInArrow(_sequences(least, bits), "node long, seq binary").dropDuplicates(["node"])
+
+
+def _with_heads(active: DataFrame, round_no: int) -> DataFrame:
+    """``active`` with a mark on the heads of each group, which are open windows."""
+    order = Window.partitionBy("sig").orderBy(F.col("open").desc(), F.xxhash64("node", F.lit(round_no)), "node", "lo", "hi")
+    return active.withColumn("head", F.col("open") & (F.row_number().over(order) <= HEADS * GROWTH**round_no))
+
+
+def _pairs(placed: DataFrame) -> DataFrame:
+    """(x, y, lo, hi, ylo, yhi): the groups' texts with the groups' heads, once each."""
+    group = Window.partitionBy("sig")
+    heads = F.collect_list(F.when(F.col("head"), F.struct("node", "lo", "hi"))).over(group)
+    return (
+        placed.withColumn("heads", heads)
+        .select("node", "lo", "hi", "head", F.explode("heads").alias("y"))
+        .where("y.node <> node AND NOT (head AND node < y.node)")
         .groupBy(F.col("node").alias("x"), F.col("y.node").alias("y"))
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("y.lo").alias("ylo"), F.max("y.hi").alias("yhi"))
     )
-    nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y"))
-    bits = texts.sparkSession.sparkContext.broadcast(bit_filter(nodes, "node", FILTER_BITS))
-    seqs = texts.mapInArrow(_sequences(least, bits), "node long, seq binary").dropDuplicates(["node"])
+
+
+def _compare(seqs: DataFrame, pairs: DataFrame, least: int, similarity: float) -> DataFrame:
+    """The verified passages of ``pairs``."""
 
     def cut(lo: str, hi: str):
         return F.expr(f"substring(seq, cast({lo} * 4 + 1 as int), cast(({hi} - {lo}) * 4 as int))")
@@ -222,6 +233,33 @@ def _compare(texts: DataFrame, active: DataFrame, round_no: int, least: int, sim
     return own.join(theirs, "y").mapInArrow(_verifying(least, similarity), "node long, other long, lo long, hi long")
 
 
+def _merged(spans: DataFrame) -> DataFrame:
+    """(node, lo, hi, other): spans that touch each other as one, with the first one's other."""
+    before = Window.partitionBy("node").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        spans.groupBy("node", "lo", "hi")
+        .agg(F.min("other").alias("other"))
+        .withColumn("reach", F.max("hi").over(before))
+        .withColumn("new", F.expr("int(reach IS NULL OR lo > reach)"))
+        .withColumn("run", F.sum("new").over(Window.partitionBy("node").orderBy("lo", "hi")))
+        .groupBy("node", "run")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min_by("other", F.struct("lo", "hi")).alias("other"))
+    )
+
+
+def _left_open(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """The groups that still have open windows."""
+    held = _merged(found).select(F.col("node").alias("held"), F.col("lo").alias("from"), F.col("hi").alias("to"))
+    covered = F.expr(f"node = held AND `from` <= at AND at + {SHINGLE} <= `to`")
+    return (
+        placed.join(held, covered, "left")
+        .withColumn("open", F.expr("open AND NOT head AND held IS NULL"))
+        .withColumn("any", F.max("open").over(Window.partitionBy("sig")))
+        .where("any")
+        .select("sig", "node", "lo", "hi", "at", "open")
+    )
+
+
 def repeated_passages(
     df: DataFrame,
     key: str = "doc_id",
@@ -241,39 +279,34 @@ def repeated_passages(
     classes = docs.groupBy("node").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"))
     group = Window.partitionBy("sig")
     active = materialise(
-        texts.mapInArrow(_windowing(least), "sig long, node long, lo int, hi int")
+        texts.mapInArrow(_windowing(least), "sig long, node long, lo int, hi int, at int")
         .repartition("sig")
         .dropDuplicates(["sig", "node", "lo", "hi"])
         .withColumn("least", F.min("node").over(group))
         .withColumn("most", F.max("node").over(group))
         .where("least <> most")
-        .select("sig", "node", "lo", "hi", F.lit(True).alias("open"))
+        .select("sig", "node", "lo", "hi", "at", F.lit(True).alias("open"))
     )
-    found = None
-    for round_no in range(ROUNDS):
-        more = materialise(_compare(texts, active, round_no, least, similarity))
+    found = seqs = None
+    round_no = 0
+    while round_no == 0 or not active.isEmpty():
+        placed = _with_heads(active, round_no)
+        pairs = materialise(_pairs(placed))
+        if seqs is None:
+            nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y"))
+            more = materialise(_compare(_sequences_of(texts, nodes, least), pairs, least, similarity))
+        else:
+            more = materialise(_compare(seqs, pairs, least, similarity))
         found = more if found is None else found.union(more)
-        if round_no + 1 < ROUNDS:
-            held = found.groupBy("node").agg(F.min("lo").alias("from"), F.max("hi").alias("to"))
-            still = active.join(held, "node", "left").withColumn(
-                "open", F.expr("`from` IS NULL OR NOT (lo < `to` AND hi > `from`)")
-            )
-            some = Window.partitionBy("sig")
-            active = materialise(
-                still.withColumn("any", F.max("open").over(some)).where("any").select("sig", "node", "lo", "hi", "open")
-            )
+        active = materialise(_left_open(placed, found))
+        if seqs is None:
+            # later rounds need few texts: these are read once
+            seqs = materialise(_sequences_of(texts, active.select("node"), least))
+        round_no += 1
     copies = classes.where("copies > 1").select(
         "node", F.col("node").alias("other"), F.lit(0).cast("long").alias("lo"), F.col("n_words").alias("hi")
     )
-    spans = found.union(copies).groupBy("node", "lo", "hi").agg(F.min("other").alias("other"))
-    before = Window.partitionBy("node").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (
-        spans.withColumn("reach", F.max("hi").over(before))
-        .withColumn("new", F.expr("int(reach IS NULL OR lo > reach)"))
-        .withColumn("run", F.sum("new").over(Window.partitionBy("node").orderBy("lo", "hi")))
-        .groupBy("node", "run")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min_by("other", F.struct("lo", "hi")).alias("other"))
-    )
+    runs = _merged(found.union(copies))
     # within a class of copies the other row is the class's first or, for that one, the next
     seconds = docs.join(classes.select("node", "first"), "node").where("key <> first").groupBy("node").agg(F.min("key").alias("second"))
     named = runs.join(classes.select(F.col("node").alias("other"), F.col("first").alias("other_key")), "other")

@@ -4,6 +4,7 @@ import random
 import sys
 
 import numpy as np
+import pyarrow as pa
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 from helpers import changed, prose, with_clashes
@@ -36,6 +37,36 @@ def test_repeated_passages(spark):
     assert {(r.start_word, r.end_word, r.other) for r in got if r.doc_id in (104, 105)} == {(0, 70, 104), (0, 70, 105)}
 
 
+def test_repeats_in_a_large_group_of_unlike_texts(spark):
+    rng = random.Random(21)
+    phrase = prose(rng, 30, 10**6)
+    # a phrase that is too short to be a passage, in many texts; two each repeat some more of it
+    rows = []
+    for i in range(40):
+        tail = prose(rng, 21, 10**6)
+        rows += [(2 * i + k, f"{prose(rng, 60, 10**6)} {phrase} {tail} {prose(rng, 20, 10**6)}") for k in range(2)]
+    rows += [(1000 + i, f"{prose(rng, 40, 10**6)} {phrase} {prose(rng, 40, 10**6)}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.start_word, r.end_word, r.other) for r in sd.repeated_passages(df).collect()}
+    assert got == {(i, 60, 111, i ^ 1) for i in range(80)}
+
+
+def test_signatures_meet_near_copies_of_fifty_words():
+    rng = random.Random(22)
+    met, n = 0, 500
+    for _ in range(n):
+        own = prose(rng, 50, 10**6).split()
+        other = own[:24] + ["changed"] + own[25:]
+        x, y = ({int(v) for v in sd.signatures(sd.sequence(hashes(" ".join(w))), 46)[0]} for w in (own, other))
+        met += bool(x & y)
+    # 46 shingles, 41 of them in common
+    assert met >= 0.99 * n
+
+
+def hashes(text):
+    return sd.word_hashes(*sd.flat(pa.array([text])))[0]
+
+
 def test_sliding_minima_are_those_of_the_windows():
     rng = np.random.default_rng(1)
     for n in (46, 47, 91, 92, 300):
