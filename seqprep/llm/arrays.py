@@ -6,18 +6,16 @@ about ``CHUNK_BYTES`` of them, so memory is bounded by the longest single text.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 19
 U64 = np.uint64
-#: Odd multiplier of the polynomial hashes and its inverse modulo 2**64.
-BASE = 0x9E3779B97F4A7C15
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -28,28 +26,6 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-@lru_cache(maxsize=2)
-def byte_values(lower: bool) -> np.ndarray:
-    values = mix(np.arange(1, 257, dtype=U64), 7)
-    if lower:
-        values[65:91] = values[97:123]
-    return values
-
-
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK_BYTES * 2), base, dtype=U64)
-        steps[0] = 1
-        have = np.multiply.accumulate(steps)
-        if n <= CHUNK_BYTES * 2:  # a very long text's table isn't kept
-            _powers[base] = have
-    return have[:n]
-
-
 def chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of whole rows with about ``most`` bytes of text each."""
     column = batch.column(text)
@@ -76,16 +52,88 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+#: A-Z in lower case, every other byte as it is.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+#: The low bytes of a lane that belong to a slice with 0 to 8 bytes left.
+LANE = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+#: From this many bytes on a slice is hashed by the standard library.
+LONG_SLICE = 512
+
+
 class SliceHash:
-    """64-bit hashes of any slices of ``data`` by differences of prefix sums."""
+    """64-bit hashes of any slices of ``data``, eight bytes a step.
+
+    Each step mixes the state before the next eight bytes come in, so that no sum of
+    powers is formed whose terms could cancel out. Long slices have a cryptographic hash.
+    """
 
     def __init__(self, data: np.ndarray, lower: bool = False):
-        self.sums = np.zeros(len(data) + 1, U64)
-        np.cumsum(byte_values(lower)[data] * powers(BASE, len(data)), out=self.sums[1:])
-        self.inverse = powers(BASE_INVERSE, len(data) + 1)
+        padded = np.zeros(len(data) + 8, np.uint8)
+        padded[:-8] = LOWER[data] if lower else data
+        self.bytes = padded
+        self.lanes = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))
+
+    def lane(self, at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """The next eight bytes, or those that are left, as a number."""
+        return self.lanes[at] & LANE[np.minimum(left, 8)]
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.inverse[start])
+        size = end - start
+        out = mix(size.astype(U64), 7)
+        out = mix(out ^ self.lane(start, size))
+        more = np.flatnonzero((size > 8) & (size < LONG_SLICE))
+        step = 8
+        while len(more):
+            out[more] = mix(out[more] ^ self.lane(start[more] + step, size[more] - step), 8)
+            step += 8
+            more = more[size[more] > step]
+        for i in np.flatnonzero(size >= LONG_SLICE).tolist():
+            found = hashlib.blake2b(self.bytes[start[i] : end[i]], digest_size=8).digest()
+            out[i] = int.from_bytes(found, "little")
+        return out
+
+    def equal(self, start: np.ndarray, end: np.ndarray, other: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Which slices hold the same bytes as the slices ``[other, stop)``."""
+        size = end - start
+        same = size == stop - other
+        same &= self.lane(start, size) == self.lane(other, size)
+        more = np.flatnonzero(same & (size > 8) & (size < LONG_SLICE))
+        step = 8
+        while len(more):
+            left = size[more] - step
+            same[more] &= self.lane(start[more] + step, left) == self.lane(other[more] + step, left)
+            step += 8
+            more = more[(size[more] > step) & same[more]]
+        for i in np.flatnonzero(same & (size >= LONG_SLICE)).tolist():
+            same[i] = np.array_equal(self.bytes[start[i] : end[i]], self.bytes[other[i] : stop[i]])
+        return same
+
+
+def slice_classes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a slice of each class, class of each slice) of the slices with the same bytes.
+
+    Classes come from hashes, and every slice is compared with the one that stands for it.
+    """
+    hashed = SliceHash(data)
+    place, found = pd.factorize(hashed(start, end))
+    one = np.empty(len(found), np.int64)
+    one[place[::-1]] = np.arange(len(place) - 1, -1, -1)
+    if not hashed.equal(start, end, start[one[place]], end[one[place]]).all():
+        raw = data.tobytes()
+        slices = [raw[a:b] for a, b in zip(start.tolist(), end.tolist())]
+        numbers: dict[bytes, int] = {}
+        place = np.array([numbers.setdefault(x, len(numbers)) for x in slices], np.int64)
+        one = np.empty(len(numbers), np.int64)
+        one[place[::-1]] = np.arange(len(place) - 1, -1, -1)
+    return one, place
+
+
+def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of the slices ``[start, start + size)``, one after the other."""
+    total = int(sizes.sum())
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(total)
 
 
 def edges(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

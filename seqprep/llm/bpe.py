@@ -5,11 +5,12 @@ number, white space, other); a text is then a string of classes. The pattern's
 automaton has only two kinds of transition per code point: keep the state, or set it
 to a value that does not depend on what it was. Such functions compose associatively
 to "the last one that set it", so a running maximum over positions gives the state at
-every code point, for all texts of a chunk at once. Pieces that occur in a chunk are
-merged once each, behind a cache of bounded size, and gathered for all places.
+every code point, for all texts of a chunk at once. Pieces of equal bytes are merged once,
+all new ones of a chunk together, behind a bounded cache, and gathered for all places.
 
-Cases: a null or empty text has no ids. Repeated rows and keys are encoded each.
-Only the named columns are read; extra columns are ignored, whatever their names.
+Cases: a null or empty text has no ids. Repeated rows and keys are encoded each. An
+empty table gives none. A very long text is a chunk of its own: about 80 bytes of arrays
+for each of its bytes at the peak, and n log n for a piece without bound. Only the named columns are read; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,14 +25,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.llm.arrays import SliceHash, chunks, flat
+from seqprep.llm.arrays import U64, chunks, flat, gather, mix, slice_classes
 from seqprep.llm.shared import beside_text, fields, kept, quoted, table
 
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: What may follow an apostrophe as one piece.
 SUFFIXES = ["s", "t", "re", "ve", "m", "ll", "d"]
-#: Merged pieces that a worker keeps.
-CACHE_PIECES = 100_000
+#: Pieces of a generation of the cache; a worker keeps two.
+CACHE_PIECES = 300_000
+#: Stands for a pair that makes up no token.
+NO_PAIR = 1 << 30
 #: From this length on a piece is merged with a heap.
 LONG_PIECE = 48
 
@@ -100,31 +103,84 @@ def piece_starts(points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one piece: the pair of least rank is merged first, leftmost on ties."""
-    if (whole := ranks.get(piece)) is not None:
-        return [whole]
-    if len(piece) >= LONG_PIECE:
-        return merge_long(piece, ranks)
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-    while True:
-        best, where = None, -1
-        for i, rank in enumerate(pairs):
-            if rank is not None and (best is None or rank < best):
-                best, where = rank, i
-        if best is None:
-            return [ranks[x] for x in parts]
-        parts[where : where + 2] = [parts[where] + parts[where + 1]]
-        del pairs[where]
-        if where:
-            pairs[where - 1] = ranks.get(parts[where - 1] + parts[where])
-        if where < len(pairs):
-            pairs[where] = ranks.get(parts[where] + parts[where + 1])
+class Pairs:
+    """The rank of every pair of tokens that make up a token: an open hash table."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = [
+            (left << 32 | right, rank)
+            for token, rank in ranks.items()
+            for k in range(1, len(token))
+            if (left := ranks.get(token[:k])) is not None and (right := ranks.get(token[k:])) is not None
+        ]
+        pairs, values = np.array(found, np.int64).reshape(-1, 2).T
+        self.bits = max(8, int(4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, NO_PAIR, np.int64)
+        slot, todo = self.slots(pairs), np.arange(len(pairs))
+        while len(todo):
+            free = self.keys[slot[todo]] < 0
+            self.keys[slot[todo[free]]] = pairs[todo[free]]  # of several, one stays
+            held = self.keys[slot[todo]] == pairs[todo]
+            self.values[slot[todo[held]]] = values[todo[held]]
+            todo = todo[~held]
+            slot[todo] = (slot[todo] + 1) & (1 << self.bits) - 1
+
+    def slots(self, pairs: np.ndarray) -> np.ndarray:
+        return (mix(pairs.view(U64)) >> U64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = left << 32 | right
+        slot = self.slots(pairs)
+        out = self.values[slot]
+        todo = np.flatnonzero((self.keys[slot] != pairs) & (self.keys[slot] >= 0))
+        out[self.keys[slot] != pairs] = NO_PAIR
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & (1 << self.bits) - 1
+            key = self.keys[slot[todo]]
+            hit = key == pairs[todo]
+            out[todo[hit]] = self.values[slot[todo[hit]]]
+            todo = todo[~hit & (key >= 0)]
+        return out
+
+
+def merge_all(pieces: list[bytes], letters: np.ndarray, pairs: Pairs) -> list[np.ndarray]:
+    """The ids of each piece: in each, the leftmost pair of least rank is merged first.
+
+    A round merges one pair in every piece that has one, and drops the finished pieces.
+    ``letters`` holds the id of each byte.
+    """
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(pieces)
+    which = np.array([i for i, x in enumerate(pieces) if x], np.int64)
+    ids = letters[np.frombuffer(b"".join(pieces), np.uint8)]
+    starts = np.cumsum([0, *(len(pieces[i]) for i in which.tolist())])[:-1]
+    rank = np.append(pairs(ids[:-1], ids[1:]), NO_PAIR)
+    rank[starts[1:] - 1] = NO_PAIR
+    while len(which):
+        ends = np.append(starts[1:], len(ids))
+        least = np.minimum.reduceat(rank << 32 | np.arange(len(ids)), starts)
+        going = least >> 32 < NO_PAIR
+        for i, a, b in zip(which[~going].tolist(), starts[~going].tolist(), ends[~going].tolist()):
+            out[i] = ids[a:b]
+        at = least[going] & (1 << 32) - 1
+        ids[at] = least[going] >> 32
+        keep = np.repeat(going, ends - starts)
+        keep[at + 1] = False
+        last = at + 2 == ends[going]
+        opening = at == starts[going]
+        shift = np.cumsum(keep) - 1
+        at, starts, which = shift[at], shift[starts[going]], which[going]
+        ids, rank = ids[keep], rank[keep]
+        rank[at[last]] = NO_PAIR
+        place = at[~last]
+        rank[place] = pairs(ids[place], ids[place + 1])
+        place = at[~opening]
+        rank[place - 1] = pairs(ids[place - 1], ids[place])
+    return out
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """As ``merge``, in n log n: a heap of pairs over a linked list of parts."""
+    """The ids of one piece in n log n: a heap of pairs over a linked list of parts."""
     n = len(piece)
     end = list(range(1, n + 1))  # of the part that starts here; 0 once it is merged away
     before = list(range(-1, n - 1))
@@ -149,27 +205,39 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Indices of the slices ``[start, start + size)``, one after the other."""
-    total = int(sizes.sum())
-    before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(total)
-
-
 class Encoder:
-    """Ranks and the cache of merged pieces of one worker."""
+    """Ranks and merged pieces of one worker process, for all its tasks.
+
+    The cache has two generations: a piece met again moves to the younger one, and when
+    that is full the older one goes. It holds at most twice ``CACHE_PIECES`` pieces.
+    """
 
     def __init__(self, path: str):
         self.ranks = read_ranks(path)
-        self.cache: dict[bytes, np.ndarray] = {}
-
-    def ids(self, piece: bytes) -> np.ndarray:
-        found = self.cache.get(piece)
-        if found is None:
-            found = np.array(merge(piece, self.ranks), np.uint32)
-            if len(self.cache) >= CACHE_PIECES:
-                self.cache.clear()
-            self.cache[piece] = found
+        self.pairs = Pairs(self.ranks)
+        self.letters = np.array([self.ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, pieces: list[bytes]) -> list[bytes]:
+        """The packed ids of each piece."""
+        young, old = self.young, self.old
+        found = [young.get(x) or old.get(x) for x in pieces]
+        new = [i for i, x in enumerate(found) if x is None]
+        short = []
+        for i in new:
+            if (whole := self.ranks.get(pieces[i])) is not None:
+                found[i] = whole.to_bytes(4, "little")
+            elif len(pieces[i]) >= LONG_PIECE:
+                found[i] = np.array(merge_long(pieces[i], self.ranks), "<u4").tobytes()
+            else:
+                short.append(i)
+        merged = merge_all([pieces[i] for i in short], self.letters, self.pairs)
+        for i, ids in zip(short, merged):
+            found[i] = ids.astype("<u4").tobytes()
+        if len(young) + len(pieces) > CACHE_PIECES:
+            self.young, self.old = {}, young
+        self.young.update((x, y) for x, y in zip(pieces, found) if len(x) < LONG_PIECE)
         return found
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,19 +248,26 @@ class Encoder:
         where = np.append(np.flatnonzero(heads), len(data))  # byte of each code point
         firsts = before[offsets[:-1]]
         starts = where[piece_starts(points, np.unique(firsts[firsts < len(points)]))]
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         ends = np.append(starts[1:], len(data))
-        hashes = SliceHash(data)(starts, ends)
-        _, one, place = np.unique(hashes, return_index=True, return_inverse=True)
+        one, place = slice_classes(data, starts, ends)
         raw = data.tobytes()
-        merged = [self.ids(raw[a:b]) for a, b in zip(starts[one].tolist(), ends[one].tolist())]
-        sizes = np.array([len(x) for x in merged], np.int64)
-        pool = np.concatenate(merged) if merged else np.zeros(0, np.uint32)
+        merged = self.ids([raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist())])
+        sizes = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
+        pool = np.frombuffer(b"".join(merged), "<u4")
         base = np.cumsum(sizes) - sizes
-        ids = pool[gather(base[place], sizes[place])] if len(place) else pool
-        so_far = np.append(0, np.cumsum(sizes[place])) if len(place) else np.zeros(1, np.int64)
+        ids = pool[gather(base[place], sizes[place])]
+        so_far = np.append(0, np.cumsum(sizes[place]))
         return ids, so_far[np.searchsorted(starts, offsets)]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder for each worker process, so that its cache outlives a task."""
+    return Encoder(path)
+
+
 def binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Slices of bytes as an Arrow binary column."""
     kind = pa.binary() if len(data) < 1 << 31 else pa.large_binary()
@@ -202,7 +277,7 @@ def binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
 
 def _encoding(path: str, hold_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             for part in chunks(batch, "text"):
                 ids, ends = encoder.encode(*flat(part.column("text")))

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.llm.arrays import BASE, BASE_INVERSE, U64, chunks, edges, flat, mix, powers
+from seqprep.llm.arrays import U64, SliceHash, chunks, edges, flat, mix
 from seqprep.llm.bpe import LETTER, classes
 from seqprep.llm.shared import beside_text, fields, kept, materialise, quoted, table
 
@@ -69,8 +69,7 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     right = np.append(low[1:], U64(0))
     right[end - 1] = 0
     three = mix((left[at] << U64(42)) | (low[at] << U64(21)) | right[at], 51)
-    sums = np.append(U64(0), np.cumsum(mix(low, 52) * powers(BASE, len(low))))
-    words = mix((sums[end] - sums[start]) * powers(BASE_INVERSE, len(low) + 1)[start], 53)
+    words = mix(SliceHash(low.astype("<u4").view(np.uint8))(4 * start, 4 * end), 53)
     owner = np.searchsorted(cuts, np.append(at, start), side="right") - 1
     return np.append(three, words), owner
 

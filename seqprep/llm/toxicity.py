@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqprep.llm.arrays import BASE, BASE_INVERSE, U64, chunks, edges, flat, mix, powers
+from seqprep.llm.arrays import U64, SliceHash, chunks, edges, flat, mix
 from seqprep.llm.bpe import LETTER, classes
 from seqprep.llm.language import fold, lower_case
 from seqprep.llm.shared import beside_text, fields, kept, materialise, quoted, table
@@ -56,15 +56,13 @@ def terms_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     start, end = edges(classes()[points] == LETTER, cuts)
     if not len(start):
         return np.zeros(0, U64), np.zeros(0, np.int64)
-    low = lower_case()[points].astype(U64)
-    sums = np.append(U64(0), np.cumsum(mix(low, 52) * powers(BASE, len(low))))
-    inverse = powers(BASE_INVERSE, len(low) + 1)
+    hashed = SliceHash(lower_case()[points].astype("<u4").view(np.uint8))
     owner = np.searchsorted(cuts, start, side="right") - 1
-    hashes, owners = [mix((sums[end] - sums[start]) * inverse[start], 80)], [owner]
+    hashes, owners = [mix(hashed(4 * start, 4 * end), 80)], [owner]
     for n in STEMS:
         long = end - start > n
         s = start[long]
-        hashes.append(mix((sums[s + n] - sums[s]) * inverse[s], 80 + n))
+        hashes.append(mix(hashed(4 * s, 4 * (s + n)), 80 + n))
         owners.append(owner[long])
     return np.concatenate(hashes), np.concatenate(owners)
 
