@@ -144,13 +144,13 @@ class Pairs:
         return out
 
 
-def merge_all(pieces: list[bytes], letters: np.ndarray, pairs: Pairs) -> list[np.ndarray]:
-    """The ids of each piece: in each, the leftmost pair of least rank is merged first.
+def merge_all(pieces: list[bytes], letters: np.ndarray, pairs: Pairs) -> list[bytes]:
+    """The packed ids of each piece: in each, the leftmost pair of least rank is merged first.
 
     A round merges one pair in every piece that has one, and drops the finished pieces.
     ``letters`` holds the id of each byte.
     """
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(pieces)
+    out = [b""] * len(pieces)
     which = np.array([i for i, x in enumerate(pieces) if x], np.int64)
     ids = letters[np.frombuffer(b"".join(pieces), np.uint8)]
     starts = np.cumsum([0, *(len(pieces[i]) for i in which.tolist())])[:-1]
@@ -160,8 +160,9 @@ def merge_all(pieces: list[bytes], letters: np.ndarray, pairs: Pairs) -> list[np
         ends = np.append(starts[1:], len(ids))
         least = np.minimum.reduceat(rank << 32 | np.arange(len(ids)), starts)
         going = least >> 32 < NO_PAIR
-        for i, a, b in zip(which[~going].tolist(), starts[~going].tolist(), ends[~going].tolist()):
-            out[i] = ids[a:b]
+        packed = ids.astype("<u4").tobytes()
+        for i, a, b in zip(which[~going].tolist(), (4 * starts[~going]).tolist(), (4 * ends[~going]).tolist()):
+            out[i] = packed[a:b]
         at = least[going] & (1 << 32) - 1
         ids[at] = least[going] >> 32
         keep = np.repeat(going, ends - starts)
@@ -221,12 +222,13 @@ class Encoder:
 
     def ids(self, pieces: list[bytes]) -> list[bytes]:
         """The packed ids of each piece."""
-        young, old = self.young, self.old
-        found = [young.get(x) or old.get(x) for x in pieces]
-        new = [i for i, x in enumerate(found) if x is None]
+        found = list(map(self.young.get, pieces))
+        missed = [i for i, x in enumerate(found) if x is None]
         short = []
-        for i in new:
-            if (whole := self.ranks.get(pieces[i])) is not None:
+        for i in missed:
+            if (again := self.old.get(pieces[i])) is not None:
+                found[i] = again
+            elif (whole := self.ranks.get(pieces[i])) is not None:
                 found[i] = whole.to_bytes(4, "little")
             elif len(pieces[i]) >= LONG_PIECE:
                 found[i] = np.array(merge_long(pieces[i], self.ranks), "<u4").tobytes()
@@ -234,10 +236,12 @@ class Encoder:
                 short.append(i)
         merged = merge_all([pieces[i] for i in short], self.letters, self.pairs)
         for i, ids in zip(short, merged):
-            found[i] = ids.astype("<u4").tobytes()
-        if len(young) + len(pieces) > CACHE_PIECES:
-            self.young, self.old = {}, young
-        self.young.update((x, y) for x, y in zip(pieces, found) if len(x) < LONG_PIECE)
+            found[i] = ids
+        if len(self.young) + len(missed) > CACHE_PIECES:
+            self.young, self.old = {}, self.young
+        for i in missed:
+            if len(pieces[i]) < LONG_PIECE:
+                self.young[pieces[i]] = found[i]
         return found
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
