@@ -7,8 +7,8 @@ Runs are levelled: whenever ``FAN_OUT`` runs of a level have come together they
 merged into one run of the next level, which reads every hash a logarithmic number of
 times. A key that has reached the threshold in a merge moves to the settled runs; each
 new batch is merge-anti-joined with those, so that a very common line is written once and
-never again. All runs have the same buckets, so neither merges nor anti-joins shuffle
-a run. After the last batch the levels are merged once more, and the lines of settled keys
+never again. All runs have the same buckets, so that neither an anti-join nor a merge of two
+shuffles a run. After the last batch the levels are merged once more, and the lines of settled keys
 are taken out of every document by their positions.
 
 A key held by any number of documents is one row a task after partial aggregation. A
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from seqprep.llm.shared import materialise, new_folder, quoted, table
 
 #: Runs of a level that are merged into one of the next.
-FAN_OUT = 3
+FAN_OUT = 2
 #: Batches that the query makes of its table's files.
 BATCHES = 4
 #: Documents from which on a line goes.
@@ -87,17 +87,27 @@ class LineRuns:
         self.spark.sql(f"DROP TABLE {name}")
         return run
 
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        """The counts of all runs together; runs of the same buckets meet without a shuffle."""
-        return reduce(DataFrame.union, runs).groupBy("h").agg(F.sum("docs").alias("docs"))
+    def _merged(self, runs: list[DataFrame]) -> DataFrame:
+        """The counts of all runs together, without settled hashes.
 
-    def add(self, docs: DataFrame, text: str = "text") -> None:
-        """Count a batch's keys, without those that are settled, as a run of the first level."""
-        rows = key_counts(docs, text)
+        Two runs of the same buckets meet in a sort-merge join without a shuffle. (A union under
+        an aggregate is no way: on bucketed scans it gave a hash several rows, measured.)
+        """
+        rows = self._unsettled(runs[0])
+        for run in runs[1:]:
+            more = self._unsettled(run).withColumnRenamed("docs", "more")
+            both = F.coalesce("docs", F.lit(0)) + F.coalesce("more", F.lit(0))
+            rows = rows.join(more, "h", "full").select("h", both.alias("docs"))
+        return rows
+
+    def _unsettled(self, rows: DataFrame) -> DataFrame:
         for run in self.settled:
             rows = rows.join(run.select("h"), "h", "left_anti")
-        self._push(0, self._run(rows))
+        return rows
+
+    def add(self, docs: DataFrame, text: str = "text") -> None:
+        """Count a batch's keys, without those that are settled, as a run of the first level."""
+        self._push(0, self._run(self._unsettled(key_counts(docs, text))))
 
     def _push(self, level: int, run: DataFrame) -> None:
         if level == len(self.levels):
@@ -108,22 +118,18 @@ class LineRuns:
             self.levels[level] = []
 
     def _compacted(self, runs: list[DataFrame]) -> DataFrame:
-        rows = self._merged(runs)
         # a hash that got settled after a run was written may still be in that run
-        for run in self.settled:
-            rows = rows.join(run.select("h"), "h", "left_anti")
-        merged = self._run(rows)
+        merged = self._run(self._merged(runs))
         self.settled.append(self._run(merged.where(F.col("docs") >= self.min_docs)))
         return self._run(merged.where(F.col("docs") < self.min_docs))
 
     def common(self) -> DataFrame:
         """(h): the hashes of all keys that at least ``min_docs`` documents hold."""
         runs = [run for level in self.levels for run in level]
-        found = [run.select("h") for run in self.settled]
+        found = [run.select("h") for run in self.settled]  # no two of them hold the same hash
         if runs:
             found.append(self._merged(runs).where(F.col("docs") >= self.min_docs).select("h"))
-        none = self.spark.range(0).select(F.lit(b"").alias("h"))
-        return reduce(DataFrame.union, found).distinct() if found else none
+        return reduce(DataFrame.union, found) if found else self.spark.range(0).select(F.lit(b"").alias("h"))
 
 
 def without_lines(docs: DataFrame, common: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
