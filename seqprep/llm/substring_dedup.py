@@ -10,7 +10,11 @@ overlapping windows of two functions meets, and more. One repeated word for word
 same signatures wherever it occurs; of passages of ``least`` words at a similarity of
 0.8, one function misses a fifth, and all four 0.2 per cent.
 
-Texts are grouped by signature. In each round, some open windows of a group are its
+Texts are grouped by signature. Of the shingles of a passage nearly all occur in a second
+text, inside windows that share a signature: 41 of 46 at the least. So the shingles of all grouped
+windows are counted, and a window stays open only if its minimum lies in 46 shingles of
+which 41 occur in several texts. That loses no pair, and texts that share a phrase and
+nothing around it are not compared at all. In each round, some open windows of a group are its
 heads: all others are compared with them. A window is closed once it was a head, or once
 a verified passage of its text covers the minimum that put it into the group. Rounds go
 on, with more heads each time, until no window is open: so a group whose texts repeat a
@@ -21,7 +25,8 @@ of 0.8, on both sides.
 
 Texts with equal word sequences are one text from the start, and repeat as a whole.
 
-Cases: null, empty and short texts have no passages. Repeated rows are copies of each
+Cases: null, empty and short texts have no passages. An empty table has none. A very long text
+is read whole; only the stretches to be compared, and half as much around them, leave it. Repeated rows are copies of each
 other. Rows with a null id are grouped like others; their id is null in the result.
 Extra columns are ignored.
 """
@@ -47,6 +52,8 @@ HASHES = 4
 #: Heads of a group in the first round, and how many times more there are in each next one.
 HEADS, GROWTH = 2, 4
 FILTER_BITS = 1 << 23
+#: Most bits of the filter of shingles that several texts have: 32 MB, whatever the input.
+MOST_BITS = 1 << 28
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -178,37 +185,141 @@ def passages(own: np.ndarray, other: np.ndarray, width: int, needed: int) -> lis
 def _verifying(least: int, similarity: float) -> Callable[[Batches], Batches]:
     """(node, other, lo, hi) in words, for both texts of each pair."""
     width = least - SHINGLE + 1
-    needed = int(np.ceil(2 * similarity * width / (1 + similarity) - 1e-9))
+    needed = needed_of(width, similarity)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             out = []
-            for one in batch.to_pylist():
-                x, y = (np.frombuffer(one[c], np.uint32) for c in ("own", "theirs"))
-                mine, others = passages(x, y, width, needed), passages(y, x, width, needed)
-                if mine and others:
-                    out += [(one["x"], one["y"], a + one["lo"], b + one["lo"] + SHINGLE - 1) for a, b in mine]
-                    out += [(one["y"], one["x"], a + one["ylo"], b + one["ylo"] + SHINGLE - 1) for a, b in others]
+            own, theirs = batch.column("own"), batch.column("theirs")
+            ids = zip(*(batch.column(c).to_pylist() for c in ("x", "y", "lo", "ylo")))
+            for i, (node, other, lo, ylo) in enumerate(ids):
+                # the sequences are read where they lie, one pair at a time
+                x, y = (np.frombuffer(c[i].as_buffer(), np.uint32) for c in (own, theirs))
+                mine = passages(x, y, width, needed)
+                others = passages(y, x, width, needed) if mine else []
+                if others:
+                    out += [(node, other, a + lo, b + lo + SHINGLE - 1) for a, b in mine]
+                    out += [(other, node, a + ylo, b + ylo + SHINGLE - 1) for a, b in others]
             columns = zip(*out) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "other", "lo", "hi"])
 
     return run
 
 
+def needed_of(width: int, similarity: float) -> int:
+    """How many of ``width`` shingles two passages of that similarity have in common."""
+    return int(np.ceil(2 * similarity * width / (1 + similarity) - 1e-9))
+
+
+def _spans(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
+    """The union of some stretches."""
+    order = np.argsort(lo, kind="stable")
+    lo, reach = lo[order], np.maximum.accumulate(hi[order])
+    first = np.flatnonzero(np.append(True, lo[1:] > reach[:-1]))
+    return list(zip(lo[first].tolist(), reach[np.append(first[1:], len(lo)) - 1].tolist()))
+
+
+def _held(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
+    """(node, shingles, windows) of each row: a text with its open windows."""
+    seq, windows = batch.column("seq"), batch.column("windows")
+    ends = windows.offsets.to_numpy()
+    fields_of = {c: windows.values.field(c).to_numpy() for c in ("sig", "lo", "hi", "at")}
+    for i, node in enumerate(batch.column("node").to_pylist()):
+        yield node, np.frombuffer(seq[i].as_buffer(), np.uint32), {c: v[ends[i] : ends[i + 1]] for c, v in fields_of.items()}
+
+
+def _shingles() -> Callable[[Batches], Batches]:
+    """(shingle, node): the shingles of all windows of a text, once each."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for node, seq, at in _held(batch):
+                for a in range(0, len(seq), 1 << 18):  # a very long text goes in parts
+                    parts = [seq[max(x, a) : min(y, a + (1 << 18))] for x, y in _spans(at["lo"], at["hi"])]
+                    found = np.unique(np.concatenate(parts))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.astype(np.int64)), pa.array(np.full(len(found), node))], ["shingle", "node"]
+                    )
+
+    return run
+
+
+def _answered(bits, n_bits: int, width: int, needed: int) -> Callable[[Batches], Batches]:
+    """The windows whose minimum lies in ``width`` shingles of which ``needed`` occur in several texts."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            out = []
+            for node, seq, at in _held(batch):
+                again = passes(bits.value, seq.astype(np.int64), n_bits)
+                sums = np.append(0, np.cumsum(again))
+                dense = np.flatnonzero(sums[width:] - sums[:-width] >= needed)
+                cover = np.zeros(len(seq) + 1, np.int64)
+                np.add.at(cover, dense, 1)
+                np.add.at(cover, dense + width, -1)
+                stays = np.flatnonzero(np.cumsum(cover)[at["at"]] > 0)
+                if len(stays):
+                    out.append([at["sig"][stays], np.full(len(stays), node), *(at[c][stays] for c in ("lo", "hi", "at"))])
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c)) for c in zip(*out)], ["sig", "node", "lo", "hi", "at"]
+                )
+
+    return run
+
+
 def _sequences_of(texts: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """(node, seq) of the given nodes' texts and, by chance, of some more."""
     bits = texts.sparkSession.sparkContext.broadcast(bit_filter(nodes, "node", FILTER_BITS))
     return texts.mapInArrow(_sequences(least, bits), "node long, seq binary").dropDuplicates(["node"])
 
 
+def _in_groups(rows: DataFrame) -> DataFrame:
+    """The windows whose signature another text has as well."""
+    group = Window.partitionBy("sig")
+    return (
+        rows.withColumn("least", F.min("node").over(group))
+        .withColumn("most", F.max("node").over(group))
+        .where("least <> most")
+        .drop("least", "most")
+    )
+
+
+def _pruned(active: DataFrame, seqs: DataFrame, least: int, similarity: float) -> DataFrame:
+    """``active`` without windows that cannot be part of any repeated passage.
+
+    Of the shingles of a repeated passage nearly all occur in a second text, inside a window
+    that shares a signature with it. So texts that share a common phrase, and nothing else
+    around it, are never compared, however many they are.
+    """
+    width = least - SHINGLE + 1
+    windows = F.collect_list(F.struct("sig", "lo", "hi", "at")).alias("windows")
+    held = seqs.join(active.groupBy("node").agg(windows), "node").select("node", "seq", "windows")
+    repeated = (
+        held.mapInArrow(_shingles(), "shingle long, node long")
+        .groupBy("shingle")
+        .agg(F.min("node").alias("least"), F.max("node").alias("most"))
+        .where("least <> most")
+        .select("shingle")
+    )
+    repeated = materialise(repeated)
+    n_bits = min(max(1 << 20, 1 << (8 * repeated.count()).bit_length()), MOST_BITS)
+    bits = active.sparkSession.sparkContext.broadcast(bit_filter(repeated, "shingle", n_bits))
+    answered = _answered(bits, n_bits, width, needed_of(width, similarity))
+    return _in_groups(held.mapInArrow(answered, "sig long, node long, lo int, hi int, at int"))
+
+
 def _with_heads(active: DataFrame, round_no: int) -> DataFrame:
     """``active`` with a mark on the heads of each group, which are open windows."""
     order = Window.partitionBy("sig").orderBy(F.col("open").desc(), F.xxhash64("node", F.lit(round_no)), "node", "lo", "hi")
     return active.withColumn("head", F.col("open") & (F.row_number().over(order) <= HEADS * GROWTH**round_no))
 
 
-def _pairs(placed: DataFrame) -> DataFrame:
-    """(x, y, lo, hi, ylo, yhi): the groups' texts with the groups' heads, once each."""
+def _pairs(placed: DataFrame, around: int) -> DataFrame:
+    """(x, y, lo, hi, ylo, yhi): the groups' texts with the groups' heads, once each.
+
+    ``around`` shingles on both sides come along, so that a passage is seen to its ends.
+    """
     group = Window.partitionBy("sig")
     heads = F.collect_list(F.when(F.col("head"), F.struct("node", "lo", "hi"))).over(group)
     return (
@@ -217,6 +328,12 @@ def _pairs(placed: DataFrame) -> DataFrame:
         .where("y.node <> node AND NOT (head AND node < y.node)")
         .groupBy(F.col("node").alias("x"), F.col("y.node").alias("y"))
         .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("y.lo").alias("ylo"), F.max("y.hi").alias("yhi"))
+        .select(
+            "x",
+            "y",
+            *[F.greatest(F.col(c) - around, F.lit(0)).alias(c) for c in ("lo", "ylo")],
+            *[(F.col(c) + around).alias(c) for c in ("hi", "yhi")],
+        )
     )
 
 
@@ -277,31 +394,22 @@ def repeated_passages(
     described = materialise(rows.mapInArrow(_describing(least), f"key {kind}, node long, n_words long"))
     docs = described.where("node IS NOT NULL")
     classes = docs.groupBy("node").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"))
-    group = Window.partitionBy("sig")
     active = materialise(
-        texts.mapInArrow(_windowing(least), "sig long, node long, lo int, hi int, at int")
-        .repartition("sig")
-        .dropDuplicates(["sig", "node", "lo", "hi"])
-        .withColumn("least", F.min("node").over(group))
-        .withColumn("most", F.max("node").over(group))
-        .where("least <> most")
-        .select("sig", "node", "lo", "hi", "at", F.lit(True).alias("open"))
+        _in_groups(
+            texts.mapInArrow(_windowing(least), "sig long, node long, lo int, hi int, at int")
+            .repartition("sig")
+            .dropDuplicates(["sig", "node", "lo", "hi"])
+        )
     )
-    found = seqs = None
+    seqs = materialise(_sequences_of(texts, active.select("node").distinct(), least))
+    active = materialise(_pruned(active, seqs, least, similarity).withColumn("open", F.lit(True)))
+    found = None
     round_no = 0
     while round_no == 0 or not active.isEmpty():
         placed = _with_heads(active, round_no)
-        pairs = materialise(_pairs(placed))
-        if seqs is None:
-            nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y"))
-            more = materialise(_compare(_sequences_of(texts, nodes, least), pairs, least, similarity))
-        else:
-            more = materialise(_compare(seqs, pairs, least, similarity))
+        more = materialise(_compare(seqs, materialise(_pairs(placed, least - SHINGLE + 1)), least, similarity))
         found = more if found is None else found.union(more)
         active = materialise(_left_open(placed, found))
-        if seqs is None:
-            # later rounds need few texts: these are read once
-            seqs = materialise(_sequences_of(texts, active.select("node"), least))
         round_no += 1
     copies = classes.where("copies > 1").select(
         "node", F.col("node").alias("other"), F.lit(0).cast("long").alias("lo"), F.col("n_words").alias("hi")

@@ -51,6 +51,42 @@ def test_repeats_in_a_large_group_of_unlike_texts(spark):
     assert got == {(i, 60, 111, i ^ 1) for i in range(80)}
 
 
+def test_texts_that_share_a_phrase_only_are_never_compared(spark, monkeypatch):
+    rng = random.Random(23)
+    phrase = prose(rng, 30, 10**6)
+    compared = []
+    pairs_of = sd._pairs
+    monkeypatch.setattr(sd, "_pairs", lambda *a: compared.append(pairs_of(*a).count()) or pairs_of(*a))
+    rows = [(i, f"{prose(rng, 60, 10**6)} {phrase} {prose(rng, 60, 10**6)}") for i in range(500)]
+    rows += [(i, prose(rng, 40, 10**6) + " " + prose(random.Random(24), 50, 10**6)) for i in (1000, 1001)]
+    got = {r.doc_id for r in sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {1000, 1001} and sum(compared) < 10
+
+
+def test_near_passages_against_brute_force(spark):
+    rng = random.Random(25)
+    rows, want = [], set()
+    for i in range(150):
+        own = prose(rng, rng.randint(50, 60), 10**6)
+        words = own.split()
+        words[rng.randrange(20, 30)] = "changed"  # five shingles of 46 to 56: 0.8 and more
+        rows += [(2 * i, f"{prose(rng, 30, 10**6)} {own} {prose(rng, 30, 10**6)}")]
+        rows += [(2 * i + 1, f"{prose(rng, 20, 10**6)} {' '.join(words)} {prose(rng, 20, 10**6)}")]
+        want |= {2 * i, 2 * i + 1}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.other) for r in sd.repeated_passages(df).collect()}
+    assert all(a ^ b == 1 for a, b in got)
+    assert len({a for a, _ in got}) >= 0.98 * len(want)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(26)
+    shared = prose(rng, 60, 10**6)
+    rows = [(1, f"{prose(rng, 300_000, 10**6)} {shared} {prose(rng, 1000, 10**6)}"), (2, f"{prose(rng, 500, 10**6)} {shared}")]
+    got = {(r.doc_id, r.start_word, r.end_word, r.other) for r in sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 300_000, 300_060, 2), (2, 500, 560, 1)}
+
+
 def test_signatures_meet_near_copies_of_fifty_words():
     rng = random.Random(22)
     met, n = 0, 500
