@@ -29,7 +29,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqprep.llm.arrays import U64, chunks, flat, gather, mix, slice_classes, word_spans
@@ -210,26 +210,25 @@ def periodic_runs(df: DataFrame, keep: list[str], text: str = "text") -> DataFra
 # --- query ---------------------------------------------------------------------------
 
 
-def damaged(doc_id: Column, text: Column) -> Column:
-    """``text``, or for a tenth of the ids its words with a repeated stretch from some word on."""
-    crc = F.crc32(doc_id.cast("string"))
-    g = F.floor(crc / 10)
-    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"))
-    n = F.size(words)
+def damaged(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the ids get their words with a repeated stretch from some word on.
 
-    def repeated(parts: Column) -> Column:
-        a = F.pmod(g, F.size(parts)).cast("int")
-        p = (F.lit(1) + F.floor((F.size(parts) - a) / (3 + g % 8))).cast("int")
-        return F.array_join(F.transform(parts, lambda x, i: F.when(i < a, x).otherwise(F.get(parts, a + F.pmod(i - a, p)))), " ")
-
-    return F.when((crc % 10 == 0) & (n > 0), repeated(words)).otherwise(text)
+    What each word's place is looked up in stands in columns, computed once a row.
+    """
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    chosen = F.when(crc % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")))
+    rows = docs.select("doc_id", "text", F.floor(crc / 10).alias("g"), chosen.alias("words"))
+    rows = rows.withColumn("a", F.when(F.size("words") > 0, F.pmod("g", F.size("words")).cast("int")))
+    rows = rows.withColumn("p", (F.lit(1) + F.floor((F.size("words") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    place = lambda i: F.col("a") + F.pmod(i - F.col("a"), F.col("p"))
+    repeated = F.transform("words", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("words", place(i))))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The periodic runs of every whole text of ``documents``, after the query's repeats."""
     docs = table(spark, sf_dir, "documents")
-    rows = docs.select("doc_id", damaged(F.col("doc_id"), F.col("text")).alias("text"))
-    found = periodic_runs(rows, ["doc_id"])
+    found = periodic_runs(damaged(docs), ["doc_id"])
     line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
     # greatest length first, then least start, then least period
     best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
