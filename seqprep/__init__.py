@@ -5,7 +5,7 @@ from seqprep.functions.sql import register_lookup, register_lookup_lineage, regi
 from seqprep.operators.clean import RESULT_TYPE, clean_columns, clean_sequences
 from seqprep.operators.limits import LookupLimits
 from seqprep.operators.lookup import LINEAGE_TYPE, lookup
-from seqprep.operators.vocabulary import ambiguous_keys, concept_lineage, vocabulary_keys
+from seqprep.operators.vocabulary import ambiguous_keys, ambiguous_labels, concept_lineage, vocabulary_keys
 from seqprep.plans.process_sequences import process_sequences, process_sequences_job
 from seqprep.plans.vocabulary_lookup import lookup_job, lookup_terms
 from seqprep.sources.vocabulary import Vocabulary, read_vocabulary
@@ -17,6 +17,7 @@ __all__ = [
     "LookupLimits",
     "Vocabulary",
     "ambiguous_keys",
+    "ambiguous_labels",
     "clean_columns",
     "clean_sequences",
     "concept_lineage",

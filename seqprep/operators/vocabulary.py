@@ -6,11 +6,16 @@ Matching rules, which are this package's own choice:
 2. The keys of a concept are its name and all its labels.
 3. A name beats a label. A key that still points at several concepts matches
    none; ``ambiguous_keys`` lists those.
-4. Lineage runs from the root down and leaves out the concept itself.
+4. With ``languages``, labels of these languages count, and a key belongs to the first
+   of them in which any concept has it; names come before all. A key that several
+   concepts have in that language matches none.
+5. Lineage runs from the root down and leaves out the concept itself.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,13 +103,17 @@ def _climb(walk: DataFrame, small: bool) -> DataFrame:
 
 
 def vocabulary_keys(
-    vocabulary: Vocabulary, exact: bool = False, limits: LookupLimits = LookupLimits()
+    vocabulary: Vocabulary,
+    exact: bool = False,
+    limits: LookupLimits = LookupLimits(),
+    languages: Sequence[str] | None = None,
 ) -> DataFrame:
     """``(key, concept, lineage)``, unique by key, computed once.
 
-    The table to look terms up in. Save it to share it between jobs.
+    The table to look terms up in. Save it to share it between jobs. ``languages``:
+    those of the labels that count, best first (the label table's ``language``).
     """
-    owner = _key_owners(vocabulary, exact).where(F.col("concept_id").isNotNull())
+    owner = _key_owners(vocabulary, exact, languages).where(F.col("concept_id").isNotNull())
     tree, rows, size = _lineage(vocabulary.concepts, limits)
     known = F.broadcast(tree) if limits.allow(rows, size) else tree
     return materialise(
@@ -125,6 +134,13 @@ def ambiguous_keys(vocabulary: Vocabulary, exact: bool = False) -> DataFrame:
     return counted.select("key", rivals.alias("concepts")).where("concepts > 1")
 
 
+def ambiguous_labels(vocabulary: Vocabulary, exact: bool = False) -> DataFrame:
+    """``(key, language, concepts)``: keys that several concepts have as labels of one language."""
+    labels = vocabulary.labels.select(match_key(F.col("label"), exact).alias("key"), "language", "concept_id")
+    counted = labels.where("key IS NOT NULL").distinct().groupBy("key", "language").agg(F.count("concept_id").alias("concepts"))
+    return counted.where("concepts > 1")
+
+
 def _claims(vocabulary: Vocabulary, exact: bool) -> DataFrame:
     """``(key, concept_id, by_name)``: every spelling of every concept."""
     claims = vocabulary.concepts.select(
@@ -143,12 +159,36 @@ def _claims(vocabulary: Vocabulary, exact: bool) -> DataFrame:
     return claims.where(F.col("key").isNotNull())
 
 
-def _key_owners(vocabulary: Vocabulary, exact: bool) -> DataFrame:
+def _ranked_owners(vocabulary: Vocabulary, exact: bool, languages: Sequence[str]) -> DataFrame:
+    """``(key, concept_id)``: the owner of each key in its best language, null where ambiguous.
+
+    The least of (rank, concept) and the least of rank with the greatest concept are two
+    buffers per key, combined before the shuffle.
+    """
+    if vocabulary.labels is None or "language" not in vocabulary.labels.columns:
+        raise ValueError("the label table has no column language")
+    names = vocabulary.concepts.select(
+        match_key(F.col("name"), exact).alias("key"), F.lit(0).alias("rank"), F.col("id").alias("concept_id")
+    )
+    order = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("language")).cast("int")
+    labels = vocabulary.labels.select(match_key(F.col("label"), exact).alias("key"), order.alias("rank"), "concept_id")
+    claims = names.unionByName(labels.where("rank > 0")).where("key IS NOT NULL")
+    best = claims.groupBy("key").agg(
+        F.min(F.struct("rank", "concept_id")).alias("first"),
+        F.max(F.struct((-F.col("rank")).alias("rank"), "concept_id")).alias("last"),
+    )
+    owner = F.when(F.col("first.concept_id") == F.col("last.concept_id"), F.col("first.concept_id"))
+    return best.select("key", owner.alias("concept_id"))
+
+
+def _key_owners(vocabulary: Vocabulary, exact: bool, languages: Sequence[str] | None = None) -> DataFrame:
     """``(key, concept_id)``: the owner of each key, null where ambiguous.
 
     Smallest and largest claimant agree only if there is one. Four fixed-size
     buffers per key, so a key with many claimants combines before the shuffle.
     """
+    if languages is not None:
+        return _ranked_owners(vocabulary, exact, languages)
     named, labelled = F.col("by_name"), ~F.col("by_name")
     claimant = F.col("concept_id")
     bounds = (

@@ -1,7 +1,8 @@
 """Vocabulary source: a concept table and a label table.
 
 ``concept(id, name, parent_id)``: one row per concept, ``parent_id`` null at a
-root. ``label(concept_id, label)``: further spellings of a concept.
+root. ``label(concept_id, label)``: further spellings of a concept, and with a column
+``language`` in which language.
 """
 
 from __future__ import annotations

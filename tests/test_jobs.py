@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from cases import DEFAULT_CASES
 from seqprep import (
@@ -216,3 +217,72 @@ def test_command_line(spark, source, vocabulary, capsys):
     run_job.main(["process-sequences", "-s", source, "-t", "cli_options", "-o", "anchorMinrun=2"])
     assert spark.table("cli_options").count() == len(DEFAULT_CASES)
     assert f"{len(DEFAULT_CASES)} rows" in capsys.readouterr().out
+
+
+def failing(spark):
+    """Rows of which one cannot be computed."""
+    return spark.range(1000).repartition(4).select(
+        F.when(F.col("id") == 777, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("id")
+    )
+
+
+def tables(spark):
+    return {t.name for t in spark.catalog.listTables()}
+
+
+def test_failed_replace_leaves_the_old_table(spark):
+    write_table(spark.range(5), "kept")
+    before = tables(spark)
+    with pytest.raises(Exception, match="lost"):
+        write_table(failing(spark), "kept")
+    assert sorted(r.id for r in spark.table("kept").collect()) == [0, 1, 2, 3, 4]
+    assert tables(spark) == before
+    with pytest.raises(Exception, match="lost"):
+        write_table(failing(spark), "never_made")
+    assert tables(spark) == before
+
+
+def test_replace_with_another_schema_and_from_itself(spark):
+    write_table(spark.range(5), "changed_table")
+    assert write_table(spark.table("changed_table").select((F.col("id") * 2).alias("twice")), "changed_table") == 5
+    spark.catalog.refreshTable("changed_table")
+    assert sorted(r.twice for r in spark.table("changed_table").collect()) == [0, 2, 4, 6, 8]
+    assert write_table(spark.range(3).withColumn("part", F.col("id") % 2), "changed_table", partition_by=["part"]) == 3
+    assert spark.table("changed_table").where("part = 1").count() == 1
+    # one partitioned table after another: the old partitions go, the new ones stay
+    assert write_table(spark.range(9).withColumn("part", F.col("id") % 2), "changed_table", partition_by=["part"]) == 9
+    assert spark.table("changed_table").where("part = 1").count() == 4 and spark.table("changed_table").count() == 9
+    with pytest.raises(Exception, match="lost"):
+        write_table(failing(spark), "changed_table")
+    assert spark.table("changed_table").count() == 9
+
+
+def test_replaced_folder(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    assert write_table(spark.range(4).withColumn("part", F.col("id") % 2), "in_folder", partition_by=["part"], path=path) == 4
+    with pytest.raises(Exception, match="lost"):
+        write_table(failing(spark), "in_folder", path=path)
+    assert spark.table("in_folder").where("part = 0").count() == 2
+    assert write_table(spark.range(7), "in_folder", path=path) == 7
+    assert spark.table("in_folder").count() == 7 == spark.read.parquet(path).count()
+    assert [p.name for p in tmp_path.iterdir()] == ["rows"]
+
+
+def test_own_catalog_replaces_in_one_commit(spark, monkeypatch):
+    from unittest import mock
+
+    from seqprep.sources import tables as module
+
+    calls = mock.MagicMock()
+    frame = spark.range(2)
+    monkeypatch.setattr(type(frame), "writeTo", lambda self, name: calls(name))
+    monkeypatch.setattr(module, "Observation", mock.MagicMock())
+    monkeypatch.setattr(type(frame), "observe", lambda self, *a: self)
+    spark.conf.set("spark.sql.catalog.lake", "none.such.Catalog")
+    try:
+        write_table(frame, "lake.db.rows", "iceberg")
+    finally:
+        spark.conf.unset("spark.sql.catalog.lake")
+    calls.assert_called_once_with("lake.db.rows")
+    calls.return_value.using.assert_called_once_with("iceberg")
+    calls.return_value.using.return_value.createOrReplace.assert_called_once_with()

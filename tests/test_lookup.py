@@ -10,6 +10,7 @@ from seqprep import (
     LookupLimits,
     Vocabulary,
     ambiguous_keys,
+    ambiguous_labels,
     concept_lineage,
     lookup,
     lookup_terms,
@@ -351,3 +352,25 @@ def test_hot_terms_are_spread(spark, keys):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_languages_rank_labels(spark):
+    concepts = spark.createDataFrame([("1", "Gene", None), ("2", "Marker", "1"), ("3", "Locus", "1")], "id STRING, name STRING, parent_id STRING")
+    labels = spark.createDataFrame(
+        [
+            ("2", "Ort", "de"), ("3", "ort", "en"),  # the better language decides
+            ("2", "Platz", "de"), ("3", "Platz", "de"), ("2", "platz", "en"),  # several in the better language: none
+            ("2", "place", "fr"), ("3", "spot", None),  # languages not asked for
+            ("2", "Locus", "de"),  # a name beats labels
+            ("2", "site", "en"), ("2", "Site", "en"),  # one concept twice is no rival
+        ],
+        "concept_id STRING, label STRING, language STRING",
+    )
+    vocabulary = Vocabulary(concepts, labels)
+    keys = {r.key: r.concept for r in vocabulary_keys(vocabulary, languages=["de", "en"]).collect()}
+    assert keys == {"gene": "Gene", "marker": "Marker", "locus": "Locus", "ort": "Marker", "site": "Marker"}
+    keys = {r.key: r.concept for r in vocabulary_keys(vocabulary, languages=["en", "de"]).collect()}
+    assert keys["ort"] == "Locus" and keys["platz"] == "Marker"
+    assert [tuple(r) for r in ambiguous_labels(vocabulary).collect()] == [("platz", "de", 2)]
+    with pytest.raises(ValueError, match="language"):
+        vocabulary_keys(Vocabulary(concepts, labels.drop("language")), languages=["de"])

@@ -41,10 +41,11 @@ def test_contract_has_every_query():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    # a quantile sketch is within an error of the exact ranks: test_reports.py measures it
+    assert set(QUERIES) - {"length_quantiles"} == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
     relation = duck.sql(ORACLES[name])

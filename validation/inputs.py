@@ -50,6 +50,21 @@ UNION ALL
 SELECT concat('r', CAST(n_regionkey AS VARCHAR(20))), n_name FROM {nation}
 """
 
+# Labels in three languages: one of a single concept in each, one that regions share in one
+# language only, and nation names that a region has as a label.
+LANGUAGE_LABELS = """
+SELECT concat('n', CAST(n_nationkey AS VARCHAR(20))) AS concept_id,
+  concat(CASE n_nationkey % 3 WHEN 0 THEN 'Land ' WHEN 1 THEN 'Country ' ELSE 'Pays ' END, CAST(n_nationkey % 4 AS VARCHAR(20))) AS label,
+  CASE n_nationkey % 3 WHEN 0 THEN 'de' WHEN 1 THEN 'en' ELSE 'fr' END AS language FROM {nation}
+UNION ALL
+SELECT concat('r', CAST(r_regionkey AS VARCHAR(20))), 'Zone', CASE WHEN r_regionkey = 0 THEN 'de' ELSE 'en' END FROM {region}
+UNION ALL
+SELECT concat('r', CAST(n_regionkey AS VARCHAR(20))), n_name, 'de' FROM {nation}
+UNION ALL
+SELECT concat('s', CAST(s_suppkey AS VARCHAR(20))), concat('Firma ', CAST(s_suppkey % 5 AS VARCHAR(20))),
+  CASE WHEN s_suppkey <= 5 THEN 'en' WHEN s_suppkey % 2 = 0 THEN 'de' ELSE NULL END FROM {supplier}
+"""
+
 TERMS = """
 SELECT concat('ds-', CAST(c_nationkey AS VARCHAR(20))) AS datasetkey, c_custkey AS gbifid,
   CASE c_custkey % 8 WHEN 0 THEN NULL WHEN 1 THEN lower(n_name) WHEN 2 THEN concat('  ', n_name, ' ')

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from validation.inputs import CONCEPTS, LABELS, SEQUENCES, SKEWED_TERMS, TERMS, duckdb_text
+from validation.inputs import CONCEPTS, LABELS, LANGUAGE_LABELS, SEQUENCES, SKEWED_TERMS, TERMS, duckdb_text
 
 SEQS = f"seqs AS ({duckdb_text(SEQUENCES)})"
 
@@ -97,6 +97,15 @@ def with_vocabulary(select: str) -> str:
     return f"WITH RECURSIVE {vocabulary()} {select}"
 
 
+def with_languages(select: str) -> str:
+    """Labels of two languages, the first one's before the second one's."""
+    labels = duckdb_text(LANGUAGE_LABELS)
+    given = vocabulary().replace(
+        "concept_id, 1 FROM label", "concept_id, CASE language WHEN 'de' THEN 1 ELSE 2 END FROM label WHERE language IN ('de', 'en')"
+    )
+    return f"WITH RECURSIVE {given.replace(duckdb_text(LABELS), labels)} {select}"
+
+
 def over_terms(values: str, terms: str = TERMS, exact: bool = False) -> str:
     key = "v_targetgene" if exact else "lower(trim(v_targetgene))"
     return f"""WITH RECURSIVE {vocabulary(exact)}, terms AS ({duckdb_text(terms)})
@@ -133,6 +142,18 @@ ORACLE_SQL: dict[str, str] = {
         CAST(sum("sequenceLength") AS BIGINT) AS total_length, max("gcContent") AS max_gc_content""",
         "FROM clean GROUP BY datasetkey",
     ),
+    "dataset_averages": over_sequences(
+        """datasetkey, sum(len) / nullif(count(len), 0) AS mean_length,
+        sum(gc) / nullif(sum(len - n - odd), 0) AS gc_content, sum(n) / nullif(sum(len), 0) AS n_fraction,
+        sum(odd) / nullif(sum(len), 0) AS non_acgtn_fraction""",
+        """FROM (SELECT *, CAST(round("gcContent" * (len - n - odd)) AS BIGINT) AS gc FROM (
+          SELECT datasetkey, "gcContent", "sequenceLength" AS len, CAST(round("nFraction" * "sequenceLength") AS BIGINT) AS n,
+          CAST(round("nonACGTNFraction" * "sequenceLength") AS BIGINT) AS odd FROM clean)) GROUP BY datasetkey""",
+    ),
+    "vocab_language_keys": with_languages("SELECT key, concept, array_to_string(lineage, '|') AS lineage FROM keys"),
+    "vocab_ambiguous_labels": f"""WITH label AS ({duckdb_text(LANGUAGE_LABELS)})
+    SELECT lower(trim(label)) AS key, language, count(DISTINCT concept_id) AS concepts FROM label
+    GROUP BY 1, 2 HAVING count(DISTINCT concept_id) > 1""",
     "unmatched_terms": f"""WITH RECURSIVE {vocabulary()}, terms AS ({duckdb_text(SKEWED_TERMS)})
     SELECT lower(trim(v_targetgene)) AS term, count(*) AS rows FROM terms
     LEFT JOIN keys ON key = lower(trim(v_targetgene))
@@ -209,3 +230,5 @@ ORACLE_SQL: dict[str, str] = {
     "sql_lookup_concept": over_terms(CONCEPT),
     "sql_lookup_lineage": over_terms(LINEAGE),
 }
+
+ORACLE_SQL["catalogue_merged"] = ORACLE_SQL["distinct_sequences"]

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from seqprep import (
     CleanOptions,
     LookupLimits,
+    Vocabulary,
     ambiguous_keys,
+    ambiguous_labels,
     clean_columns,
     clean_sequences,
     concept_lineage,
@@ -25,10 +27,21 @@ from seqprep import (
 )
 from seqprep.functions import stages as S
 from seqprep.operators.clean import RESULT_TYPE
-from seqprep.plans.reports import dataset_quality, distinct_sequences, unmatched_terms
+from seqprep.plans.reports import (
+    catalogue,
+    catalogue_state,
+    dataset_averages,
+    dataset_quality,
+    distinct_sequences,
+    length_quantiles,
+    length_sketches,
+    merge_catalogues,
+    merge_sketches,
+    unmatched_terms,
+)
 from seqprep.sources.tables import materialise, read_table, shared_folder, write_table
 from seqprep.streaming.clean import process_new_sequences
-from validation.inputs import CONCEPTS, LABELS, SEQUENCES, SKEWED_TERMS, TERMS, derive, vocabulary
+from validation.inputs import CONCEPTS, LABELS, LANGUAGE_LABELS, SEQUENCES, SKEWED_TERMS, TERMS, derive, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -383,6 +396,41 @@ def dataset_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_quality(process_sequences(sequences(spark, sf_dir)))
 
 
+def dataset_averages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_averages(process_sequences(sequences(spark, sf_dir)))
+
+
+def batches_of(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The cleaned sequences as three batches, which together are all."""
+    cleaned = process_sequences(sequences(spark, sf_dir))
+    return [cleaned.where(F.pmod("gbifid", F.lit(3)) == b) for b in range(3)]
+
+
+def length_quantiles_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of each dataset's lengths, from the merged sketches of three batches."""
+    return length_quantiles(merge_sketches([length_sketches(b) for b in batches_of(spark, sf_dir)]))
+
+
+def catalogue_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue of distinct sequences from the merged states of three batches."""
+    return catalogue(merge_catalogues([catalogue_state(b) for b in batches_of(spark, sf_dir)]))
+
+
+def language_vocabulary(spark: SparkSession, sf_dir: str) -> Vocabulary:
+    return Vocabulary(derive(spark, sf_dir, CONCEPTS), derive(spark, sf_dir, LANGUAGE_LABELS))
+
+
+def vocab_language_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys by German labels, else by English ones."""
+    return vocabulary_keys(language_vocabulary(spark, sf_dir), languages=["de", "en"]).select(
+        "key", "concept", F.array_join("lineage", "|").alias("lineage")
+    )
+
+
+def vocab_ambiguous_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ambiguous_labels(language_vocabulary(spark, sf_dir))
+
+
 def unmatched_terms_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = vocabulary_keys(vocabulary(spark, sf_dir))
     return unmatched_terms(derive(spark, sf_dir, SKEWED_TERMS), "v_targetgene", keys)
@@ -404,6 +452,11 @@ def queries() -> dict[str, Query]:
     return {
         "distinct_sequences": distinct_sequences_query,
         "dataset_quality": dataset_quality_query,
+        "dataset_averages": dataset_averages_query,
+        "length_quantiles": length_quantiles_query,
+        "catalogue_merged": catalogue_merged,
+        "vocab_language_keys": vocab_language_keys,
+        "vocab_ambiguous_labels": vocab_ambiguous_labels,
         "unmatched_terms": unmatched_terms_query,
         "stream_documents": stream_documents,
         "scan_sequences": scan_sequences,
