@@ -52,6 +52,8 @@ HASHES = 4
 #: Heads of a group in the first round, and how many times more there are in each next one.
 HEADS, GROWTH = 2, 4
 FILTER_BITS = 1 << 23
+#: Longest run of subsequences in one window.
+LONGEST_RUN = 1 << 12
 #: Most bits of the filter of shingles that several texts have: 32 MB, whatever the input.
 MOST_BITS = 1 << 28
 
@@ -92,7 +94,8 @@ def signatures(shingles: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     for k in range(HASHES):
         values = mix(shingles, 101 + k)
         low = sliding_minima(values, width)
-        start = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        # a run is cut now and then, so that its length has few bits
+        start = np.flatnonzero(np.append(True, low[1:] != low[:-1]) | (np.arange(len(low)) % LONGEST_RUN == 0))
         inner = np.lib.stride_tricks.sliding_window_view(values, width)[start]
         at = start + np.argmax(inner == low[start, None], axis=1)
         out.append((mix(low[start], 200 + k), start, np.append(start[1:], len(low)) - 1 + width, at))
@@ -119,7 +122,10 @@ def _describing(least: int) -> Callable[[Batches], Batches]:
 
 
 def _windowing(least: int) -> Callable[[Batches], Batches]:
-    """(sig, node, lo, hi, at): the stretches of shingles and their minima, each text once a task."""
+    """(sig, node, place): the stretches of shingles and their minima, each text once a task.
+
+    ``place`` packs the first shingle, the length and the minimum's distance from the first.
+    """
     width = least - SHINGLE + 1
 
     def run(batches: Batches) -> Batches:
@@ -131,12 +137,11 @@ def _windowing(least: int) -> Callable[[Batches], Batches]:
                     continue
                 if len(seen) < 1 << 20:
                     seen.add(node)
-                sig, *at = signatures(sequence(words), width)
-                rows.append((sig.view(np.int64), np.full(len(sig), node), *(x.astype(np.int32) for x in at)))
+                sig, lo, hi, at = signatures(sequence(words), width)
+                place = lo | (hi - lo) << 32 | (at - lo) << 48
+                rows.append((sig.view(np.int64), np.full(len(sig), node), place))
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in zip(*rows)], ["sig", "node", "lo", "hi", "at"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], ["sig", "node", "place"])
 
     return run
 
@@ -167,7 +172,7 @@ def _sequences(least: int, bits) -> Callable[[Batches], Batches]:
 
 def passages(own: np.ndarray, other: np.ndarray, width: int, needed: int) -> list[tuple[int, int]]:
     """Where each ``width`` shingles of ``own`` have ``needed`` in common with ``other``."""
-    common = np.isin(own, other)
+    common = np.isin(own, other) & (own != 0)
     if len(own) < width:
         return []
     sums = np.append(0, np.cumsum(common))
@@ -219,39 +224,92 @@ def _spans(lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(lo[first].tolist(), reach[np.append(first[1:], len(lo)) - 1].tolist()))
 
 
-def _held(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, dict[str, np.ndarray]]]:
-    """(node, shingles, windows) of each row: a text with its open windows."""
-    seq, windows = batch.column("seq"), batch.column("windows")
-    ends = windows.offsets.to_numpy()
-    fields_of = {c: windows.values.field(c).to_numpy() for c in ("sig", "lo", "hi", "at")}
-    for i, node in enumerate(batch.column("node").to_pylist()):
-        yield node, np.frombuffer(seq[i].as_buffer(), np.uint32), {c: v[ends[i] : ends[i + 1]] for c, v in fields_of.items()}
+HELD = (
+    "node long, cut binary, starts array<int>, froms array<int>, windows array<struct<sig:bigint,lo:int,hi:int,at:int>>"
+)
 
 
-def _shingles() -> Callable[[Batches], Batches]:
-    """(shingle, node): the shingles of all windows of a text, once each."""
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of ``HELD``, the windows as arrays of sig, lo, hi and at."""
+
+    def lists(parts: list[np.ndarray], values: pa.Array) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in parts])).astype(np.int32)), values)
+
+    node, cut, starts, froms, sig, lo, hi, at = zip(*rows)
+    columns = [pa.array(np.concatenate(x)) for x in (sig, lo, hi, at)]
+    windows = pa.StructArray.from_arrays(columns, ["sig", "lo", "hi", "at"])
+    ends = np.append(0, np.cumsum([len(x) for x in cut])) * 4
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(node, pa.int64()),
+            binary(np.concatenate(cut).view(np.uint8), ends),
+            *(lists(x, pa.array(np.concatenate(x))) for x in (starts, froms)),
+            lists(sig, windows),
+        ],
+        ["node", "cut", "starts", "froms", "windows"],
+    )
+
+
+def _cutting(around: int) -> Callable[[Batches], Batches]:
+    """Rows of ``HELD``: of each text the stretches of its windows and ``around`` shingles beside them.
+
+    Zeros part the stretches; ``starts`` are their places in ``cut``, ``froms`` those in the text.
+    """
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for node, seq, at in _held(batch):
-                for a in range(0, len(seq), 1 << 18):  # a very long text goes in parts
-                    parts = [seq[max(x, a) : min(y, a + (1 << 18))] for x, y in _spans(at["lo"], at["hi"])]
-                    found = np.unique(np.concatenate(parts))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.astype(np.int64)), pa.array(np.full(len(found), node))], ["shingle", "node"]
-                    )
+            rows = []
+            seq, windows = batch.column("seq"), batch.column("windows")
+            ends = windows.offsets.to_numpy()
+            sigs, places = (windows.values.field(c).to_numpy() for c in ("sig", "place"))
+            for i, node in enumerate(batch.column("node").to_pylist()):
+                own = np.maximum(np.frombuffer(seq[i].as_buffer(), np.uint32), 1)  # zero is no shingle
+                sig, place = sigs[ends[i] : ends[i + 1]], places[ends[i] : ends[i + 1]]
+                lo = place & 0xFFFFFFFF
+                hi, at = lo + (place >> 32 & 0xFFFF), lo + (place >> 48)
+                spans = _spans(np.maximum(lo - around, 0), np.minimum(hi + around, len(own)))
+                froms = np.array([a for a, _ in spans])
+                sizes = np.array([b - a for a, b in spans])
+                starts = np.cumsum(sizes + around) - sizes - around
+                cut = np.zeros(int(starts[-1] + sizes[-1]), np.uint32)
+                for to, (a, b) in zip(starts.tolist(), spans):
+                    cut[to : to + b - a] = own[a:b]
+                shift = (starts - froms)[np.searchsorted(froms, lo, side="right") - 1]
+                rows.append(
+                    (node, cut, *((x).astype(np.int32) for x in (starts, froms)), sig, *((x + shift).astype(np.int32) for x in (lo, hi, at)))
+                )
+            if rows:
+                yield _packed(rows)
 
     return run
 
 
+def _held(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], dict[str, np.ndarray]]]:
+    """(node, shingles, starts and froms, windows) of rows of ``HELD``."""
+    cut, windows = batch.column("cut"), batch.column("windows")
+    ends = windows.offsets.to_numpy()
+    fields_of = {c: windows.values.field(c).to_numpy() for c in ("sig", "lo", "hi", "at")}
+    for i, node in enumerate(batch.column("node").to_pylist()):
+        places = [batch.column(c)[i].values.to_numpy() for c in ("starts", "froms")]
+        yield node, np.frombuffer(cut[i].as_buffer(), np.uint32), places, {c: v[ends[i] : ends[i + 1]] for c, v in fields_of.items()}
+
+
+def _shingles(batches: Batches) -> Batches:
+    """(shingle, node): the shingles of all windows of a text, once each."""
+    for batch in batches:
+        for node, seq, _, at in _held(batch):
+            found = np.unique(np.concatenate([seq[a:b] for a, b in _spans(at["lo"], at["hi"])]))
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(np.full(len(found), node))], ["shingle", "node"])
+
+
 def _answered(bits, n_bits: int, width: int, needed: int) -> Callable[[Batches], Batches]:
-    """The windows whose minimum lies in ``width`` shingles of which ``needed`` occur in several texts."""
+    """Rows of ``HELD`` with the windows whose minimum lies in ``width`` shingles of which ``needed`` occur in several texts."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             out = []
-            for node, seq, at in _held(batch):
-                again = passes(bits.value, seq.astype(np.int64), n_bits)
+            for node, seq, places, at in _held(batch):
+                again = passes(bits.value, seq.astype(np.int64), n_bits) & (seq != 0)
                 sums = np.append(0, np.cumsum(again))
                 dense = np.flatnonzero(sums[width:] - sums[:-width] >= needed)
                 cover = np.zeros(len(seq) + 1, np.int64)
@@ -259,11 +317,9 @@ def _answered(bits, n_bits: int, width: int, needed: int) -> Callable[[Batches],
                 np.add.at(cover, dense + width, -1)
                 stays = np.flatnonzero(np.cumsum(cover)[at["at"]] > 0)
                 if len(stays):
-                    out.append([at["sig"][stays], np.full(len(stays), node), *(at[c][stays] for c in ("lo", "hi", "at"))])
+                    out.append((node, seq, *places, *(at[c][stays] for c in ("sig", "lo", "hi", "at"))))
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in zip(*out)], ["sig", "node", "lo", "hi", "at"]
-                )
+                yield _packed(out)
 
     return run
 
@@ -285,28 +341,34 @@ def _in_groups(rows: DataFrame) -> DataFrame:
     )
 
 
-def _pruned(active: DataFrame, seqs: DataFrame, least: int, similarity: float) -> DataFrame:
-    """``active`` without windows that cannot be part of any repeated passage.
+def _pruned(held: DataFrame, least: int, similarity: float) -> DataFrame:
+    """``held`` without windows that cannot be part of any repeated passage.
 
     Of the shingles of a repeated passage nearly all occur in a second text, inside a window
     that shares a signature with it. So texts that share a common phrase, and nothing else
     around it, are never compared, however many they are.
     """
     width = least - SHINGLE + 1
-    windows = F.collect_list(F.struct("sig", "lo", "hi", "at")).alias("windows")
-    held = seqs.join(active.groupBy("node").agg(windows), "node").select("node", "seq", "windows")
-    repeated = (
-        held.mapInArrow(_shingles(), "shingle long, node long")
+    repeated = materialise(
+        held.mapInArrow(_shingles, "shingle long, node long")
         .groupBy("shingle")
         .agg(F.min("node").alias("least"), F.max("node").alias("most"))
         .where("least <> most")
         .select("shingle")
     )
-    repeated = materialise(repeated)
     n_bits = min(max(1 << 20, 1 << (8 * repeated.count()).bit_length()), MOST_BITS)
-    bits = active.sparkSession.sparkContext.broadcast(bit_filter(repeated, "shingle", n_bits))
-    answered = _answered(bits, n_bits, width, needed_of(width, similarity))
-    return _in_groups(held.mapInArrow(answered, "sig long, node long, lo int, hi int, at int"))
+    bits = held.sparkSession.sparkContext.broadcast(bit_filter(repeated, "shingle", n_bits))
+    return held.mapInArrow(_answered(bits, n_bits, width, needed_of(width, similarity)), HELD)
+
+
+def _in_texts(found: DataFrame, held: DataFrame) -> DataFrame:
+    """``found`` with the places in the whole texts."""
+    spans = held.select("node", "starts", "froms")
+    of = F.size(F.filter("starts", lambda x: x <= F.col("lo"))) - 1
+    shift = F.get("froms", of) - F.get("starts", of)
+    return found.join(spans, "node").select(
+        "node", "other", (F.col("lo") + shift).alias("lo"), (F.col("hi") + shift).alias("hi")
+    )
 
 
 def _with_heads(active: DataFrame, round_no: int) -> DataFrame:
@@ -394,27 +456,32 @@ def repeated_passages(
     described = materialise(rows.mapInArrow(_describing(least), f"key {kind}, node long, n_words long"))
     docs = described.where("node IS NOT NULL")
     classes = docs.groupBy("node").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"))
-    active = materialise(
+    width = least - SHINGLE + 1
+    grouped = materialise(
         _in_groups(
-            texts.mapInArrow(_windowing(least), "sig long, node long, lo int, hi int, at int")
+            texts.mapInArrow(_windowing(least), "sig long, node long, place long")
             .repartition("sig")
-            .dropDuplicates(["sig", "node", "lo", "hi"])
+            .dropDuplicates(["sig", "node", "place"])
         )
     )
-    seqs = materialise(_sequences_of(texts, active.select("node").distinct(), least))
-    active = materialise(_pruned(active, seqs, least, similarity).withColumn("open", F.lit(True)))
+    windows = grouped.groupBy("node").agg(F.collect_list(F.struct("sig", "place")).alias("windows"))
+    whole = _sequences_of(texts, grouped.select("node").distinct(), least)
+    held = materialise(whole.join(windows, "node").select("node", "seq", "windows").mapInArrow(_cutting(width), HELD))
+    held = materialise(_pruned(held, least, similarity))
+    seqs = held.select("node", F.col("cut").alias("seq"))
+    active = materialise(_in_groups(held.select("node", F.inline("windows"))).withColumn("open", F.lit(True)))
     found = None
     round_no = 0
     while round_no == 0 or not active.isEmpty():
         placed = _with_heads(active, round_no)
-        more = materialise(_compare(seqs, materialise(_pairs(placed, least - SHINGLE + 1)), least, similarity))
+        more = materialise(_compare(seqs, materialise(_pairs(placed, width)), least, similarity))
         found = more if found is None else found.union(more)
         active = materialise(_left_open(placed, found))
         round_no += 1
     copies = classes.where("copies > 1").select(
         "node", F.col("node").alias("other"), F.lit(0).cast("long").alias("lo"), F.col("n_words").alias("hi")
     )
-    runs = _merged(found.union(copies))
+    runs = _merged(_in_texts(found, held).union(copies))
     # within a class of copies the other row is the class's first or, for that one, the next
     seconds = docs.join(classes.select("node", "first"), "node").where("key <> first").groupBy("node").agg(F.min("key").alias("second"))
     named = runs.join(classes.select(F.col("node").alias("other"), F.col("first").alias("other_key")), "other")
