@@ -32,7 +32,7 @@ LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: What may follow an apostrophe as one piece.
 SUFFIXES = ["s", "t", "re", "ve", "m", "ll", "d"]
 #: Pieces of a generation of the cache; a worker keeps two.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 50_000
 #: Stands for a pair that makes up no token.
 NO_PAIR = 1 << 30
 #: From this length on a piece is merged with a heap.
