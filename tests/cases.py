@@ -29,28 +29,28 @@ DEFAULT_CASES = [
     ("null", None, None, None),
     (
         "basic",
-        "ACGTACGTACGT",
+        "GATTACAGATTACACC",
         None,
         seq(
-            "ACGTACGTACGT",
+            "GATTACAGATTACACC",
             **CLEAN,
             seqId=None,
-            rawSequence="ACGTACGTACGT",
+            rawSequence="GATTACAGATTACACC",
             nonIupacFraction=0.0,
             nonACGTNFraction=0.0,
             nFraction=0.0,
             nNrunsCapped=0,
-            gcContent=0.5,
+            gcContent=0.375,
             nucleotideSequenceID=...,
         ),
     ),
-    ("whitespace", "ACGT ACGT ACGT", None, seq("ACGTACGTACGT", gapsOrWhitespaceRemoved=True)),
-    ("gaps", "ACGT-ACGT..ACGT", None, seq("ACGTACGTACGT", gapsOrWhitespaceRemoved=True)),
-    ("rna", "ACGUACGUACGU", None, seq("ACGTACGTACGT")),
-    ("lower", "acgtacgtacgt", None, seq("ACGTACGTACGT", gapsOrWhitespaceRemoved=False)),
+    ("whitespace", "  ttgac\tcatgg a\r\n", None, seq("TTGACCATGGA", gapsOrWhitespaceRemoved=True)),
+    ("gaps", "-CCGATA.-GGTTA--", None, seq("CCGATAGGTTA", gapsOrWhitespaceRemoved=True)),
+    ("rna", "GGCAUUCGAUAUC", None, seq("GGCATTCGATATC")),
+    ("lower", "ccatggtaaccg", None, seq("CCATGGTAACCG", gapsOrWhitespaceRemoved=False)),
     (
         "nl",
-        "ACGTUNMERGEDACGT",
+        "unmergedGATTC",
         None,
         dict(
             naturalLanguageDetected=True,
@@ -66,17 +66,17 @@ DEFAULT_CASES = [
         None,
         seq("TTGACCATNNNNNGGATCCAA", nNrunsCapped=1),
     ),
-    ("gc", "GCGCGCATATAT", None, seq("GCGCGCATATAT", gcContent=0.5)),
+    ("gc", "CGTATTAACATTTAAT", None, seq("CGTATTAACATTTAAT", gcContent=0.1875)),
     (
         "noniupac",
-        "TTGACCATGGATZCATGCATGTTGA",
+        "CCATGGTTAZCCQGGATTACA",
         None,
         dict(
-            nonIupacFraction=0.04,
+            nonIupacFraction=2 / 21,
             invalid=True,
             sequence=None,
             nucleotideSequenceID=None,
-            sequenceLength=25,
+            sequenceLength=21,
         ),
     ),
     (
@@ -97,9 +97,9 @@ DEFAULT_CASES = [
     ),
     (
         "question",
-        "TTGACCATGGAT?CATGCATGTTGA",
+        "GATTACAGT??CCATGGAT",
         None,
-        seq("TTGACCATGGATNCATGCATGTTGA", nFraction=0.04),
+        seq("GATTACAGTNNCCATGGAT", nFraction=2 / 19),
     ),
     (
         "wiped",
@@ -173,21 +173,21 @@ DEFAULT_CASES = [
 OPTION_CASES = [
     (
         "low_cap",
-        "ACGTACGTNNNNACGTACGT",
-        {"nrunCapFrom": "3", "nrunCapTo": "2"},
-        seq("ACGTACGTNNACGTACGT", nNrunsCapped=1),
+        "CATTGCAGCNNNNNTTAGACCA",
+        {"nrunCapFrom": "4", "nrunCapTo": "1"},
+        seq("CATTGCAGCNTTAGACCA", nNrunsCapped=1),
     ),
     (
         "anchors",
-        "XXXXACGTACGTACGTXXXX",
-        {"anchorChars": "ACGT", "anchorMinrun": "4"},
-        seq("ACGTACGTACGT", endsTrimmed=True),
+        "ccTTAGGAcTTGAGctt",
+        {"anchorChars": "AG", "anchorMinrun": "3"},
+        seq("AGGACTTGAG", endsTrimmed=True),
     ),
     (
         "gap_class",
-        "ACGT_ACGT_ACGT",
-        {"gapRegex": r"[-\._]"},
-        seq("ACGTACGTACGT", gapsOrWhitespaceRemoved=True),
+        "CC~ATGG*TAAC~~CG",
+        {"gapRegex": "[~*]"},
+        seq("CCATGGTAACCG", gapsOrWhitespaceRemoved=True),
     ),
     ("all_nine", "ttga.ccat", DEFAULT_NINE, seq("TTGACCAT")),
     ("relaxed_ws", "tt\tga ccat\ngg", RELAXED, seq("TTGACCATGG")),
@@ -253,9 +253,9 @@ OPTION_CASES = [
     ("cap_to_zero", "ACGTACGTNNNNNNNACGTACGT", {"nrunCapTo": "0"}, seq("ACGTACGTACGTACGT")),
     (
         "cap_longer",
-        "ACGTACGTNNACGTACGT",
+        "TTAGGCATNNGGCATTAC",
         {"nrunCapFrom": "2", "nrunCapTo": "4"},
-        seq("ACGTACGTNNNNACGTACGT", nNrunsCapped=1),
+        seq("TTAGGCATNNNNGGCATTAC", nNrunsCapped=1),
     ),
     # A pattern that matches nothing everywhere: it inserts, and an empty text counts none.
     (
