@@ -1,7 +1,7 @@
 """Clean nucleotide sequences and look up vocabulary terms, as Spark plans."""
 
 from seqprep.functions.options import CleanOptions
-from seqprep.functions.sql import register_lookup, register_lookup_lineage, register_sql
+from seqprep.functions.sql import register_lookup, register_lookup_lineage, register_lookup_view, register_sql
 from seqprep.operators.clean import RESULT_TYPE, clean_columns, clean_sequences
 from seqprep.operators.limits import LookupLimits
 from seqprep.operators.lookup import LINEAGE_TYPE, lookup
@@ -29,6 +29,7 @@ __all__ = [
     "read_vocabulary",
     "register_lookup",
     "register_lookup_lineage",
+    "register_lookup_view",
     "register_sql",
     "vocabulary_keys",
 ]

@@ -14,7 +14,8 @@ from seqprep.functions.options import DEFAULTS, INT_TEXT
 from seqprep.functions.stages import PLAIN_ALPHABET, PLAIN_TEXT, SIMPLE_CLASS
 from seqprep.operators.clean import RESULT_TYPE, quoted
 from seqprep.operators.limits import LookupLimits, fits_broadcast
-from seqprep.sources.tables import materialise
+from seqprep.operators.lookup import lookup
+from seqprep.sources.tables import materialise, read_table
 
 
 def register_sql(spark: SparkSession, name: str = "processSequence") -> None:
@@ -101,7 +102,7 @@ def register_lookup(
 
     The function is bound to the key table as it is now: a copy is made, measured
     and broadcast. A table beyond the limits or with a repeated key raises
-    ``ValueError``; ``lookup`` joins larger tables and cuts hot terms.
+    ``ValueError``; ``register_lookup_view`` serves SQL with larger ones.
     """
     _register_lookup(spark, name, keys, "STRING", "k.concept", ["concept"], exact, limits)
 
@@ -127,6 +128,35 @@ def register_lookup_lineage(
     )
 
 
+def register_lookup_view(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    column: str,
+    keys: str,
+    *,
+    concept_as: str | None = None,
+    struct_as: str | None = None,
+    exact: bool = False,
+    limits: LookupLimits = LookupLimits(),
+) -> None:
+    """Install the temporary view ``name``: table ``source`` with the lookup of ``column`` added.
+
+    For SQL over vocabularies of any size. A function sees one term at a time, so it
+    cannot know which terms are hot; the view sees the table. Key tables beyond the
+    broadcast limits are joined on (key, slice), with hot terms cut and rows without a
+    term spread. Bound to a copy of the key table as it is now, and to the terms that are
+    hot now: later rows of ``source`` appear in the view, and more of them are merely in
+    larger slices. Columns that a query does not name are not read.
+    """
+    columns = ["concept"] + (["lineage"] if struct_as is not None else [])
+    copy = materialise(read_table(spark, keys).select("key", *columns))
+    found = lookup(
+        read_table(spark, source), column, copy, concept_as=concept_as, struct_as=struct_as, exact=exact, limits=limits
+    )
+    found.createOrReplaceTempView(name)
+
+
 def _register_lookup(
     spark: SparkSession,
     name: str,
@@ -141,7 +171,7 @@ def _register_lookup(
     # a later change of the table or view cannot outgrow.
     copy = materialise(spark.table(keys).select("key", *columns))
     if not fits_broadcast(copy, columns, limits):
-        raise ValueError(f"{keys} is beyond the broadcast limits: use lookup() instead")
+        raise ValueError(f"{keys} is beyond the broadcast limits: use lookup() or register_lookup_view()")
     table = f"seqprep_keys_{uuid.uuid4().hex}"
     copy.createOrReplaceTempView(table)
     key = "term" if exact else "lower(trim(term))"

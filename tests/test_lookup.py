@@ -17,6 +17,7 @@ from seqprep import (
     read_vocabulary,
     register_lookup,
     register_lookup_lineage,
+    register_lookup_view,
     vocabulary_keys,
 )
 
@@ -374,3 +375,36 @@ def test_languages_rank_labels(spark):
     assert [tuple(r) for r in ambiguous_labels(vocabulary).collect()] == [("platz", "de", 2)]
     with pytest.raises(ValueError, match="language"):
         vocabulary_keys(Vocabulary(concepts, labels.drop("language")), languages=["de"])
+
+
+def test_sql_view_over_a_large_vocabulary(spark, keys):
+    keys.createOrReplaceTempView("view_keys")
+    skewed_terms(spark).createOrReplaceTempView("view_terms")
+    register_lookup_view(
+        spark, "view_found", "view_terms", "term", "view_keys", concept_as="c", struct_as="s", limits=SHUFFLED
+    )
+    want = lookup(skewed_terms(spark), "term", keys, concept_as="c", struct_as="s")
+    sql = "SELECT i, term, c, s.lineage, count(*) AS n FROM {rows} GROUP BY ALL"
+    count = lambda rows: sorted(map(str, spark.sql(sql, rows=rows).collect()))
+    assert count(spark.table("view_found")) == count(want)
+    plan = spark.table("view_found")._jdf.queryExecution().executedPlan().toString()
+    assert "__seqprep_slice" in plan and "hashpartitioning(__seqprep_key" in plan
+
+
+def test_sql_view_sees_later_rows_and_keeps_its_vocabulary(spark, keys):
+    spark.sql("CREATE TABLE later_terms (term STRING) USING parquet")
+    keys.createOrReplaceTempView("view_keys")
+    register_lookup_view(spark, "later_found", "later_terms", "term", "view_keys", concept_as="c", limits=SHUFFLED)
+    keys.limit(0).createOrReplaceTempView("view_keys")
+    spark.sql("INSERT INTO later_terms VALUES ('cox1'), ('cox1'), (NULL), ('nothing')")
+    assert sorted(map(str, spark.table("later_found").collect())) == sorted(
+        ["Row(term='cox1', c='COI')"] * 2 + ["Row(term=None, c=None)", "Row(term='nothing', c=None)"]
+    )
+
+
+@pytest.mark.parametrize("missing", ["source", "keys"])
+def test_sql_view_needs_its_tables(spark, keys, missing):
+    keys.createOrReplaceTempView("view_keys")
+    names = {"source": "view_keys", "keys": "view_keys", missing: "no_such_table"}
+    with pytest.raises(ValueError, match="no_such_table"):
+        register_lookup_view(spark, "v", names["source"], "key", names["keys"], concept_as="c")

@@ -227,6 +227,8 @@ ORACLE_SQL: dict[str, str] = {
     "lineage_access": over_terms("concept AS matched_concept, lineage[1] AS top_lineage_element"),
     "lookup_skewed": over_terms(f"{CONCEPT}, {LINEAGE}", SKEWED_TERMS),
     "lookup_shuffled": over_terms(f"{CONCEPT}, {LINEAGE}", SKEWED_TERMS),
+    "sql_lookup_shuffled": over_terms(f"{CONCEPT}, {LINEAGE}", SKEWED_TERMS),
+    "stream_lookup": over_terms(f"{CONCEPT}, {LINEAGE}", SKEWED_TERMS),
     "sql_lookup_concept": over_terms(CONCEPT),
     "sql_lookup_lineage": over_terms(LINEAGE),
 }

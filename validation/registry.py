@@ -22,6 +22,7 @@ from seqprep import (
     read_vocabulary,
     register_lookup,
     register_lookup_lineage,
+    register_lookup_view,
     register_sql,
     vocabulary_keys,
 )
@@ -41,6 +42,7 @@ from seqprep.plans.reports import (
 )
 from seqprep.sources.tables import materialise, read_table, shared_folder, write_table
 from seqprep.streaming.clean import process_new_sequences
+from seqprep.streaming.lookup import lookup_new_terms, read_found
 from validation.inputs import CONCEPTS, LABELS, LANGUAGE_LABELS, SEQUENCES, SKEWED_TERMS, TERMS, derive, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -368,6 +370,27 @@ def sql_lookup_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sql_lookup_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over a vocabulary that is too large to broadcast, and terms a third of which are one."""
+    vocabulary_keys(vocabulary(spark, sf_dir)).createOrReplaceTempView("large_keys")
+    derive(spark, sf_dir, SKEWED_TERMS).createOrReplaceTempView("skewed_terms")
+    register_lookup_view(
+        spark,
+        "skewed_found",
+        "skewed_terms",
+        "v_targetgene",
+        "large_keys",
+        concept_as="target_gene",
+        struct_as="found",
+        limits=LookupLimits(broadcast_rows=0, rows_per_slice=5_000),
+    )
+    return flat_lineage(
+        spark.sql(
+            "SELECT datasetkey, gbifid, v_targetgene AS raw_v_targetgene, target_gene, found FROM skewed_found"
+        )
+    )
+
+
 def lineage_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Struct field and array subscript; an empty lineage gives null."""
     found = lookup_terms(
@@ -448,6 +471,24 @@ def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+def stream_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms looked up as they arrive: the derived terms, written once, are the stream's files."""
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    derive(spark, sf_dir, SKEWED_TERMS).write.parquet(f"{base}/terms")
+    schema = spark.read.parquet(f"{base}/terms").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(f"{base}/terms")
+    lookup_new_terms(
+        stream,
+        f"{base}/out",
+        f"{base}/progress",
+        lambda session: vocabulary_keys(vocabulary(session, sf_dir)),
+        "v_targetgene",
+        "target_gene",
+        "found",
+    )
+    return flat_lineage(read_found(spark, f"{base}/out"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "distinct_sequences": distinct_sequences_query,
@@ -505,4 +546,6 @@ def queries() -> dict[str, Query]:
         ),
         "sql_lookup_concept": sql_lookup_concept,
         "sql_lookup_lineage": sql_lookup_lineage,
+        "sql_lookup_shuffled": sql_lookup_shuffled,
+        "stream_lookup": stream_lookup,
     }
