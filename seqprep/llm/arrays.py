@@ -6,6 +6,7 @@ about ``CHUNK_BYTES`` of them, so memory is bounded by the longest single text.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -26,6 +27,18 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
+def give_back() -> None:
+    """Return memory that nothing uses to the machine.
+
+    A worker process serves many tasks, and allocators keep what was freed: without this
+    it stays as large as its largest batch ever was, beside the JVM of its executor.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of whole rows with about ``most`` bytes of text each."""
     column = batch.column(text)
@@ -37,6 +50,7 @@ def chunks(batch: pa.RecordBatch, text: str, most: int = CHUNK_BYTES) -> Iterato
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+    give_back()
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
