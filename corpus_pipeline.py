@@ -89,11 +89,16 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token ids, and whether they decode to its text."""
+    """Every document's token ids, and whether they decode to its text.
+
+    The ids are written before they are decoded, so that no task holds an encoding and a
+    decoding Python worker at once.
+    """
     path = bpe.default_ranks()
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    coded = bpe.encode(texts.withColumn("sha256", F.sha2("text", 256)), path, ["doc_id", "sha256"])
-    return bpe.decode(coded, path).select(
+    folder = new_folder(spark, "token-ids")
+    bpe.encode(texts.withColumn("sha256", F.sha2("text", 256)), path, ["doc_id", "sha256"]).write.parquet(folder)
+    return bpe.decode(spark.read.parquet(folder), path).select(
         "doc_id", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("sha256")).alias("round_trip")
     )
 
