@@ -10,7 +10,9 @@ the others are revisits that name it. A file of a task that was lost and run aga
 another name and no index row, so it is never read.
 
 Cases: a null html is an empty payload, and empty payloads are equal to each other. A
-null URL is written as ``urn:x-unknown``; line breaks in URLs are percent-encoded. Rows
+null URL is written as ``urn:x-unknown``; line breaks in URLs are percent-encoded, all else
+of a URL stays as it is. The reader takes URLs from the index, which holds them unchanged. Very
+long payloads are one record, which a task holds whole. An empty table has no archive. Rows
 with a repeated page id have a record each; equal ones with the largest id are all
 responses. A row without a page id is a revisit of an equal payload's page, or else a
 response. Extra columns are ignored.
@@ -36,6 +38,8 @@ from seqprep.llm.shared import few_files, new_folder, quoted, small_batches, tab
 ROLL_BYTES = 1 << 30
 #: Records whose offsets are in the same stretch of this size form one unit of work.
 RANGE_BYTES = 4 << 20
+#: A task reads at most about so many bytes of archives.
+TASK_BYTES = 256 << 20
 #: Records at most this far apart are read together.
 GAP_BYTES = 64 << 10
 UNKNOWN_URL = "urn:x-unknown"
@@ -56,7 +60,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     revisit = refers_to is not None
     block = http.encode() if revisit else http.encode() + payload
     name = uuid.uuid4().hex if page_id is None else page_id
-    target = (url or UNKNOWN_URL).replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+    target = (url or UNKNOWN_URL).replace("\r", "%0D").replace("\n", "%0A")
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -154,8 +158,8 @@ def _making(folder: str) -> Callable[[Batches], Batches]:
     return run
 
 
-def parse(raw: bytes) -> tuple:
-    """(page id, URL, payload bytes, digest, type, page referred to, payload or None)."""
+def parse(raw: bytes, url: str | None) -> tuple:
+    """(page id, URL as the index has it, payload bytes, digest, type, page referred to, payload or None)."""
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
     block = rest[: int(fields["Content-Length"])]
@@ -170,8 +174,6 @@ def parse(raw: bytes) -> tuple:
         text = fields.get(name, "").removeprefix(f"<{PAGE}").removesuffix(">")
         return int(text) if text.lstrip("-").isdigit() else None
 
-    url = fields["WARC-Target-URI"]
-    url = None if url == UNKNOWN_URL else url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
     return page("WARC-Record-ID"), url, size, digest, fields["WARC-Type"], page("WARC-Refers-To"), None if revisit else payload
 
 
@@ -184,20 +186,20 @@ def _reading(folder: str, with_payload: bool) -> Callable[[Batches], Batches]:
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
         for batch in batches:
             for one in batch.to_pylist():
-                wanted = [(x["offset"], x["length"]) for x in one["records"]]
+                wanted = [(x["offset"], x["length"], x["url"]) for x in one["records"]]
                 out = []
                 with store.open_input_file(one["file"]) as file:
                     at = 0
                     while at < len(wanted):
-                        stop, end = at + 1, sum(wanted[at])
+                        stop, end = at + 1, sum(wanted[at][:2])
                         while stop < len(wanted) and wanted[stop][0] - end <= GAP_BYTES:
-                            end = sum(wanted[stop])
+                            end = sum(wanted[stop][:2])
                             stop += 1
                         start = wanted[at][0]
                         file.seek(start)
                         data = file.read(end - start)
-                        for offset, length in wanted[at:stop]:
-                            found = parse(gzip.decompress(data[offset - start : offset - start + length]))
+                        for offset, length, url in wanted[at:stop]:
+                            found = parse(gzip.decompress(data[offset - start : offset - start + length]), url)
                             out.append(found if with_payload else (*found[:-1], None))
                         at = stop
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
@@ -209,10 +211,16 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> Da
     """The records of the rows of ``index``, a selection of ``write_archives``' index.
 
     Responses are checked against their digests. Revisits have no payload of their own.
+    Tasks are dealt by the bytes they read, not by those of the index.
     """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    stretches = -(-total // RANGE_BYTES)
+    tasks = max(1, -(-total // TASK_BYTES), min(stretches, index.sparkSession.sparkContext.defaultParallelism))
     ranges = (
-        index.groupBy("file", F.floor(F.col("offset") / RANGE_BYTES).alias("stretch"))
-        .agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("records"))
+        index.withColumn("stretch", F.floor(F.col("offset") / RANGE_BYTES))
+        .repartition(tasks, "file", "stretch")
+        .groupBy("file", "stretch")
+        .agg(F.sort_array(F.collect_list(F.struct("offset", "length", "url"))).alias("records"))
         .select("file", "records")
     )
     return ranges.mapInArrow(_reading(f"{folder}/archives", with_payload), READ)

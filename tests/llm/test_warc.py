@@ -53,6 +53,34 @@ def test_selected_records_and_gzip_members(spark):
     assert data.startswith(b"WARC/1.1\r\n") and data.count(b"WARC-Type: response") >= 50
 
 
+def test_urls_stand_unchanged_in_the_archive(spark):
+    urls = ["http://x/a%20b", "http://x/a%2520b?q=%0A", "http://x/é", "http://x/1\n2"]
+    df = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    folder = new_folder(spark, "warc-test")
+    index = warc.write_archives(df, folder)
+    targets = set()
+    for row in index.collect():
+        with open(row.file, "rb") as file:
+            file.seek(row.offset)
+            head = gzip.decompress(file.read(row.length)).partition(b"\r\n\r\n")[0].decode()
+        targets.add(head.partition("WARC-Target-URI: ")[2].partition("\r\n")[0])
+    assert targets == {*urls[:3], "http://x/1%0A2"}
+    assert {r.url for r in warc.read_records(index, folder).collect()} == set(urls)
+
+
+def test_tasks_are_dealt_by_archive_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_BYTES", 1 << 12)
+    monkeypatch.setattr(warc, "TASK_BYTES", 1 << 13)
+    rows = [(i, "http://h", hashlib.sha512(str(i).encode()).hexdigest() * 8) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = new_folder(spark, "warc-test")
+    index = warc.write_archives(df.coalesce(2), folder)
+    got = warc.read_records(index, folder)
+    total = sum(r.length for r in index.select("length").collect())
+    assert got.rdd.getNumPartitions() >= total // (1 << 13)
+    assert sorted(r.page_id for r in got.collect()) == list(range(300))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     folder = new_folder(spark, "warc-test")
