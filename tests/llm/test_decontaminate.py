@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
 import sys
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 from helpers import with_clashes
 
-from seqprep.llm.decontaminate import contaminated
+from pyspark.sql import functions as F
+
+from seqprep.llm.decontaminate import LEAST_WORDS, WIDTH, consistent_places, contaminated
 
 ITEM = "A farmer named Tom has 12 sheep and 5 goats. How many animals does the farmer Tom own after buying 12 sheep more at the market?"
 ITEMS = [(1, ITEM), (2, "the quick brown"), (3, None), (4, ""), (2, "the quick brown"), (5, "It weighs 40 kg or 88 pounds in total today"),
@@ -67,3 +70,93 @@ def test_opening_names_and_items_of_numbers(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in contaminated(docs, items).collect()}
     assert got == {(1, 1): ("template", 1.0), (2, 1): ("template", 1.0), (4, 2): ("template", 1.0)}
+
+
+def test_slips_and_number_words(spark):
+    tank = "A tank holds 12 litres of water. Each hour 3 litres leak out of the old tank near the barn. How long until 12 litres are gone?"
+    road = "A bus drives sixty km in two hours. How far will the same bus drive in five hours on that road?"
+    gift = "Anna gives Tom 5 coins and later Tom gives Anna 9 coins back. Who has more coins now, said Anna to Tom?"
+    items = spark.createDataFrame([(1, tank), (2, road), (3, gift)], "item_id long, text string")
+    rows = [
+        (1, tank.replace("12", "40").replace(" 3 ", " 7 ").replace("until 40", "until 41")),
+        (2, road.replace("sixty", "ninety").replace("two", "three").replace("five", "seven")),
+        (3, road.replace("sixty", "90").replace("two", "3").replace("five", "twenty five")),
+        (4, gift.replace("later Tom gives Anna", "later Anna gives Tom").replace("5", "6").replace("said Anna to Tom", "said Tom to Anna")),
+        (5, gift.replace("Anna", "Eve").replace("Tom", "Max")),
+        (6, tank.replace("until 12", "until 5").replace("hour 3", "hour 12").replace("holds 12", "holds 8")),
+        (7, "Two people went sixty miles. Nobody knows why."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.kind) for r in contaminated(docs, items, coverage=0.5).collect() if r.kind == "template"}
+    assert {x[:2] for x in got} == {(1, 1), (2, 2), (3, 2), (5, 3), (6, 1)}
+
+
+def test_consistent_places_against_brute_force(spark):
+    """The rule of the docstring, pair by pair in plain Python."""
+    rng = random.Random(3)
+    lines = []
+    for i in range(300):
+        wins = [(p, [(8 * rng.randrange(3) + rng.choice([1, 1, 1, 3]), rng.randrange(3)) for _ in range(rng.randrange(3))]) for p in range(rng.randrange(1, 6))]
+        lines.append((i, wins))
+
+    def places(wins):
+        pairs = {x for _, same in wins for x in same}
+        n = {x: sum(x in same for _, same in wins) for x in pairs}
+        held = set()
+        for x in pairs:
+            rivals = [y for y in pairs if (y[0] == x[0]) != (y[1] == x[1])]
+            if not any((-n[y], y) < (-n[x], x) for y in rivals):
+                held.add(x)
+        assert len({a for a, _ in held}) == len({b for _, b in held}) == len(held)
+        if len(pairs) - len(held) > max(1, len(pairs) // 5):
+            return []
+        if any(a % 8 != 1 for a, _ in pairs - held):
+            return []
+        return sorted(p for p, same in wins if set(same) <= held)
+
+    df = spark.createDataFrame(lines, "id int, met array<struct<pos:int,same:array<struct<a:bigint,b:bigint>>>>")
+    got = {r.id: sorted(r.places) for r in df.select("id", consistent_places(F.col("met")).alias("places")).collect()}
+    assert got == {i: places(wins) for i, wins in lines}
+
+
+def test_templates_against_brute_force(spark):
+    """Coverage by consistent template windows, over random texts of one sentence without opening names."""
+    rng = random.Random(4)
+    vocabulary = ["red", "blue", "tree", "runs", "over", "Kim", "Bob", "Lee", "4", "17", "230"]
+    texts = [" ".join(["see"] + rng.choices(vocabulary, k=rng.randrange(6, 14))) for _ in range(60)]
+    # some are others with names and numbers exchanged
+    swap = {"Kim": "Zoe", "Bob": "Ian", "Lee": "Amy", "4": "51", "17": "6", "230": "88"}
+    docs = texts[:20] + [" ".join(swap.get(w, w) for w in t.split()) for t in texts[20:40]]
+    items = texts[20:]
+
+    def template(text):
+        out = []
+        for w in text.split():
+            kind = "#" if w[0].isdigit() else "@" if w[0].isupper() else w
+            if out and kind in "#@" and out[-1][0] == kind:
+                out[-1][1].append(w)
+            else:
+                out.append((kind, [w] if kind in "#@" else []))
+        return out
+
+    def covers(doc, item):
+        d, t = template(doc), template(item)
+        width = min(WIDTH, len(t))
+        starts = [p for p in range(len(t) - width + 1) if sum(k not in "#@" for k, _ in t[p : p + width]) >= min(LEAST_WORDS, width)]
+        found = set()
+        for shift in range(-len(t), len(d)):
+            wins = [p for p in starts if 0 <= p + shift <= len(d) - width
+                    and [k for k, _ in t[p : p + width]] == [k for k, _ in d[p + shift : p + shift + width]]]
+            pairs = {(" ".join(t[q][1]), " ".join(d[q + shift][1])) for p in wins for q in range(p, p + width) if t[q][1]}
+            if len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
+                found |= set(wins)
+        return len(found) / len(starts) if starts else 0.0
+
+    left = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    right = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(left, right).collect()}
+    want = {(i, j) for i, doc in enumerate(docs) for j, item in enumerate(items) if covers(doc, item) >= 0.5}
+    assert len(want) >= 15 and want <= got
+    # what is found beyond consistent diagonals is literal or holds a slip
+    plain = {(r.doc_id, r.item_id): r.coverage for r in contaminated(left, right).collect()}
+    assert all(plain[x] >= 0.5 for x in got)
