@@ -16,15 +16,16 @@ from seqprep.operators.vocabulary import match_key
 def distinct_sequences(cleaned: DataFrame) -> DataFrame:
     """Each sequence once, with its numbers of occurrences and datasets.
 
-    Rows without an ID (invalid or empty) go before the grouping, so that they do
-    not meet in one task.
+    Rows without an ID (invalid or empty) are counted as zero in each task and go after
+    the grouping: a filter on the ID would be moved below the cleaning, whose stages it
+    would hold once more, each many times over, in code too long to compile.
     """
-    named = cleaned.where(F.col("nucleotideSequenceID").isNotNull())
-    return named.groupBy("nucleotideSequenceID").agg(
+    found = cleaned.groupBy("nucleotideSequenceID").agg(
         F.min("cleaned_sequence").alias("cleaned_sequence"),
-        F.count(F.lit(1)).alias("occurrences"),
+        F.count("nucleotideSequenceID").alias("occurrences"),
         F.count_distinct("datasetkey").alias("datasets"),
     )
+    return found.where("occurrences > 0")
 
 
 def dataset_quality(cleaned: DataFrame) -> DataFrame:
@@ -101,12 +102,13 @@ def catalogue_state(cleaned: DataFrame) -> DataFrame:
     """(nucleotideSequenceID, datasetkey, cleaned_sequence, occurrences) of a batch.
 
     States of batches are merged by ``merge_catalogues`` in any order; a sequence of very many
-    datasets is many rows, never one long list.
+    datasets is many rows, never one long list. Rows without an ID go after the grouping,
+    as in ``distinct_sequences``.
     """
-    named = cleaned.where(F.col("nucleotideSequenceID").isNotNull())
-    return named.groupBy("nucleotideSequenceID", "datasetkey").agg(
-        F.min("cleaned_sequence").alias("cleaned_sequence"), F.count(F.lit(1)).alias("occurrences")
+    found = cleaned.groupBy("nucleotideSequenceID", "datasetkey").agg(
+        F.min("cleaned_sequence").alias("cleaned_sequence"), F.count("nucleotideSequenceID").alias("occurrences")
     )
+    return found.where("occurrences > 0")
 
 
 def merge_catalogues(states: list[DataFrame]) -> DataFrame:

@@ -71,3 +71,16 @@ def test_quantiles_of_the_given_tables(spark):
     ).collect():
         assert got[key].n == n
         assert all(a - 1 <= q <= b + 1 for a, q, b in zip(low, got[key].quantiles, high))
+
+
+REPORTS = [(reports.distinct_sequences, 1), (reports.catalogue_state, 1)]
+
+
+@pytest.mark.parametrize("report, left", REPORTS)
+def test_no_filter_repeats_the_cleaning(spark, report, left):
+    rows = [("a", 1, "ACGTACGTACGTACGT"), ("a", 2, None), ("b", 3, ""), ("c", 4, None), ("d", 5, "ACGT-ACGTACGTUNMERGED")]
+    given = spark.createDataFrame(rows, "datasetkey string, gbifid long, v_dnasequence string").where("gbifid > 0")
+    got = report(registry.process_sequences(given))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp" in line]
+    assert got.count() == left
