@@ -72,11 +72,13 @@ SKETCH_K = 400
 def length_sketches(cleaned: DataFrame, k: int = SKETCH_K) -> DataFrame:
     """(datasetkey, lengths): a quantile sketch of each dataset's sequence lengths.
 
-    Sketches are of bounded size and can be saved, and merged by ``merge_sketches``.
+    Sketches are of bounded size and can be saved, and merged by ``merge_sketches``. They
+    leave out nulls by themselves; datasets without a length go after the grouping, as in
+    ``distinct_sequences``.
     """
-    lengths = cleaned.where(F.col("sequenceLength").isNotNull())
     sketch = F.kll_sketch_agg_bigint(F.col("sequenceLength").cast("long"), F.lit(k))
-    return lengths.groupBy("datasetkey").agg(sketch.alias("lengths"))
+    found = cleaned.groupBy("datasetkey").agg(sketch.alias("lengths"), F.count("sequenceLength").alias("n"))
+    return found.where("n > 0").drop("n")
 
 
 def merge_sketches(batches: list[DataFrame], k: int = SKETCH_K) -> DataFrame:

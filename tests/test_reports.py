@@ -73,7 +73,7 @@ def test_quantiles_of_the_given_tables(spark):
         assert all(a - 1 <= q <= b + 1 for a, q, b in zip(low, got[key].quantiles, high))
 
 
-REPORTS = [(reports.distinct_sequences, 1), (reports.catalogue_state, 1)]
+REPORTS = [(reports.distinct_sequences, 1), (reports.length_sketches, 3), (reports.catalogue_state, 1)]
 
 
 @pytest.mark.parametrize("report, left", REPORTS)
