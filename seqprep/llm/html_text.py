@@ -1,9 +1,10 @@
 """Main text of web pages by wrapper induction.
 
-A few pages of a host are aligned by simple tree matching: equal tags and classes match
-in order, and the matching with the most nodes around equal texts wins. Texts that two
-of them share at one place are candidates. Then every page of the host is aligned with
-these and votes: candidates that most of the host's stories hold are constant nodes, the
+The texts of all pages of a host are counted, each with the tags and classes around it. Of
+those that enough stories hold, two pages each are aligned by simple tree matching: equal
+tags and classes match in order, and the matching with the most nodes around equal texts
+wins. Texts that two of them share at one place are candidates. Then every page of the host
+is aligned with these and votes: candidates that most of the host's stories hold are constant nodes, the
 host's template; all else are slots. Pages with the same longest block tell one story,
 so copies have one vote. In the end every page is aligned with the template. What stands
 in a constant node is dropped, inside the article and outside it, and so are regions
@@ -44,8 +45,6 @@ from pyspark.sql import functions as F
 from seqprep.llm.arrays import chunks
 from seqprep.llm.shared import materialise, quoted, small, small_batches, table
 
-#: Pages of a host, different from each other, that candidates are found on; all pages vote.
-SAMPLE_PAGES = 6
 #: A candidate is constant if this share of the host's stories, and two of them, hold it.
 CONSTANT_SHARE = 0.6
 #: Templates of this size together, in bytes, are sent to every task; larger ones are joined.
@@ -522,19 +521,75 @@ def _finding(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": frame["host"].iloc[:1], "template": [to_json(made)]})
 
 
+@lru_cache(maxsize=1 << 14)
+def digest(*parts: str | int) -> int:
+    joined = "\0".join(map(str, parts)).encode("utf-8", "replace")
+    return int.from_bytes(hashlib.blake2b(joined, digest_size=8).digest(), "big", signed=True)
+
+
+def places_of(root: Node) -> Iterator[tuple[int, str, bool]]:
+    """(place, text, whether it may be a story) of a page's texts; a place is the text and the tags and names around it."""
+    slots = {id(x) for x in walk(root)}
+    todo = [(root, 0)]
+    while todo:
+        x, around = todo.pop()
+        path = digest(around, x.tag, x.names)
+        if x.own_text():
+            yield digest.__wrapped__(path, x.own_text()), x.own_text(), id(x) in slots
+        todo += [(c, path) for c in x.elements()]
+
+
+def _placing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, pick, place, text, n_chars, slot) of all texts of all pages, each place of a page once."""
+    for batch in batches:
+        for part in chunks(batch, "html"):
+            rows = []
+            for host, page, pick in zip(*(part.column(c).to_pylist() for c in ("host", "html", "pick"))):
+                found: dict[int, tuple[str, bool]] = {}
+                for place, text, slot in places_of(parse(page)):
+                    found[place] = text, slot or found.get(place, (text, False))[1]
+                rows += [(host, pick, at, digest.__wrapped__(x), len(x), slot) for at, (x, slot) in found.items()]
+            if rows:
+                types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays(columns, ["host", "pick", "place", "text", "n_chars", "slot"])
+
+
+def _picks(marked: DataFrame) -> DataFrame:
+    """(host, pick): two pages for each place that may be constant, counted over all pages.
+
+    A page's story is its longest text, or the longest that no other page has at that place;
+    what is constant by either is looked at. Each place takes a share of the host's
+    stories, so a host has few of them, however many pages.
+    """
+    placed = materialise(
+        marked.mapInArrow(_placing, "host string, pick long, place long, text long, n_chars int, slot boolean")
+    )
+    shared = materialise(
+        placed.groupBy("host", "place").agg(F.min("pick").alias("first"), F.max("pick").alias("last")).where("first <> last")
+    )
+    texts = placed.join(shared, ["host", "place"], "left")
+    longest = F.struct("n_chars", "text")
+    stories = (
+        texts.where("slot")
+        .groupBy("host", "pick")
+        .agg(F.max(longest)["text"].alias("any"), F.max(F.when(F.col("first").isNull(), longest))["text"].alias("own"))
+    )
+    counted = [F.count_distinct(c).alias(f"n_{c}") for c in ("any", "own")]
+    whole = stories.groupBy("host").agg(*counted).withColumnsRenamed({"n_any": "all_any", "n_own": "all_own"})
+    held = texts.where("first IS NOT NULL").join(stories, ["host", "pick"]).groupBy("host", "place", "first", "last").agg(*counted)
+    enough = [f"n_{c} >= 2 AND n_{c} >= {CONSTANT_SHARE} * all_{c}" for c in ("any", "own")]
+    chosen = held.join(whole, "host").where(f"{enough[0]} OR {enough[1]}")
+    return materialise(chosen.select("host", F.explode(F.array("first", "last")).alias("pick")).distinct())
+
+
 def host_candidates(pages: DataFrame) -> DataFrame:
-    """(host, template) from (host, html): the pages with the least hashes, one for each of
-    a few stretches of the hash range, so that no host's pages ever meet in one task.
+    """(host, template) from (host, html): all pages decide which of them are aligned.
 
     The picks are a few numbers a host; up to a million of them go to the pages, not
     the pages to them."""
     marked = pages.where("html IS NOT NULL").withColumn("pick", F.xxhash64("html"))
-    picks = materialise(
-        marked.groupBy("host", F.expr(f"pmod(pick, {SAMPLE_PAGES})").alias("stretch"))
-        .agg(F.min("pick").alias("pick"))
-        .drop("stretch")
-    )
-    sample = marked.join(small(picks), ["host", "pick"], "left_semi").groupBy("host", "pick").agg(F.min("html").alias("html"))
+    sample = marked.join(small(_picks(marked)), ["host", "pick"], "left_semi").groupBy("host", "pick").agg(F.min("html").alias("html"))
     return sample.groupBy("host").applyInPandas(_finding, "host string, template string").where("template IS NOT NULL")
 
 

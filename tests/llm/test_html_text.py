@@ -179,3 +179,19 @@ def test_deep_and_long_pages():
 
 def test_empty_table(spark):
     assert extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_candidates_come_from_all_pages(spark):
+    # the pages that have the least hashes of a few stretches, once the sample, lack a text that the others hold
+    def hashed(pages):
+        df = spark.createDataFrame([(p,) for p in pages], "html string")
+        return {r.html: (r.h, r.h % 6) for r in df.selectExpr("html", "xxhash64(html) AS h").collect()}
+
+    without = hashed([f"<article><p>Story {i} says {i * i}</p></article>" for i in range(300)])
+    least = [min((p for p in without if without[p][1] == k), key=lambda p: without[p][0]) for k in range(6)]
+    held = hashed([f"<article><p>Story {i} says {i * i}</p><p>Ours</p></article>" for i in range(300, 900)])
+    held = [p for p, (h, k) in held.items() if h > without[least[k]][0]]
+    pages = least + held[:60]
+    assert len(pages) == 66
+    got = extracted(spark, pages)
+    assert len(got) == 66 and not [t for t in got.values() if "Ours" in t or not t.startswith("Story")]
