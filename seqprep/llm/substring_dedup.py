@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seqprep.llm.arrays import U64, chunks, flat, mix, word_hashes
+from seqprep.llm.arrays import U64, chunks, flat, gather, mix, word_hashes
 from seqprep.llm.bpe import binary
 from seqprep.llm.shared import bit_filter, materialise, passes, quoted, small_batches, table
 
@@ -52,6 +52,10 @@ HASHES = 4
 #: Heads of a group in the first round, and how many times more there are in each next one.
 HEADS, GROWTH = 2, 4
 FILTER_BITS = 1 << 23
+#: The cost of a window that repeats itself: it is compared with heads only.
+NOT_CHOSEN = 1 << 62
+#: Texts that a task knows again as copies; later ones are dropped after the shuffle.
+MOST_SEEN = 1 << 20
 #: Longest run of subsequences in one window.
 LONGEST_RUN = 1 << 12
 #: Most bits of the filter of shingles that several texts have: 32 MB, whatever the input.
@@ -70,10 +74,14 @@ def sequence(words: np.ndarray) -> np.ndarray:
     return mix(total)
 
 
-def text_node(words: np.ndarray) -> int:
-    """The signed 64-bit name of a word sequence."""
-    place = mix(np.arange(len(words), dtype=U64), 91)
-    return int(mix((mix(words, 92) * (place | U64(1))).sum(dtype=U64, keepdims=True), len(words)).view(np.int64)[0])
+def text_nodes(words: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The signed 64-bit names of word sequences of one word or more."""
+    if not len(first):
+        return np.zeros(0, np.int64)
+    at = gather(first, sizes)
+    place = mix(np.arange(sizes.max(), dtype=U64), 91) | U64(1)
+    total = np.add.reduceat(mix(words[at], 92) * place[at - np.repeat(first, sizes)], np.cumsum(sizes) - sizes)
+    return mix(total ^ sizes.astype(U64) * U64(0xD1B54A32D192ED03)).view(np.int64)
 
 
 def sliding_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -88,33 +96,65 @@ def sliding_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(from_on[: n - width + 1], up_to[width - 1 : n])
 
 
-def signatures(shingles: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """(signature, first, end, place of the minimum) of the runs of subsequences with equal minima."""
+def signatures(shingles: np.ndarray, width: int, first: np.ndarray | None = None, sizes: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(signature, first, end, place of the minimum) of the runs of subsequences with equal minima.
+
+    ``first`` and ``sizes`` say where the texts' shingles are, ``width`` of them or more each; else all are one text's.
+    """
+    if first is None or sizes is None:
+        first, sizes = np.zeros(1, np.int64), np.array([len(shingles)])
+    if not len(first):
+        return np.zeros(0, U64), *[np.zeros(0, np.int64)] * 3
+    many = sizes - width + 1
+    at_all = gather(first, many)
+    offset = at_all - np.repeat(first, many)
     out = []
     for k in range(HASHES):
         values = mix(shingles, 101 + k)
-        low = sliding_minima(values, width)
+        low = sliding_minima(values, width)[at_all]
         # a run is cut now and then, so that its length has few bits
-        start = np.flatnonzero(np.append(True, low[1:] != low[:-1]) | (np.arange(len(low)) % LONGEST_RUN == 0))
+        begins = np.flatnonzero(np.append(True, low[1:] != low[:-1]) | (offset % LONGEST_RUN == 0))
+        start = at_all[begins]
         inner = np.lib.stride_tricks.sliding_window_view(values, width)[start]
-        at = start + np.argmax(inner == low[start, None], axis=1)
-        out.append((mix(low[start], 200 + k), start, np.append(start[1:], len(low)) - 1 + width, at))
+        at = start + np.argmax(inner == low[begins, None], axis=1)
+        # a text begins a run, so no run reaches beyond its text
+        end = at_all[np.append(begins[1:], len(low)) - 1] + width
+        out.append((mix(low[begins], 200 + k), start, end, at))
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _texts(batches: Batches) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _texts(batches: Batches, least: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, words, first word and number of words of each text, the texts with ``least`` words)."""
     for batch in batches:
         for part in chunks(batch, "text"):
             words, first = word_hashes(*flat(part.column("text")))
-            yield part, [words[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+            sizes = np.diff(first)
+            yield part, words, first[:-1], sizes, np.flatnonzero(sizes >= least)
+
+
+class _Once:
+    """Which texts come for the first time in a task, as far as ``MOST_SEEN`` texts go."""
+
+    def __init__(self):
+        self.seen: set[int] = set()
+
+    def __call__(self, nodes: np.ndarray) -> np.ndarray:
+        new = []
+        for i, node in enumerate(nodes.tolist()):
+            if node not in self.seen:
+                new.append(i)
+                if len(self.seen) < MOST_SEEN:
+                    self.seen.add(node)
+        return np.array(new, np.int64)
 
 
 def _describing(least: int) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
-        for part, texts in _texts(batches):
-            nodes = [text_node(w) if len(w) >= least else None for w in texts]
+        for part, words, first, sizes, long in _texts(batches, least):
+            nodes = np.zeros(len(sizes), np.int64)
+            nodes[long] = text_nodes(words, first[long], sizes[long])
             yield pa.RecordBatch.from_arrays(
-                [part.column("key"), pa.array(nodes, pa.int64()), pa.array([len(w) for w in texts], pa.int64())],
+                [part.column("key"), pa.array(nodes, pa.int64(), mask=sizes < least), pa.array(sizes.astype(np.int64))],
                 ["key", "node", "n_words"],
             )
 
@@ -129,19 +169,16 @@ def _windowing(least: int) -> Callable[[Batches], Batches]:
     width = least - SHINGLE + 1
 
     def run(batches: Batches) -> Batches:
-        seen: set[int] = set()
-        for _, texts in _texts(batches):
-            rows = []
-            for words in texts:
-                if len(words) < least or (node := text_node(words)) in seen:
-                    continue
-                if len(seen) < 1 << 20:
-                    seen.add(node)
-                sig, lo, hi, at = signatures(sequence(words), width)
-                place = lo | (hi - lo) << 32 | (at - lo) << 48
-                rows.append((sig.view(np.int64), np.full(len(sig), node), place))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows)], ["sig", "node", "place"])
+        once = _Once()
+        for _, words, first, sizes, long in _texts(batches, least):
+            nodes = text_nodes(words, first[long], sizes[long])
+            new = once(nodes)
+            if len(new):
+                starts = first[long[new]]
+                sig, lo, hi, at = signatures(sequence(words), width, starts, sizes[long[new]] - SHINGLE + 1)
+                text = np.searchsorted(starts, lo, side="right") - 1
+                place = lo - starts[text] | (hi - lo) << 32 | (at - lo) << 48
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (sig.view(np.int64), nodes[new][text], place)], ["sig", "node", "place"])
 
     return run
 
@@ -150,22 +187,16 @@ def _sequences(least: int, bits) -> Callable[[Batches], Batches]:
     """(node, shingles as 32-bit numbers) of the texts that pass the filter, once a task."""
 
     def run(batches: Batches) -> Batches:
-        seen: set[int] = set()
-        for _, texts in _texts(batches):
-            nodes, kept = [], []
-            for words in texts:
-                if len(words) < least or (node := text_node(words)) in seen:
-                    continue
-                if passes(bits.value, np.array([node]), FILTER_BITS)[0]:
-                    if len(seen) < 1 << 20:
-                        seen.add(node)
-                    nodes.append(node)
-                    kept.append((sequence(words) >> U64(32)).astype(np.uint32))
-            if nodes:
-                ends = np.append(0, np.cumsum([len(k) for k in kept])) * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), binary(np.concatenate(kept).view(np.uint8), ends)], ["node", "seq"]
-                )
+        once = _Once()
+        for _, words, first, sizes, long in _texts(batches, least):
+            nodes = text_nodes(words, first[long], sizes[long])
+            asked = np.flatnonzero(passes(bits.value, nodes, FILTER_BITS))
+            new = asked[once(nodes[asked])]
+            if len(new):
+                many = sizes[long[new]] - SHINGLE + 1
+                kept = (sequence(words)[gather(first[long[new]], many)] >> U64(32)).astype(np.uint32)
+                ends = np.append(0, np.cumsum(many)) * 4
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[new]), binary(kept.view(np.uint8), ends)], ["node", "seq"])
 
     return run
 
@@ -372,24 +403,36 @@ def _in_texts(found: DataFrame, held: DataFrame) -> DataFrame:
 
 
 def _with_heads(active: DataFrame, round_no: int) -> DataFrame:
-    """``active`` with a mark on the heads of each group, which are open windows."""
-    order = Window.partitionBy("sig").orderBy(F.col("open").desc(), F.xxhash64("node", F.lit(round_no)), "node", "lo", "hi")
-    return active.withColumn("head", F.col("open") & (F.row_number().over(order) <= HEADS * GROWTH**round_no))
+    """``active`` with a mark on the heads of each group, and on the windows that will have met the whole group."""
+    order = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(round_no)), "node", "lo", "hi")
+    most = HEADS * GROWTH**round_no
+    met = F.count(F.lit(1)).over(Window.partitionBy("sig")) <= most
+    if round_no == 0:  # all windows are open, so the heads meet all of them
+        met |= F.col("head")
+    return active.withColumn("head", F.row_number().over(order) <= most).withColumn("met", met)
 
 
 def _pairs(placed: DataFrame, around: int) -> DataFrame:
-    """(x, y, lo, hi, ylo, yhi): the groups' texts with the groups' heads, once each.
+    """(x, y, lo, hi, ylo, yhi): the groups' open windows with the groups' heads, once each.
 
     ``around`` shingles on both sides come along, so that a passage is seen to its ends.
     """
     group = Window.partitionBy("sig")
-    heads = F.collect_list(F.when(F.col("head"), F.struct("node", "lo", "hi"))).over(group)
-    return (
+    heads = F.collect_list(F.when(F.col("head"), F.struct("node", "lo", "hi", "open"))).over(group)
+    met = (
         placed.withColumn("heads", heads)
+        .where("open")
         .select("node", "lo", "hi", "head", F.explode("heads").alias("y"))
-        .where("y.node <> node AND NOT (head AND node < y.node)")
-        .groupBy(F.col("node").alias("x"), F.col("y.node").alias("y"))
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("y.lo").alias("ylo"), F.max("y.hi").alias("yhi"))
+        .where("y.node <> node AND NOT (head AND y.open AND node < y.node)")
+    )
+    return _hulls(met.selectExpr("node AS x", "y.node AS y", "lo", "hi", "y.lo AS ylo", "y.hi AS yhi"), around)
+
+
+def _hulls(met: DataFrame, around: int) -> DataFrame:
+    """The pairs of ``met`` once each, with ``around`` shingles on both sides."""
+    return (
+        met.groupBy("x", "y")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("ylo").alias("ylo"), F.max("yhi").alias("yhi"))
         .select(
             "x",
             "y",
@@ -432,11 +475,164 @@ def _left_open(placed: DataFrame, found: DataFrame) -> DataFrame:
     covered = F.expr(f"node = held AND `from` <= at AND at + {SHINGLE} <= `to`")
     return (
         placed.join(held, covered, "left")
-        .withColumn("open", F.expr("open AND NOT head AND held IS NULL"))
+        .withColumn("open", F.expr("open AND NOT met AND held IS NULL"))
+        .withColumn("any", F.max("open").over(Window.partitionBy("sig")))
+        .where("any")
+        .select("sig", "node", "lo", "hi", "at", "open")
+    )
+
+
+def _members(bits=None, n_bits: int = 0) -> Callable[[Batches], Batches]:
+    """(key, node, lo, hi): the shingles around the windows, each named together with its group; those that pass the filter."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            of, keys, _ = _keys(batch)
+            if bits is not None:
+                hits = np.flatnonzero(passes(bits.value, keys, n_bits))
+                of, keys = of[hits], keys[hits]
+            columns = [batch.column(c).take(pa.array(of)) for c in ("node", "lo", "hi")]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *columns], ["key", "node", "lo", "hi"])
+
+    return run
+
+
+def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, place in the text) of the shingles in ``near``."""
+    data, ends = flat(batch.column("near"))
+    sizes = np.diff(ends) // 4
+    shingles = np.frombuffer(data.tobytes(), np.uint32)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    place = gather(batch.column("first").to_numpy().astype(np.int64), sizes)
+    real = np.flatnonzero(shingles)  # zeros part the stretches
+    of, place = of[real], place[real]
+    group = batch.column("sig").to_numpy().view(U64)[of]
+    return of, mix(group ^ mix(shingles[real].astype(U64), 61), 62).view(np.int64), place
+
+
+def _asking(width: int) -> Callable[[Batches], Batches]:
+    """(sig, node, at, lo, hi, place, key): the shingles that ``width`` shingles with the minimum among them can hold."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            of, keys, place = _keys(batch)
+            place = place - batch.column("at").to_numpy()[of] + width - 1
+            hits = np.flatnonzero((place >= 0) & (place < 2 * width - 1))
+            names = ["sig", "node", "at", "lo", "hi"]
+            columns = [batch.column(c).take(pa.array(of[hits])) for c in names]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(place[hits].astype(np.int32)), pa.array(keys[hits])], [*names, "place", "key"]
+            )
+
+    return run
+
+
+def rarest(others: np.ndarray, width: int, needed: int) -> np.ndarray:
+    """Places of which any text that has ``needed`` of some ``width`` neighbours has one at least.
+
+    ``others`` says how many other texts have each. Of any ``width`` neighbours, all but
+    ``needed`` and one more are taken, those that no text has first, then the rarest.
+    """
+    rows = np.lib.stride_tricks.sliding_window_view(others, width)
+    order = np.argsort(rows, axis=1, kind="stable")[:, : width - needed + 1]
+    counts = np.take_along_axis(rows, order, axis=1)
+    can = counts[:, -1] > 0  # else too many are in no other text
+    taken = (order + np.arange(len(rows))[:, None])[can][counts[can] > 0]
+    return np.unique(taken)
+
+
+def repetitive(keys: np.ndarray, width: int, needed: int) -> bool:
+    """Whether some ``width`` neighbours have fewer than ``needed`` different keys (0: all different)."""
+    _, same = np.unique(keys, return_inverse=True)
+    order = np.argsort(same, kind="stable")
+    before = np.full(len(keys), -1)
+    again = np.flatnonzero(same[order[1:]] == same[order[:-1]])
+    before[order[again + 1]] = order[again]
+    before[keys == 0] = -1
+    rows = np.lib.stride_tricks.sliding_window_view(before, width)
+    return bool(((rows < np.arange(len(rows))[:, None]).sum(axis=1) < needed).any())
+
+
+def _choosing(width: int, needed: int) -> Callable[[Batches], Batches]:
+    """(sig, node, at, lo, hi, key, cost): the keys of the rarest shingles of each window and the number of texts that have them."""
+    names = ["sig", "node", "at", "lo", "hi"]
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            held = batch.column("held")
+            ends = held.offsets.to_numpy()
+            place, key, n = (held.values.field(c).to_numpy() for c in ("place", "key", "n"))
+            of, keys, cost = [], [], []
+            for i in range(len(batch)):
+                own = slice(ends[i], ends[i + 1])
+                others, named = np.zeros(2 * width - 1, np.int64), np.zeros(2 * width - 1, np.int64)
+                others[place[own]], named[place[own]] = n[own] - 1, key[own]
+                if repetitive(named, width, needed):
+                    taken, price = np.array([width - 1]), NOT_CHOSEN
+                else:
+                    taken = rarest(others, width, needed)
+                    price = others[taken].sum()
+                of.append(np.full(len(taken), i))
+                keys.append(named[taken])
+                cost.append(np.full(len(taken), price))
+            if of:
+                of = np.concatenate(of)
+                columns = [batch.column(c).take(pa.array(of)) for c in names]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, *(pa.array(np.concatenate(x)) for x in (keys, cost))], [*names, "key", "cost"]
+                )
+
+    return run
+
+
+def _by_rarest(active: DataFrame, seqs: DataFrame, width: int, needed: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """(``active`` with fewer open windows, pairs that settle the others).
+
+    A text that shares ``needed`` of ``width`` shingles with a window lacks few of them, so it
+    has one at least of the rarest. Windows that no text of their group can complete are
+    closed, and those whose rarest shingles are in ``most`` texts of the group at most are
+    compared with these texts.
+    """
+    first = F.greatest(F.col("lo") - width, F.lit(0))
+    near = materialise(
+        seqs.join(active, "node")
+        .withColumn("first", first)
+        .withColumn("near", F.expr(f"substring(seq, first * 4 + 1, (hi + {width} - first) * 4)"))
+        .select("sig", "node", "lo", "hi", "at", "open", "first", "near")
+        # a group's rows meet in a few tasks, and are summed up there before the shuffle
+        .repartition("sig", F.expr("pmod(xxhash64(node), 8)"))
+    )
+    shared = (
+        near.mapInArrow(_members(), "key long, node long, lo int, hi int")
+        .groupBy("key")
+        .agg(F.min("node").alias("least"), F.max("node").alias("largest"), F.count(F.lit(1)).alias("n"))
+        .where("least <> largest")
+        .select("key", "n")
+    )
+    asked = near.where("open").mapInArrow(_asking(width), "sig long, node long, at int, lo int, hi int, place int, key long")
+    chosen = materialise(
+        asked.join(shared, "key")
+        .groupBy("sig", "node", "at", "lo", "hi")
+        .agg(F.collect_list(F.struct("place", "key", "n")).alias("held"))
+        .mapInArrow(_choosing(width, needed), "sig long, node long, at int, lo int, hi int, key long, cost long")
+    )
+    few = chosen.where(f"cost <= {most}")
+    n_bits = min(max(1 << 20, 1 << (8 * chosen.count()).bit_length()), MOST_BITS)
+    bits = seqs.sparkSession.sparkContext.broadcast(bit_filter(few, "key", n_bits))
+    theirs = near.mapInArrow(_members(bits, n_bits), "key long, node long, lo int, hi int").toDF("key", "y", "ylo", "yhi")
+    # each pair once, the smaller text first
+    swapped = {"x": ("node", "y"), "y": ("y", "node"), "lo": ("lo", "ylo"), "hi": ("hi", "yhi"), "ylo": ("ylo", "lo"), "yhi": ("yhi", "hi")}
+    both = few.join(theirs, "key").where("node <> y")
+    pairs = _hulls(both.select(*[F.expr(f"IF(node < y, {a}, {b})").alias(c) for c, (a, b) in swapped.items()]), width)
+    still = chosen.where(f"cost > {most}").select("sig", "node", "at", F.lit(True).alias("still")).distinct()
+    left = (
+        active.join(still, ["sig", "node", "at"], "left")
+        .withColumn("open", F.expr("open AND still IS NOT NULL"))
         .withColumn("any", F.max("open").over(Window.partitionBy("sig")))
         .where("any")
         .select("sig", "node", "lo", "hi", "at", "open")
     )
+    return left, pairs
 
 
 def repeated_passages(
@@ -478,6 +674,10 @@ def repeated_passages(
         found = more if found is None else found.union(more)
         active = materialise(_left_open(placed, found))
         round_no += 1
+        if not active.isEmpty():
+            left, pairs = _by_rarest(active, seqs, width, needed_of(width, similarity), HEADS * GROWTH**round_no)
+            found = found.union(materialise(_compare(seqs, materialise(pairs), least, similarity)))
+            active = materialise(left)
     copies = classes.where("copies > 1").select(
         "node", F.col("node").alias("other"), F.lit(0).cast("long").alias("lo"), F.col("n_words").alias("hi")
     )

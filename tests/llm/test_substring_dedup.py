@@ -63,6 +63,61 @@ def test_texts_that_share_a_phrase_only_are_never_compared(spark, monkeypatch):
     assert got == {1000, 1001} and sum(compared) < 10
 
 
+def test_near_copies_without_a_partner_are_not_compared_with_the_whole_group(spark, monkeypatch):
+    rng = random.Random(27)
+    base, rows = prose(rng, 200, 10**6).split(), []
+    # copies of one text, changed too often for a passage but in their last 70 words; what was changed is also found elsewhere
+    for i in range(120):
+        words = list(base)
+        for at in range(rng.randrange(5, 20), 130, 18):
+            words[at] = f"own{i}x{at}"
+        own = [" ".join(words[at - 4 : at + 9]) for at in range(5, 130) if words[at] != base[at]]
+        rows.append((i, " ".join(words)))
+        rows.append((1000 + i, " ".join(f"{prose(rng, 30, 10**6)} {x}" for x in own)))
+    compared = []
+    hulls = sd._hulls
+    monkeypatch.setattr(sd, "_hulls", lambda *a: compared.append(hulls(*a).count()) or hulls(*a))
+    got = sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id for r in got} == set(range(120))
+    assert all(r.start_word >= 95 and r.end_word == 200 for r in got)
+    # all pairs of the copies are 7140; heads compared with the whole group made 18296
+    assert sum(compared) < 7140 // 2
+
+
+def test_any_text_with_enough_in_common_has_one_of_the_rarest():
+    rng = np.random.default_rng(3)
+    for width, needed in ((6, 4), (46, 41)):
+        for _ in range(300):
+            n = 2 * width - 1
+            texts = rng.random((12, n)) < rng.choice([0.5, 0.8, 0.95])
+            taken = sd.rarest(texts.sum(axis=0), width, needed)
+            sums = np.lib.stride_tricks.sliding_window_view(texts, width, axis=1).sum(axis=2)
+            partners = (sums >= needed).any(axis=1)
+            assert texts[partners][:, taken].any(axis=1).all()
+
+
+def test_which_stretches_repeat_themselves():
+    assert not sd.repetitive(np.arange(1, 12), 6, 4) and not sd.repetitive(np.zeros(11, np.int64), 6, 4)
+    assert sd.repetitive(np.array([1, 2, 3, 4, 5, 6, 6, 6, 6, 7, 8]), 6, 4)
+    assert not sd.repetitive(np.array([1, 2, 3, 4, 5, 6, 1, 2, 3, 4, 5]), 6, 4)
+
+
+def test_texts_of_a_chunk_have_the_signatures_they_have_alone():
+    rng = random.Random(28)
+    texts = ["", prose(rng, 50, 10**6), "a b", "la " * 90, prose(rng, 400, 50), prose(rng, 49, 10**6), prose(rng, 60, 10**6)]
+    words, ends = sd.word_hashes(*sd.flat(pa.array(texts)))
+    first, sizes = ends[:-1], np.diff(ends)
+    long = np.flatnonzero(sizes >= 50)
+    sig, lo, hi, at = sd.signatures(sd.sequence(words), 46, first[long], sizes[long] - 4)
+    nodes = sd.text_nodes(words, first[long], sizes[long])
+    want = set()
+    for i, node in zip(long.tolist(), nodes.tolist()):
+        own = hashes(texts[i])
+        assert sd.text_nodes(own, np.array([0]), np.array([len(own)])).tolist() == [node]
+        want |= {(int(s), *(int(x) + int(first[i]) for x in r)) for s, *r in zip(*sd.signatures(sd.sequence(own), 46))}
+    assert set(zip(*(x.tolist() for x in (sig, lo, hi, at)))) == want
+
+
 def test_near_passages_against_brute_force(spark):
     rng = random.Random(25)
     rows, want = [], set()
