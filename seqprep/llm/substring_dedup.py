@@ -14,12 +14,14 @@ Texts are grouped by signature. Of the shingles of a passage nearly all occur in
 text, inside windows that share a signature: 41 of 46 at the least. So the shingles of all grouped
 windows are counted, and a window stays open only if its minimum lies in 46 shingles of
 which 41 occur in several texts. That loses no pair, and texts that share a phrase and
-nothing around it are not compared at all. In each round, some open windows of a group are its
-heads: all others are compared with them. A window is closed once it was a head, or once
-a verified passage of its text covers the minimum that put it into the group. Rounds go
-on, with more heads each time, until no window is open: so a group whose texts repeat a
-passage takes one round, and one of texts that are in it by chance is compared in full,
-at a cost of its square. Pairs are compared on the stretches their windows cover: a passage counts where
+nothing around it are not compared at all. At first all windows of a group are compared with
+a few of them, its heads. A window is closed once a verified passage of its text covers the
+minimum that put it into the group. For those that stay open it is counted how many texts of
+the group have each shingle around them. A window closes if no 46 shingles in a row have 41 that
+others have; else any partner has one of the rarest, and if these are in few texts, the window is
+compared with all of them, and is done. The others go on to rounds with more heads each time; one
+whose shingles repeat themselves only meets heads. Where neither helps, a window is compared with
+its whole group at last. Pairs are compared on the stretches their windows cover: a passage counts where
 every ``least`` shingles in a row share enough with the other text for a similarity
 of 0.8, on both sides.
 
