@@ -19,9 +19,10 @@ a few of them, its heads. A window is closed once a verified passage of its text
 minimum that put it into the group. For those that stay open it is counted how many texts of
 the group have each shingle around them. A window closes if no 46 shingles in a row have 41 that
 others have; else any partner has one of the rarest, and if these are in few texts, the window is
-compared with all of them, and is done. The others go on to rounds with more heads each time; one
-whose shingles repeat themselves only meets heads. Where neither helps, a window is compared with
-its whole group at last. Pairs are compared on the stretches their windows cover: a passage counts where
+compared with all of them, and is done. The others are compared with some of these texts, in each
+next round with more, until they have met all. A window whose shingles repeat themselves asks, and is
+compared with, the whole texts of its group, as far as they were cut out.
+Else pairs are compared on the stretches their windows cover: a passage counts where
 every ``least`` shingles in a row share enough with the other text for a similarity
 of 0.8, on both sides.
 
@@ -39,6 +40,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,11 +53,11 @@ LEAST_WORDS = 50
 SIMILARITY = 0.8
 #: Hash functions; each makes signatures of its own.
 HASHES = 4
-#: Heads of a group in the first round, and how many times more there are in each next one.
-HEADS, GROWTH = 2, 4
+#: Heads of a group in the first round, and how many times more texts a window may meet in each next one.
+HEADS, GROWTH = 2, 8
 FILTER_BITS = 1 << 23
-#: The cost of a window that repeats itself: it is compared with heads only.
-NOT_CHOSEN = 1 << 62
+#: How a shingle is named with a group: it is beside a text's window in that group, or anywhere beside windows.
+NEAR, ANYWHERE = 62, 63
 #: Texts that a task knows again as copies; later ones are dropped after the shuffle.
 MOST_SEEN = 1 << 20
 #: Longest run of subsequences in one window.
@@ -63,6 +65,11 @@ LONGEST_RUN = 1 << 12
 #: Most bits of the filter of shingles that several texts have: 32 MB, whatever the input.
 MOST_BITS = 1 << 28
 
+#: Shingles of pairs that are compared at once, at least one pair's.
+MOST_COMPARED = 1 << 19
+#: Parts of the shingles by their first bits, each of them counted in one task.
+PARTS = 1 << 10
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -203,21 +210,41 @@ def _sequences(least: int, bits) -> Callable[[Batches], Batches]:
     return run
 
 
-def passages(own: np.ndarray, other: np.ndarray, width: int, needed: int) -> list[tuple[int, int]]:
-    """Where each ``width`` shingles of ``own`` have ``needed`` in common with ``other``."""
-    common = np.isin(own, other) & (own != 0)
-    if len(own) < width:
-        return []
-    sums = np.append(0, np.cumsum(common))
-    dense = np.flatnonzero(sums[width:] - sums[:-width] >= needed)
+def passages(
+    own: np.ndarray, first: np.ndarray, other: np.ndarray, other_first: np.ndarray, width: int, needed: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, lo, hi): where each ``width`` shingles of a pair's ``own`` have ``needed`` in common with its ``other``.
+
+    ``first`` and ``other_first`` say where the pairs' shingles begin, and where the last ones end.
+    """
+
+    def named(shingles: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return np.repeat(np.arange(len(ends) - 1, dtype=U64) << U64(32), np.diff(ends)) | shingles
+
+    mine, theirs = named(own, first), np.sort(named(other, other_first))
+    common = own != 0
+    if len(theirs):
+        common &= theirs[np.minimum(np.searchsorted(theirs, mine), len(theirs) - 1)] == mine
+    else:
+        common[:] = False
+    dense = dense_places(common, first, width, needed)
+    pair = np.searchsorted(first, dense, side="right") - 1
     if not len(dense):
-        return []
-    breaks = np.flatnonzero(np.diff(dense) > width)
-    found = []
-    for a, b in zip(np.append(dense[0], dense[breaks + 1]), np.append(dense[breaks], dense[-1])):
-        hits = np.flatnonzero(common[a : b + width])
-        found.append((int(a + hits[0]), int(a + hits[-1] + 1)))
-    return found
+        return pair, dense, dense
+    breaks = np.flatnonzero((np.diff(dense) > width) | (np.diff(pair) > 0))
+    begins, ends = np.append(0, breaks + 1), np.append(breaks, len(dense) - 1)
+    hits = np.flatnonzero(common)
+    lo = hits[np.searchsorted(hits, dense[begins])]
+    hi = hits[np.searchsorted(hits, dense[ends] + width) - 1] + 1
+    pair = pair[begins]
+    return pair, lo - first[pair], hi - first[pair]
+
+
+def dense_places(marked: np.ndarray, first: np.ndarray, width: int, needed: int) -> np.ndarray:
+    """Where ``width`` places of a text with ``needed`` marked ones begin; ``first`` as in ``passages``."""
+    sums = np.append(0, np.cumsum(marked))
+    inside = gather(first[:-1], np.maximum(np.diff(first) - width + 1, 0))
+    return inside[sums[inside + width] - sums[inside] >= needed]
 
 
 def _verifying(least: int, similarity: float) -> Callable[[Batches], Batches]:
@@ -227,23 +254,36 @@ def _verifying(least: int, similarity: float) -> Callable[[Batches], Batches]:
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
+            (own, ends), (theirs, their_ends) = (shingles_of(batch.column(c)) for c in ("own", "theirs"))
+            x, y, lo, ylo = (batch.column(c).to_numpy() for c in ("x", "y", "lo", "ylo"))
             out = []
-            own, theirs = batch.column("own"), batch.column("theirs")
-            ids = zip(*(batch.column(c).to_pylist() for c in ("x", "y", "lo", "ylo")))
-            for i, (node, other, lo, ylo) in enumerate(ids):
-                # the sequences are read where they lie, one pair at a time
-                x, y = (np.frombuffer(c[i].as_buffer(), np.uint32) for c in (own, theirs))
-                mine = passages(x, y, width, needed)
-                others = passages(y, x, width, needed) if mine else []
-                if others:
-                    out += [(node, other, a + lo, b + lo + SHINGLE - 1) for a, b in mine]
-                    out += [(other, node, a + ylo, b + ylo + SHINGLE - 1) for a, b in others]
-            columns = zip(*out) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "other", "lo", "hi"])
+            # some pairs at a time, however long their stretches are
+            for part in _parts(ends[1:] + their_ends[1:]) if len(batch) else ():
+                a, b = part[0], part[-1] + 1
+                mine = own[ends[a] : ends[b]], ends[a : b + 1] - ends[a]
+                others = theirs[their_ends[a] : their_ends[b]], their_ends[a : b + 1] - their_ends[a]
+                of, *spans = passages(*mine, *others, width, needed)
+                their_of, *their_spans = passages(*others, *mine, width, needed)
+                for node, other, at, pair, (start, end), met in (
+                    (x, y, lo, of + a, spans, np.isin(of, their_of)),
+                    (y, x, ylo, their_of + a, their_spans, np.isin(their_of, of)),
+                ):
+                    pair = pair[met]
+                    out.append((node[pair], other[pair], start[met] + at[pair], end[met] + at[pair] + SHINGLE - 1))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)], ["node", "other", "lo", "hi"]
+                )
 
     return run
 
 
+def shingles_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(32-bit shingles, offsets) of a binary column."""
+    data, ends = flat(column)
+    return data.view(np.uint32), ends // 4
+
+
 def needed_of(width: int, similarity: float) -> int:
     """How many of ``width`` shingles two passages of that similarity have in common."""
     return int(np.ceil(2 * similarity * width / (1 + similarity) - 1e-9))
@@ -317,22 +357,43 @@ def _cutting(around: int) -> Callable[[Batches], Batches]:
     return run
 
 
-def _held(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], dict[str, np.ndarray]]]:
-    """(node, shingles, starts and froms, windows) of rows of ``HELD``."""
-    cut, windows = batch.column("cut"), batch.column("windows")
-    ends = windows.offsets.to_numpy()
-    fields_of = {c: windows.values.field(c).to_numpy() for c in ("sig", "lo", "hi", "at")}
-    for i, node in enumerate(batch.column("node").to_pylist()):
-        places = [batch.column(c)[i].values.to_numpy() for c in ("starts", "froms")]
-        yield node, np.frombuffer(cut[i].as_buffer(), np.uint32), places, {c: v[ends[i] : ends[i + 1]] for c, v in fields_of.items()}
+def _covered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """(shingles of all texts, where the texts begin, windows with their places among all shingles) of rows of ``HELD``."""
+    seq, first = shingles_of(batch.column("cut"))
+    windows = batch.column("windows")
+    shift = np.repeat(first[:-1], np.diff(windows.offsets.to_numpy()))
+    values = windows.flatten()
+    return seq, first, {c: values.field(c).to_numpy() + shift for c in ("lo", "hi", "at")}
+
+
+def _union(lo: np.ndarray, hi: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` places some stretches cover."""
+    return np.cumsum(np.bincount(lo, minlength=n + 1) - np.bincount(hi, minlength=n + 1))[:n] > 0
 
 
 def _shingles(batches: Batches) -> Batches:
-    """(shingle, node): the shingles of all windows of a text, once each."""
+    """(part, shingles): the shingles of all windows in order, each once for a text but at most twice a batch."""
     for batch in batches:
-        for node, seq, _, at in _held(batch):
-            found = np.unique(np.concatenate([seq[a:b] for a, b in _spans(at["lo"], at["hi"])]))
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(np.full(len(found), node))], ["shingle", "node"])
+        seq, first, at = _covered(batch)
+        places = np.flatnonzero(_union(at["lo"], at["hi"], len(seq)))
+        text = np.repeat(np.arange(len(first) - 1, dtype=U64), np.diff(first))[places]
+        # a shingle and a text as one number
+        found = (np.unique(seq[places].astype(U64) << U64(32) | text) >> U64(32)).astype(np.uint32)
+        found = found[np.append([True, True], found[2:] != found[:-2])[: len(found)]]
+        part = found // np.uint32((1 << 32) // PARTS)
+        begins = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        ends = np.append(begins, len(found)) * 4
+        yield pa.RecordBatch.from_arrays([pa.array(part[begins].astype(np.int32)), binary(found.view(np.uint8), ends)], ["part", "shingles"])
+
+
+def _repeated(batches: Batches) -> Batches:
+    """The shingles that come twice or more, of all rows of the task."""
+    found = [shingles_of(batch.column("shingles"))[0] for batch in batches]
+    if found:
+        found = np.sort(np.concatenate(found))
+        again = np.unique(found[1:][found[1:] == found[:-1]])
+        for a in range(0, len(again), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(again[a : a + (1 << 16)].astype(np.int64))], ["shingle"])
 
 
 def _answered(bits, n_bits: int, width: int, needed: int) -> Callable[[Batches], Batches]:
@@ -340,19 +401,18 @@ def _answered(bits, n_bits: int, width: int, needed: int) -> Callable[[Batches],
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            out = []
-            for node, seq, places, at in _held(batch):
-                again = passes(bits.value, seq.astype(np.int64), n_bits) & (seq != 0)
-                sums = np.append(0, np.cumsum(again))
-                dense = np.flatnonzero(sums[width:] - sums[:-width] >= needed)
-                cover = np.zeros(len(seq) + 1, np.int64)
-                np.add.at(cover, dense, 1)
-                np.add.at(cover, dense + width, -1)
-                stays = np.flatnonzero(np.cumsum(cover)[at["at"]] > 0)
-                if len(stays):
-                    out.append((node, seq, *places, *(at[c][stays] for c in ("sig", "lo", "hi", "at"))))
-            if out:
-                yield _packed(out)
+            seq, first, at = _covered(batch)
+            again = passes(bits.value, seq.astype(np.int64), n_bits) & (seq != 0)
+            dense = dense_places(again, first, width, needed)
+            stays = _union(dense, dense + width, len(seq))[at["at"]]
+            windows = batch.column("windows")
+            of = np.repeat(np.arange(len(batch)), np.diff(windows.offsets.to_numpy()))
+            many = np.bincount(of[stays], minlength=len(batch))
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(many)).astype(np.int32)), windows.flatten().filter(pa.array(stays))
+            )
+            kept = pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], batch.schema.names)
+            yield kept.filter(pa.array(many > 0))
 
     return run
 
@@ -383,11 +443,7 @@ def _pruned(held: DataFrame, least: int, similarity: float) -> DataFrame:
     """
     width = least - SHINGLE + 1
     repeated = materialise(
-        held.mapInArrow(_shingles, "shingle long, node long")
-        .groupBy("shingle")
-        .agg(F.min("node").alias("least"), F.max("node").alias("most"))
-        .where("least <> most")
-        .select("shingle")
+        held.mapInArrow(_shingles, "part int, shingles binary").repartition("part").mapInArrow(_repeated, "shingle long")
     )
     n_bits = min(max(1 << 20, 1 << (8 * repeated.count()).bit_length()), MOST_BITS)
     bits = held.sparkSession.sparkContext.broadcast(bit_filter(repeated, "shingle", n_bits))
@@ -404,14 +460,11 @@ def _in_texts(found: DataFrame, held: DataFrame) -> DataFrame:
     )
 
 
-def _with_heads(active: DataFrame, round_no: int) -> DataFrame:
+def _with_heads(active: DataFrame) -> DataFrame:
     """``active`` with a mark on the heads of each group, and on the windows that will have met the whole group."""
-    order = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(round_no)), "node", "lo", "hi")
-    most = HEADS * GROWTH**round_no
-    met = F.count(F.lit(1)).over(Window.partitionBy("sig")) <= most
-    if round_no == 0:  # all windows are open, so the heads meet all of them
-        met |= F.col("head")
-    return active.withColumn("head", F.row_number().over(order) <= most).withColumn("met", met)
+    order = Window.partitionBy("sig").orderBy(F.xxhash64("node", F.lit(0)), "node", "lo", "hi")
+    met = F.expr("head") | (F.count(F.lit(1)).over(Window.partitionBy("sig")) <= HEADS)
+    return active.withColumn("head", F.row_number().over(order) <= HEADS).withColumn("met", met)
 
 
 def _pairs(placed: DataFrame, around: int) -> DataFrame:
@@ -484,47 +537,130 @@ def _left_open(placed: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _members(bits=None, n_bits: int = 0) -> Callable[[Batches], Batches]:
-    """(key, node, lo, hi): the shingles around the windows, each named together with its group; those that pass the filter."""
+class _Windows:
+    """The texts of a batch of (node, seq, windows) and their windows, with places among the shingles of all texts."""
+
+    def __init__(self, batch: pa.RecordBatch, width: int):
+        self.seq, first = shingles_of(batch.column("seq"))
+        windows = batch.column("windows")
+        self.text = np.repeat(np.arange(len(batch)), np.diff(windows.offsets.to_numpy()))
+        self.node = batch.column("node").to_numpy()[self.text]
+        values = windows.flatten()
+        self.sig, self.lo, self.hi, self.at, self.open = (
+            values.field(c).to_numpy(zero_copy_only=False) for c in ("sig", "lo", "hi", "at", "open")
+        )
+        self.first, self.end = first[self.text], first[self.text + 1]
+        # ``width`` shingles beside a window belong to it
+        self.near = np.maximum(self.lo - width, 0) + self.first
+        self.far = np.minimum(self.hi + width + self.first, self.end)
+
+
+def _named(sig: np.ndarray, shingles: np.ndarray, seed: int) -> np.ndarray:
+    """Shingles together with their groups; zeros, which part the stretches, as all texts of a group."""
+    return mix(sig.view(U64) ^ mix(shingles.astype(U64), 61), seed)
+
+
+#: The bits of a broadcast filter and their number.
+Filter = tuple[Broadcast, int]
+
+
+def _asked(w: _Windows, width: int, groups: Filter, named: Filter) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """(window, key, whether the whole text is meant): the shingles that texts have in their groups, of those that ``named`` lets through.
+
+    ``groups`` says in which groups a window repeats itself.
+    """
+    sizes = w.far - w.near
+
+    def asked(keys: np.ndarray) -> np.ndarray:
+        return passes(named[0].value, keys, named[1])
+
+    def beside(of: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(of, sizes[of])
+        keys = _named(w.sig[row], w.seq[gather(w.near[of], sizes[of])], seed)
+        hits = np.flatnonzero(asked(keys))
+        return row[hits], keys[hits]
+
+    for of in _parts(np.cumsum(sizes)):
+        yield *beside(of, NEAR), False
+    every = _named(w.sig, np.zeros(len(w.sig)), ANYWHERE)
+    marked = np.flatnonzero(passes(groups[0].value, every, groups[1]))
+    for of in np.split(marked, np.flatnonzero(np.diff(w.text[marked])) + 1) if len(marked) else []:
+        own = np.unique(w.seq[w.first[of[0]] : w.end[of[0]]])
+        own = own[own != 0]
+        if len(of) * len(own) > MOST_COMPARED:  # a long text names what its windows ask, and is compared without being asked
+            hits = np.flatnonzero(asked(every[of]))
+            yield of[hits], every[of[hits]], True
+            for part in _parts(np.cumsum(sizes[of])):
+                yield *beside(of[part], ANYWHERE), True
+        else:
+            row = np.repeat(of, len(own))
+            keys = _named(w.sig[row], np.resize(own, len(row)), ANYWHERE)
+            hits = np.flatnonzero(asked(keys))
+            yield row[hits], keys[hits], True
+
+
+def _parts(ends: np.ndarray) -> Iterator[np.ndarray]:
+    """The numbers of some rows at a time, so that they hold about ``MOST_COMPARED``; ``ends`` sums up what they hold."""
+    cuts = np.flatnonzero(np.diff(ends // MOST_COMPARED)) + 1
+    return iter(np.split(np.arange(len(ends)), cuts))
+
+
+def _counts(width: int, groups: Filter) -> Callable[[Batches], Batches]:
+    """(key, n): how many texts of the batch have the shingles that pass the filter, each named with its group."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            of, keys, _ = _keys(batch)
-            if bits is not None:
-                hits = np.flatnonzero(passes(bits.value, keys, n_bits))
-                of, keys = of[hits], keys[hits]
-            columns = [batch.column(c).take(pa.array(of)) for c in ("node", "lo", "hi")]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *columns], ["key", "node", "lo", "hi"])
+            w = _Windows(batch, width)
+            found = [(keys, w.text[of]) for of, keys, _ in _asked(w, width, groups, groups)]
+            keys, text = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((text, keys))
+            keys, text = keys[order], text[order]
+            new = np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]))[: len(keys)]
+            keys, n = np.unique(keys[new], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "n"])
 
     return run
 
 
-def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, place in the text) of the shingles in ``near``."""
-    data, ends = flat(batch.column("near"))
-    sizes = np.diff(ends) // 4
-    shingles = np.frombuffer(data.tobytes(), np.uint32)
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    place = gather(batch.column("first").to_numpy().astype(np.int64), sizes)
-    real = np.flatnonzero(shingles)  # zeros part the stretches
-    of, place = of[real], place[real]
-    group = batch.column("sig").to_numpy().view(U64)[of]
-    return of, mix(group ^ mix(shingles[real].astype(U64), 61), 62).view(np.int64), place
+def _members(width: int, groups: Filter, named: Filter) -> Callable[[Batches], Batches]:
+    """(key, node, lo, hi): the texts that have the shingles that pass the filter, and the stretches to be compared."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            w = _Windows(batch, width)
+            for of, keys, whole in _asked(w, width, groups, named):
+                lo, hi = (np.zeros(len(of), np.int32), (w.end - w.first)[of].astype(np.int32)) if whole else (w.lo[of], w.hi[of])
+                columns = keys.view(np.int64), w.node[of], lo, hi
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "lo", "hi"])
+
+    return run
+
 
+def _asking(width: int, needed: int) -> Callable[[Batches], Batches]:
+    """(sig, node, at, lo, hi, place, key): the shingles that ``width`` shingles with the minimum among them can hold.
 
-def _asking(width: int) -> Callable[[Batches], Batches]:
-    """(sig, node, at, lo, hi, place, key): the shingles that ``width`` shingles with the minimum among them can hold."""
+    A window that repeats itself asks whole texts, and is one. Place -1 is the key of texts too long to name their shingles for each group.
+    """
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            of, keys, place = _keys(batch)
-            place = place - batch.column("at").to_numpy()[of] + width - 1
-            hits = np.flatnonzero((place >= 0) & (place < 2 * width - 1))
-            names = ["sig", "node", "at", "lo", "hi"]
-            columns = [batch.column(c).take(pa.array(of[hits])) for c in names]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(place[hits].astype(np.int32)), pa.array(keys[hits])], [*names, "place", "key"]
-            )
+            w = _Windows(batch, width)
+            for of in np.array_split(opened := np.flatnonzero(w.open), -(-len(opened) // 1000) or 1):
+                places = (w.at + w.first)[of][:, None] + np.arange(1 - width, width)
+                inside = (places >= w.first[of][:, None]) & (places < w.end[of][:, None])
+                shingles = np.where(inside, w.seq[np.where(inside, places, 0)], 0) if len(of) else np.zeros(places.shape, np.uint32)
+                again = np.array([repetitive(row, width, needed) for row in shingles], bool)
+                sig = np.repeat(w.sig[of], 2 * width - 1).reshape(places.shape)
+                keys = np.where(again[:, None], _named(sig, shingles, ANYWHERE), _named(sig, shingles, NEAR))
+                window, place = np.nonzero(shingles)
+                keys = np.append(keys[window, place], _named(w.sig[of[again]], np.zeros(again.sum()), ANYWHERE))
+                place = np.append(place, np.full(again.sum(), -1)).astype(np.int32)
+                lo = np.where(again, 0, w.lo[of]).astype(np.int32)
+                hi = np.where(again, (w.end - w.first)[of], w.hi[of]).astype(np.int32)
+                window = np.append(window, np.flatnonzero(again))
+                row = of[window]
+                columns = (w.sig[row], w.node[row], w.at[row], lo[window], hi[window], place, keys.view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "node", "at", "lo", "hi", "place", "key"])
 
     return run
 
@@ -566,75 +702,80 @@ def _choosing(width: int, needed: int) -> Callable[[Batches], Batches]:
             place, key, n = (held.values.field(c).to_numpy() for c in ("place", "key", "n"))
             of, keys, cost = [], [], []
             for i in range(len(batch)):
-                own = slice(ends[i], ends[i + 1])
+                own = np.arange(ends[i], ends[i + 1])
+                long, own = own[place[own] < 0], own[place[own] >= 0]
                 others, named = np.zeros(2 * width - 1, np.int64), np.zeros(2 * width - 1, np.int64)
                 others[place[own]], named[place[own]] = n[own] - 1, key[own]
-                if repetitive(named, width, needed):
-                    taken, price = np.array([width - 1]), NOT_CHOSEN
-                else:
-                    taken = rarest(others, width, needed)
-                    price = others[taken].sum()
-                of.append(np.full(len(taken), i))
-                keys.append(named[taken])
-                cost.append(np.full(len(taken), price))
+                taken = rarest(others, width, needed)
+                taken = taken[np.unique(named[taken], return_index=True)[1]]  # a shingle that repeats itself counts once
+                many = len(taken) + len(long)
+                of.append(np.full(many, i))
+                keys += [named[taken], key[long]]
+                cost.append(np.full(many, others[taken].sum() + n[long].sum()))
             if of:
                 of = np.concatenate(of)
                 columns = [batch.column(c).take(pa.array(of)) for c in names]
+                many = np.bincount(of, minlength=len(batch))[of]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, *(pa.array(np.concatenate(x)) for x in (keys, cost))], [*names, "key", "cost"]
+                    [*columns, *(pa.array(x) for x in (np.concatenate(keys), np.concatenate(cost), many))], [*names, "key", "cost", "many"]
                 )
 
     return run
 
 
 def _by_rarest(active: DataFrame, seqs: DataFrame, width: int, needed: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """(``active`` with fewer open windows, pairs that settle the others).
+    """(``active`` with fewer open windows, pairs of texts).
 
     A text that shares ``needed`` of ``width`` shingles with a window lacks few of them, so it
     has one at least of the rarest. Windows that no text of their group can complete are
-    closed, and those whose rarest shingles are in ``most`` texts of the group at most are
-    compared with these texts.
+    closed. Those whose rarest shingles are in ``most`` texts of the group at most are compared
+    with these texts, and are closed as well; the others with ``most`` of them, or one for each shingle.
     """
-    first = F.greatest(F.col("lo") - width, F.lit(0))
-    near = materialise(
-        seqs.join(active, "node")
-        .withColumn("first", first)
-        .withColumn("near", F.expr(f"substring(seq, first * 4 + 1, (hi + {width} - first) * 4)"))
-        .select("sig", "node", "lo", "hi", "at", "open", "first", "near")
-        # a group's rows meet in a few tasks, and are summed up there before the shuffle
-        .repartition("sig", F.expr("pmod(xxhash64(node), 8)"))
+    spark = active.sparkSession
+    windows = active.groupBy("node").agg(
+        F.collect_list(F.struct("sig", "lo", "hi", "at", "open")).alias("windows"), F.min("sig").alias("group")
     )
-    shared = (
-        near.mapInArrow(_members(), "key long, node long, lo int, hi int")
-        .groupBy("key")
-        .agg(F.min("node").alias("least"), F.max("node").alias("largest"), F.count(F.lit(1)).alias("n"))
-        .where("least <> largest")
-        .select("key", "n")
+    # texts of a group meet in a few tasks, and are counted there before the shuffle
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = materialise(
+        seqs.join(windows, "node")
+        .repartition(n_parts, F.col("group"), F.expr("pmod(xxhash64(node), 8)"))
+        .select("node", "seq", "windows")
     )
-    asked = near.where("open").mapInArrow(_asking(width), "sig long, node long, at int, lo int, hi int, place int, key long")
+    asked = texts.mapInArrow(_asking(width, needed), "sig long, node long, at int, lo int, hi int, place int, key long")
+
+    def filtering(keys: DataFrame, n: int) -> Filter:
+        n_bits = min(max(1 << 20, 1 << (8 * n).bit_length()), MOST_BITS)
+        return spark.sparkContext.broadcast(bit_filter(keys, "key", n_bits)), n_bits
+
+    groups = filtering(asked, 2 * width * active.where("open").count())
+    counted = texts.mapInArrow(_counts(width, groups), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     chosen = materialise(
-        asked.join(shared, "key")
+        asked.join(counted, "key")
+        .where("n > 1 OR place < 0")
         .groupBy("sig", "node", "at", "lo", "hi")
         .agg(F.collect_list(F.struct("place", "key", "n")).alias("held"))
-        .mapInArrow(_choosing(width, needed), "sig long, node long, at int, lo int, hi int, key long, cost long")
+        .mapInArrow(_choosing(width, needed), "sig long, node long, at int, lo int, hi int, key long, cost long, many long")
+    )
+    members = (
+        texts.mapInArrow(_members(width, groups, filtering(chosen, chosen.count())), "key long, node long, lo int, hi int")
+        .groupBy("key", "node")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    )
+    order = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(most)), "node")
+    theirs = (
+        members.join(chosen.select("key").distinct(), "key", "left_semi")
+        .withColumn("rank", F.row_number().over(order))
+        .where(f"rank <= {most}")
+        .toDF("key", "y", "ylo", "yhi", "rank")
     )
-    few = chosen.where(f"cost <= {most}")
-    n_bits = min(max(1 << 20, 1 << (8 * chosen.count()).bit_length()), MOST_BITS)
-    bits = seqs.sparkSession.sparkContext.broadcast(bit_filter(few, "key", n_bits))
-    theirs = near.mapInArrow(_members(bits, n_bits), "key long, node long, lo int, hi int").toDF("key", "y", "ylo", "yhi")
     # each pair once, the smaller text first
     swapped = {"x": ("node", "y"), "y": ("y", "node"), "lo": ("lo", "ylo"), "hi": ("hi", "yhi"), "ylo": ("ylo", "lo"), "yhi": ("yhi", "hi")}
-    both = few.join(theirs, "key").where("node <> y")
+    both = chosen.join(theirs, "key").where(f"node <> y AND (cost <= {most} OR rank <= greatest({most} div many, 1))")
     pairs = _hulls(both.select(*[F.expr(f"IF(node < y, {a}, {b})").alias(c) for c, (a, b) in swapped.items()]), width)
     still = chosen.where(f"cost > {most}").select("sig", "node", "at", F.lit(True).alias("still")).distinct()
-    left = (
-        active.join(still, ["sig", "node", "at"], "left")
-        .withColumn("open", F.expr("open AND still IS NOT NULL"))
-        .withColumn("any", F.max("open").over(Window.partitionBy("sig")))
-        .where("any")
-        .select("sig", "node", "lo", "hi", "at", "open")
-    )
-    return left, pairs
+    left = active.join(still, ["sig", "node", "at"], "left").withColumn("open", F.expr("open AND still IS NOT NULL"))
+    return left.withColumn("met", F.lit(False)), pairs
 
 
 def repeated_passages(
@@ -656,11 +797,8 @@ def repeated_passages(
     classes = docs.groupBy("node").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"))
     width = least - SHINGLE + 1
     grouped = materialise(
-        _in_groups(
-            texts.mapInArrow(_windowing(least), "sig long, node long, place long")
-            .repartition("sig")
-            .dropDuplicates(["sig", "node", "place"])
-        )
+        # most windows are in no group, so copies are dropped among the others
+        _in_groups(texts.mapInArrow(_windowing(least), "sig long, node long, place long")).dropDuplicates(["sig", "node", "place"])
     )
     windows = grouped.groupBy("node").agg(F.collect_list(F.struct("sig", "place")).alias("windows"))
     whole = _sequences_of(texts, grouped.select("node").distinct(), least)
@@ -668,18 +806,16 @@ def repeated_passages(
     held = materialise(_pruned(held, least, similarity))
     seqs = held.select("node", F.col("cut").alias("seq"))
     active = materialise(_in_groups(held.select("node", F.inline("windows"))).withColumn("open", F.lit(True)))
-    found = None
-    round_no = 0
-    while round_no == 0 or not active.isEmpty():
-        placed = _with_heads(active, round_no)
-        more = materialise(_compare(seqs, materialise(_pairs(placed, width)), least, similarity))
-        found = more if found is None else found.union(more)
-        active = materialise(_left_open(placed, found))
-        round_no += 1
-        if not active.isEmpty():
-            left, pairs = _by_rarest(active, seqs, width, needed_of(width, similarity), HEADS * GROWTH**round_no)
-            found = found.union(materialise(_compare(seqs, materialise(pairs), least, similarity)))
-            active = materialise(left)
+    needed = needed_of(width, similarity)
+    placed = _with_heads(active)
+    found = materialise(_compare(seqs, materialise(_pairs(placed, width)), least, similarity))
+    active = materialise(_left_open(placed, found))
+    most = HEADS
+    while not active.isEmpty():
+        most *= GROWTH
+        left, pairs = _by_rarest(active, seqs, width, needed, most)
+        found = found.union(materialise(_compare(seqs, materialise(pairs), least, similarity)))
+        active = materialise(_left_open(left, found))
     copies = classes.where("copies > 1").select(
         "node", F.col("node").alias("other"), F.lit(0).cast("long").alias("lo"), F.col("n_words").alias("hi")
     )

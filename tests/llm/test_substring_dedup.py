@@ -84,6 +84,60 @@ def test_near_copies_without_a_partner_are_not_compared_with_the_whole_group(spa
     assert sum(compared) < 7140 // 2
 
 
+def test_texts_that_repeat_words_are_not_compared_with_the_whole_group(spark, monkeypatch):
+    rng = random.Random(29)
+    # runs of a word that all have and of one of their own, which is also found elsewhere but in no passage
+    rows = [(i, f"{'the ' * 26}{f'own{i} ' * 26}") for i in range(150)]
+    rows += [(1000 + i, f"{prose(rng, 30, 10**6)} {f'own{i} ' * 8}{prose(rng, 30, 10**6)}") for i in range(150)]
+    rows += [(2000 + i, f"{prose(rng, 30, 10**6)} {'the ' * 26}{'own ' * 26}{prose(rng, 30, 10**6)}") for i in range(2)]
+    # the two runs far apart, as whole texts are compared
+    rows += [(3000 + i, f"{'the ' * 60}{prose(rng, 300, 10**6)} {f'own{i} ' * 60}") for i in range(8)]
+    sigs = {i: set(sd.signatures(sd.sequence(hashes(text)), 46)[0].tolist()) for i, text in rows}
+    all_have = set().union(*(sigs[k] for k in range(8, 150)))
+    met = {i for i in range(8) if sigs[i] & sigs[3000 + i] & all_have and (sigs[i] & sigs[3000 + i]) - all_have}
+    compared = []
+    hulls = sd._hulls
+    monkeypatch.setattr(sd, "_hulls", lambda *a: compared.append(hulls(*a).count()) or hulls(*a))
+    got = sd.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    found = {r.doc_id for r in got}
+    assert len(met) > 1 and met <= found and not found & set(range(8, 2000))
+    assert {(r.start_word, r.end_word, r.other) for r in got if r.doc_id in (2000, 2001)} == {(30, 82, 2001), (30, 82, 2000)}
+    # all pairs of the group are 11628
+    assert sum(compared) < 3000
+
+
+def test_passages_of_many_pairs_are_those_of_each():
+    rng = np.random.default_rng(31)
+    for _ in range(40):
+        own, other = ([rng.integers(0, rng.choice([3, 9, 40]), rng.integers(0, 60)).astype(np.uint32) for _ in range(7)] for _ in range(2))
+        first, other_first = (np.append(0, np.cumsum([len(x) for x in y])) for y in (own, other))
+        got = sd.passages(np.concatenate(own), first, np.concatenate(other), other_first, 6, 4)
+        want = []
+        for i, (x, y) in enumerate(zip(own, other)):
+            common = [bool(v) and v in set(y.tolist()) for v in x.tolist()]
+            dense = [k for k in range(len(x) - 5) if sum(common[k : k + 6]) >= 4]
+            runs = []
+            for k in dense:
+                if not runs or k - runs[-1][-1] > 6:
+                    runs.append([])
+                runs[-1].append(k)
+            for run in runs:
+                hits = [k for k in range(run[0], run[-1] + 6) if common[k]]
+                want.append((i, hits[0], hits[-1] + 1))
+        assert list(zip(*(x.tolist() for x in got))) == want
+
+
+def test_shingles_of_several_texts():
+    texts = [np.array(x, np.uint32) for x in ([1, 2, 2**31, 2], [5, 2**31, 2**32 - 1], [2**32 - 1, 7], [7])]
+    rows = []
+    for i, x in enumerate(texts):
+        windows = (np.array([i]), np.array([0]), np.array([len(x)]), np.array([0]))
+        rows.append((i, x, np.array([0], np.int32), np.array([0], np.int32), *(c.astype(t) for c, t in zip(windows, (np.int64, *[np.int32] * 3)))))
+    parts = list(sd._shingles(iter([sd._packed(rows[:2]), sd._packed(rows[2:])])))
+    got = [v for b in sd._repeated(iter(parts)) for v in b.column("shingle").to_pylist()]
+    assert got == [7, 2**31, 2**32 - 1] and list(sd._repeated(iter([]))) == []
+
+
 def test_any_text_with_enough_in_common_has_one_of_the_rarest():
     rng = np.random.default_rng(3)
     for width, needed in ((6, 4), (46, 41)):
