@@ -622,16 +622,31 @@ def _counts(width: int, groups: Filter) -> Callable[[Batches], Batches]:
     return run
 
 
-def _members(width: int, groups: Filter, named: Filter) -> Callable[[Batches], Batches]:
-    """(key, node, lo, hi): the texts that have the shingles that pass the filter, and the stretches to be compared."""
+def _members(width: int, groups: Filter, named: Filter, most: int) -> Callable[[Batches], Batches]:
+    """(key, turn, node, lo, hi): the texts that have the shingles that pass the filter, and the stretches to be compared.
+
+    Only the first ``most`` of a key by turn are wanted, so no more of them leave a batch.
+    """
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             w = _Windows(batch, width)
+            found = []
             for of, keys, whole in _asked(w, width, groups, named):
                 lo, hi = (np.zeros(len(of), np.int32), (w.end - w.first)[of].astype(np.int32)) if whole else (w.lo[of], w.hi[of])
-                columns = keys.view(np.int64), w.node[of], lo, hi
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "lo", "hi"])
+                found.append((keys.view(np.int64), w.node[of], lo, hi))
+            key, node, lo, hi = (np.concatenate(x) for x in zip(*found))
+            turn = mix(node.view(U64), most).view(np.int64)
+            order = np.lexsort((turn, key))
+            key, turn, node, lo, hi = (x[order] for x in (key, turn, node, lo, hi))
+            begins = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (turn[1:] != turn[:-1]))[: len(key)])
+            if len(begins):
+                lo, hi = np.minimum.reduceat(lo, begins), np.maximum.reduceat(hi, begins)
+                key, turn, node = key[begins], turn[begins], node[begins]
+                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                place = np.arange(len(key)) - np.repeat(first, np.diff(np.append(first, len(key))))
+                columns = (pa.array(x[place < most]) for x in (key, turn, node, lo, hi))
+                yield pa.RecordBatch.from_arrays(list(columns), ["key", "turn", "node", "lo", "hi"])
 
     return run
 
@@ -691,8 +706,11 @@ def repetitive(keys: np.ndarray, width: int, needed: int) -> bool:
     return bool(((rows < np.arange(len(rows))[:, None]).sum(axis=1) < needed).any())
 
 
-def _choosing(width: int, needed: int) -> Callable[[Batches], Batches]:
-    """(sig, node, at, lo, hi, key, cost): the keys of the rarest shingles of each window and the number of texts that have them."""
+def _choosing(width: int, needed: int, most: int) -> Callable[[Batches], Batches]:
+    """(sig, node, at, lo, hi, key, cost): the keys of the rarest shingles of each window and the number of texts that have them.
+
+    Of a window that costs more than ``most``, the rarest one only.
+    """
     names = ["sig", "node", "at", "lo", "hi"]
 
     def run(batches: Batches) -> Batches:
@@ -708,16 +726,19 @@ def _choosing(width: int, needed: int) -> Callable[[Batches], Batches]:
                 others[place[own]], named[place[own]] = n[own] - 1, key[own]
                 taken = rarest(others, width, needed)
                 taken = taken[np.unique(named[taken], return_index=True)[1]]  # a shingle that repeats itself counts once
-                many = len(taken) + len(long)
-                of.append(np.full(many, i))
-                keys += [named[taken], key[long]]
-                cost.append(np.full(many, others[taken].sum() + n[long].sum()))
+                chosen = np.append(named[taken], key[long])
+                texts = np.append(others[taken], n[long])
+                price = texts.sum()
+                if price > most:
+                    chosen = chosen[[np.argmin(texts)]]
+                of.append(np.full(len(chosen), i))
+                keys.append(chosen)
+                cost.append(np.full(len(chosen), price))
             if of:
                 of = np.concatenate(of)
                 columns = [batch.column(c).take(pa.array(of)) for c in names]
-                many = np.bincount(of, minlength=len(batch))[of]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, *(pa.array(x) for x in (np.concatenate(keys), np.concatenate(cost), many))], [*names, "key", "cost", "many"]
+                    [*columns, *(pa.array(np.concatenate(x)) for x in (keys, cost))], [*names, "key", "cost"]
                 )
 
     return run
@@ -729,7 +750,7 @@ def _by_rarest(active: DataFrame, seqs: DataFrame, width: int, needed: int, most
     A text that shares ``needed`` of ``width`` shingles with a window lacks few of them, so it
     has one at least of the rarest. Windows that no text of their group can complete are
     closed. Those whose rarest shingles are in ``most`` texts of the group at most are compared
-    with these texts, and are closed as well; the others with ``most`` of them, or one for each shingle.
+    with these texts, and are closed as well; the others with about ``most`` of those that have the rarest.
     """
     spark = active.sparkSession
     windows = active.groupBy("node").agg(
@@ -745,7 +766,7 @@ def _by_rarest(active: DataFrame, seqs: DataFrame, width: int, needed: int, most
     asked = texts.mapInArrow(_asking(width, needed), "sig long, node long, at int, lo int, hi int, place int, key long")
 
     def filtering(keys: DataFrame, n: int) -> Filter:
-        n_bits = min(max(1 << 20, 1 << (8 * n).bit_length()), MOST_BITS)
+        n_bits = min(max(FILTER_BITS, 1 << (8 * n).bit_length()), MOST_BITS)
         return spark.sparkContext.broadcast(bit_filter(keys, "key", n_bits)), n_bits
 
     groups = filtering(asked, 2 * width * active.where("open").count())
@@ -755,23 +776,20 @@ def _by_rarest(active: DataFrame, seqs: DataFrame, width: int, needed: int, most
         .where("n > 1 OR place < 0")
         .groupBy("sig", "node", "at", "lo", "hi")
         .agg(F.collect_list(F.struct("place", "key", "n")).alias("held"))
-        .mapInArrow(_choosing(width, needed), "sig long, node long, at int, lo int, hi int, key long, cost long, many long")
-    )
-    members = (
-        texts.mapInArrow(_members(width, groups, filtering(chosen, chosen.count())), "key long, node long, lo int, hi int")
-        .groupBy("key", "node")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        .mapInArrow(_choosing(width, needed, most), "sig long, node long, at int, lo int, hi int, key long, cost long")
     )
-    order = Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(most)), "node")
+    # a key whose other texts are ``most`` has the window's own as well
+    wanted = _members(width, groups, filtering(chosen, chosen.count()), most + 1)
     theirs = (
-        members.join(chosen.select("key").distinct(), "key", "left_semi")
-        .withColumn("rank", F.row_number().over(order))
-        .where(f"rank <= {most}")
-        .toDF("key", "y", "ylo", "yhi", "rank")
+        texts.mapInArrow(wanted, "key long, turn long, node long, lo int, hi int")
+        .join(chosen.select("key").distinct(), "key", "left_semi")
+        .withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("turn")))
+        .where(f"rank <= {most + 1}")
+        .select("key", F.col("node").alias("y"), F.col("lo").alias("ylo"), F.col("hi").alias("yhi"))
     )
     # each pair once, the smaller text first
     swapped = {"x": ("node", "y"), "y": ("y", "node"), "lo": ("lo", "ylo"), "hi": ("hi", "yhi"), "ylo": ("ylo", "lo"), "yhi": ("yhi", "hi")}
-    both = chosen.join(theirs, "key").where(f"node <> y AND (cost <= {most} OR rank <= greatest({most} div many, 1))")
+    both = chosen.join(theirs, "key").where("node <> y")
     pairs = _hulls(both.select(*[F.expr(f"IF(node < y, {a}, {b})").alias(c) for c, (a, b) in swapped.items()]), width)
     still = chosen.where(f"cost > {most}").select("sig", "node", "at", F.lit(True).alias("still")).distinct()
     left = active.join(still, ["sig", "node", "at"], "left").withColumn("open", F.expr("open AND still IS NOT NULL"))
